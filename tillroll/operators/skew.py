@@ -1,0 +1,75 @@
+"""Row numbers within a key that stay exact when one key holds most of the rows.
+
+A plain ``row_number`` window sends a whole key to one task. Here rows of hot
+keys are cut into slices that follow the sort order; each slice is numbered on
+its own and shifted by the rows of the slices before it. Normal keys take the
+plain window in the same pass (their slice is NULL).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+MAX_HOT_KEYS = 10_000
+MIN_HOT_ROWS = 1_000_000
+# Ids per slice. A slice holds one value of the leading sort column and at most this many ids.
+IDS_PER_SLICE = 2**24
+
+
+def hot_keys(df: DataFrame, key: str, max_keys: int = MAX_HOT_KEYS, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
+    """Keys holding more than 1/max_keys of all rows: fewer than max_keys of them by construction."""
+    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_size"))
+    total = sizes.agg(F.sum("_size")).scalar()
+    return sizes.where((F.col("_size") >= min_rows) & (F.col("_size") * max_keys > total)).select(key)
+
+
+def id_block(column: str, ids: int = IDS_PER_SLICE) -> Column:
+    return F.floor(F.col(column) / F.lit(ids))
+
+
+def number_rows(
+    df: DataFrame,
+    key: str,
+    order_by: list[str],
+    slices: list[Column],
+    hot: DataFrame,
+    position: str,
+    carry: str | None = None,
+    previous: str | None = None,
+) -> DataFrame:
+    """Add ``position`` (1-based within key) and, if asked, the ``carry`` value of the row before.
+
+    ``slices`` must not decrease along ``order_by``; ``carry`` must be its leading column.
+    ``hot`` lists the keys to slice and is broadcast: it comes from ``hot_keys`` and is
+    bounded by MAX_HOT_KEYS. Both helper joins have a unique right side, so Catalyst
+    drops them when the added columns are not used downstream.
+    """
+    names = [f"_slice{i}" for i in range(len(slices))]
+    marked = df.join(F.broadcast(hot.select(key, F.lit(True).alias("_hot"))), key, "left").select(
+        *df.columns, "_hot", *[F.when(F.col("_hot"), s).alias(n) for n, s in zip(names, slices)]
+    )
+
+    within = Window.partitionBy(key, *names).orderBy(*order_by)
+    numbered = marked.withColumn("_pos", F.row_number().over(within).cast("long"))
+    if carry:
+        numbered = numbered.withColumn("_before", F.lag(carry).over(within))
+
+    sizes = (
+        marked.where(F.col("_hot"))
+        .groupBy(key, *names)
+        .agg(F.count(F.lit(1)).alias("_size"), *([F.max(carry).alias("_last")] if carry else []))
+    )
+    along = Window.partitionBy(key).orderBy(*names)
+    shifts = sizes.select(
+        key,
+        *names,
+        F.sum("_size").over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("_shift"),
+        *([F.lag("_last").over(along).alias("_carried")] if carry else []),
+    )
+    joined = numbered.join(shifts, [key, *names], "left")
+    added = [(F.col("_pos") + F.coalesce(F.col("_shift"), F.lit(0))).cast("int").alias(position)]
+    if carry:
+        # Only the first row of a slice looks back across the cut.
+        added.append(F.coalesce(F.col("_before"), F.col("_carried")).alias(previous))
+    return joined.select(*[F.col(c) for c in df.columns], *added)
