@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql import DataFrame
 
 
 def rows() -> Column:
@@ -50,13 +48,12 @@ def percent(part: Column, whole: Column, digits: int = 2) -> Column:
 
 def steady(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double, so that summation order cannot show in the result."""
-    return df.select(
-        *[
-            round_to(F.col(f.name), digits).alias(f.name)
-            if isinstance(f.dataType, (T.DoubleType, T.FloatType))
-            else F.col(f.name)
-            for f in df.schema.fields
-        ]
+    doubles = {c for c, t in df.dtypes if t in ("double", "float")}
+    if not doubles:
+        return df
+    scale = f"{10**digits}D"
+    return df.selectExpr(
+        *[f"round({c} * {scale}) / {scale} AS {c}" if c in doubles else c for c in df.columns]
     )
 
 

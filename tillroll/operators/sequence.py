@@ -17,15 +17,15 @@ def derive_order_sequence(orders: DataFrame, ids_per_slice: int = IDS_PER_SLICE,
         orders,
         key="user_id",
         order_by=["order_date", "order_id"],
-        slices=[F.col("order_date"), id_block("order_id", ids_per_slice)],
+        slices=["order_date", id_block("order_id", ids_per_slice)],
         hot=hot_keys(orders, "user_id", **hot_limits),
         position="order_number",
         carry="order_date",
         previous="_prior_date",
     )
-    return numbered.withColumn(
-        "days_since_prior_order", F.datediff("order_date", "_prior_date").cast("int")
-    ).drop("_prior_date")
+    return numbered.selectExpr(
+        *orders.columns, "order_number", "datediff(order_date, _prior_date) AS days_since_prior_order"
+    )
 
 
 def derive_reordered(orders: DataFrame, order_products: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ plain window in the same pass (their slice is NULL).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_HOT_KEYS = 10_000
@@ -19,20 +19,20 @@ IDS_PER_SLICE = 2**24
 
 def hot_keys(df: DataFrame, key: str, max_keys: int = MAX_HOT_KEYS, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
     """Keys holding more than 1/max_keys of all rows: fewer than max_keys of them by construction."""
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_size"))
-    total = sizes.agg(F.sum("_size")).scalar()
-    return sizes.where((F.col("_size") >= min_rows) & (F.col("_size") * max_keys > total)).select(key)
+    sizes = df.groupBy(key).agg(F.expr("count(1) AS _size"))
+    total = sizes.agg(F.expr("sum(_size)")).scalar()
+    return sizes.where(f"_size >= {min_rows}").where(F.col("_size") * max_keys > total).select(key)
 
 
-def id_block(column: str, ids: int = IDS_PER_SLICE) -> Column:
-    return F.floor(F.col(column) / F.lit(ids))
+def id_block(column: str, ids: int = IDS_PER_SLICE) -> str:
+    return f"{column} div {ids}"
 
 
 def number_rows(
     df: DataFrame,
     key: str,
     order_by: list[str],
-    slices: list[Column],
+    slices: list[str],
     hot: DataFrame,
     position: str,
     carry: str | None = None,
@@ -40,36 +40,43 @@ def number_rows(
 ) -> DataFrame:
     """Add ``position`` (1-based within key) and, if asked, the ``carry`` value of the row before.
 
-    ``slices`` must not decrease along ``order_by``; ``carry`` must be its leading column.
-    ``hot`` lists the keys to slice and is broadcast: it comes from ``hot_keys`` and is
-    bounded by MAX_HOT_KEYS. Both helper joins have a unique right side, so Catalyst
-    drops them when the added columns are not used downstream.
+    ``slices`` are SQL expressions that must not decrease along ``order_by``; ``carry`` must be
+    its leading column. ``hot`` lists the keys to slice and is broadcast: it comes from
+    ``hot_keys`` and is bounded by MAX_HOT_KEYS. Both helper joins have a unique right side,
+    so Catalyst drops them when the added columns are not used downstream.
     """
     names = [f"_slice{i}" for i in range(len(slices))]
-    marked = df.join(F.broadcast(hot.select(key, F.lit(True).alias("_hot"))), key, "left").select(
-        *df.columns, "_hot", *[F.when(F.col("_hot"), s).alias(n) for n, s in zip(names, slices)]
+    cut = ", ".join(names)
+    marked = df.join(F.broadcast(hot.selectExpr(key, "true AS _hot")), key, "left").selectExpr(
+        *df.columns, "_hot", *[f"CASE WHEN _hot THEN {s} END AS {n}" for s, n in zip(slices, names)]
     )
 
-    within = Window.partitionBy(key, *names).orderBy(*order_by)
-    numbered = marked.withColumn("_pos", F.row_number().over(within).cast("long"))
-    if carry:
-        numbered = numbered.withColumn("_before", F.lag(carry).over(within))
+    within = f"OVER (PARTITION BY {key}, {cut} ORDER BY {', '.join(order_by)})"
+    numbered = marked.selectExpr(
+        *df.columns,
+        *names,
+        f"row_number() {within} AS _pos",
+        *([f"lag({carry}) {within} AS _before"] if carry else []),
+    )
 
+    # A semi join moves below an aggregation on the key, down to the scan: only the
+    # rows of hot keys are derived a second time.
     sizes = (
-        marked.where(F.col("_hot"))
+        df.join(F.broadcast(hot), key, "left_semi")
+        .selectExpr(key, *[f"{s} AS {n}" for s, n in zip(slices, names)], *([carry] if carry else []))
         .groupBy(key, *names)
-        .agg(F.count(F.lit(1)).alias("_size"), *([F.max(carry).alias("_last")] if carry else []))
+        .agg(F.expr("count(1) AS _size"), *([F.expr(f"max({carry}) AS _last")] if carry else []))
     )
-    along = Window.partitionBy(key).orderBy(*names)
-    shifts = sizes.select(
+    along = f"OVER (PARTITION BY {key} ORDER BY {cut}"
+    shifts = sizes.selectExpr(
         key,
         *names,
-        F.sum("_size").over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("_shift"),
-        *([F.lag("_last").over(along).alias("_carried")] if carry else []),
+        f"sum(_size) {along} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _shift",
+        *([f"lag(_last) {along}) AS _carried"] if carry else []),
     )
-    joined = numbered.join(shifts, [key, *names], "left")
-    added = [(F.col("_pos") + F.coalesce(F.col("_shift"), F.lit(0))).cast("int").alias(position)]
-    if carry:
+    return numbered.join(shifts, [key, *names], "left").selectExpr(
+        *df.columns,
+        f"int(_pos + coalesce(_shift, 0)) AS {position}",
         # Only the first row of a slice looks back across the cut.
-        added.append(F.coalesce(F.col("_before"), F.col("_carried")).alias(previous))
-    return joined.select(*[F.col(c) for c in df.columns], *added)
+        *([f"coalesce(_before, _carried) AS {previous}"] if carry else []),
+    )

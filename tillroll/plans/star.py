@@ -17,31 +17,26 @@ def fct_orders(orders: DataFrame, order_products: DataFrame, products: DataFrame
     Whether products are broadcast is left to the size estimate; a large catalogue
     takes a shuffle join, whose hot products AQE splits.
     """
+    lines = order_products.select("order_id", "product_id", "add_to_cart_order", "reordered")
     shelf = products.select("product_id", "department_id", "aisle_id")
     head = orders.select(
-        "order_id",
-        "user_id",
-        F.col("order_hour_of_day").alias("order_hour"),
-        "order_dow",
-        "days_since_prior_order",
-        "order_date",
+        "order_id", "user_id", "order_hour_of_day", "order_dow", "days_since_prior_order", "order_date"
     )
-    lines = order_products.select("order_id", "product_id", "add_to_cart_order", "reordered")
     return (
         lines.join(shelf, "product_id")
         .join(head, "order_id")
-        .select(
+        .selectExpr(
             "order_id",
             "user_id",
             "product_id",
             "department_id",
             "aisle_id",
-            "order_hour",
+            "order_hour_of_day AS order_hour",
             "order_dow",
             "days_since_prior_order",
             "reordered",
             "add_to_cart_order",
-            date_key(F.col("order_date")).alias("order_date_id"),
+            "year(order_date) * 10000 + month(order_date) * 100 + day(order_date) AS order_date_id",
             "order_date",
         )
     )

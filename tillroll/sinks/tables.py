@@ -38,11 +38,12 @@ def write_mart(
     file_format: str = "parquet",
 ) -> DataFrame:
     """Replace the mart stored at ``path`` and return it as read back."""
-    writer = stamp(df, audit or []).write.mode("overwrite").format(file_format)
+    stamped = stamp(df, audit or [])
+    writer = stamped.write.mode("overwrite").format(file_format)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
-    return df.sparkSession.read.format(file_format).load(path)
+    return df.sparkSession.read.schema(stamped.schema).format(file_format).load(path)
 
 
 def save_mart_table(df: DataFrame, name: str, partition_by: list[str] | None = None, audit: list[str] | None = None) -> DataFrame:
@@ -98,27 +99,34 @@ def write_fact(fct: DataFrame, path: str, orders_per_block: int = ORDERS_PER_BLO
 def merge_into_fact(
     spark: SparkSession, path: str, new: DataFrame, after_order=None, orders_per_block: int = ORDERS_PER_BLOCK
 ) -> DataFrame:
-    """Upsert a batch into the stored fact, rewriting only the blocks it touches.
+    """Upsert a batch into the stored fact, touching only the blocks it falls into.
 
-    The merged blocks are written to the shared scratch folder first, since Spark must
-    not overwrite files it is reading; then they replace their partitions.
+    Without ``after_order`` every arriving order is newer than the stored ones, so the
+    batch is appended. With it, the affected blocks are read by partition pruning, merged,
+    written to the shared scratch folder (Spark must not overwrite files it is reading)
+    and put in place of their partitions.
     """
     stored = spark.read.parquet(path)
-    if after_order is None:
-        after_order = stored.agg(F.max("order_id")).scalar()
-    arriving = _with_block(new.where(F.col("order_id") > after_order), orders_per_block)
+    bound = stored.agg(F.max("order_id")).scalar() if after_order is None else after_order
     incoming_path = scratch_dir(spark, "fact-incoming")
-    arriving.write.parquet(incoming_path)
-    incoming = spark.read.parquet(incoming_path)
-
-    # One value per touched block: orders / ORDERS_PER_BLOCK of them at most.
-    touched = incoming.select("order_block").distinct()
-    affected = stored.join(touched, "order_block", "left_semi")
-    merged = affected.join(incoming.select(*FACT_KEY), FACT_KEY, "left_anti").unionByName(
-        incoming.select(*stored.columns)
-    )
+    _with_block(new.where(F.col("order_id") > bound), orders_per_block).write.parquet(incoming_path)
+    incoming = spark.read.parquet(incoming_path).select(*stored.columns)
+    if after_order is None:
+        incoming.write.mode("append").partitionBy("order_block").parquet(path)
+        return spark.read.parquet(path)
+
+    # One row: the range of touched blocks, as constants the partition filter can use.
+    span = incoming.agg(F.min("order_block").alias("lo"), F.max("order_block").alias("hi")).first()
+    if span.lo is None:
+        return stored
+    affected = stored.where(F.col("order_block").between(span.lo, span.hi))
     merged_path = scratch_dir(spark, "fact-merged")
-    merged.write.partitionBy("order_block").parquet(merged_path)
+    (
+        affected.join(incoming.select(*FACT_KEY), FACT_KEY, "left_anti")
+        .unionByName(incoming)
+        .write.partitionBy("order_block")
+        .parquet(merged_path)
+    )
     (
         spark.read.parquet(merged_path)
         .write.mode("overwrite")

@@ -24,7 +24,7 @@ OPTIONAL_COLUMNS = ["order_date", "loaded_at"]
 
 def _keep(df: DataFrame, columns: list[str], keys: list[str]) -> DataFrame:
     extra = [c for c in OPTIONAL_COLUMNS if c in df.columns]
-    return df.select(*columns, *extra).dropna(subset=keys)
+    return df.select(*columns, *extra).where(" AND ".join(f"{k} IS NOT NULL" for k in keys))
 
 
 def stg_orders(raw: DataFrame) -> DataFrame:

@@ -12,13 +12,27 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.functions.labels import day_of_week
 from tillroll.operators.sequence import derive_order_sequence
 from tillroll.operators.skew import hot_keys, id_block, number_rows
 from tillroll.sources import staging
 from tillroll.sources.raw import COLUMN_TYPES, STAGING_TABLES
 
 
+# Declared column types; reading needs no schema inference.
+TABLES = {
+    "orders": "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz",
+    "lineitem": (
+        "l_orderkey long, l_partkey long, l_linenumber int, l_returnflag string, l_shipdate timestamp_ntz"
+    ),
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double",
+    "documents": "text string, lang string, source string",
+    "conversations": "role string, text string",
+    "pages": "url string, html string",
+    "customer": "c_name string, c_mktsegment string",
+}
+
+
 class Shop:
     """Lazy staging frames over one folder of parquet tables."""
 
@@ -27,55 +41,50 @@ class Shop:
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
 
     @cached_property
     def dated_orders(self) -> DataFrame:
-        """Orders before the per-user sequence is added."""
-        order_date = F.col("o_orderdate").cast("date")
-        return self.table("orders").select(
-            F.col("o_orderkey").alias("order_id"),
-            F.col("o_custkey").alias("user_id"),
-            day_of_week(order_date).alias("order_dow"),
-            (F.col("o_orderkey") % 24).cast("int").alias("order_hour_of_day"),
-            order_date.alias("order_date"),
+        """Orders before the per-user sequence is added. Day 0 is Sunday."""
+        return self.table("orders").selectExpr(
+            "o_orderkey AS order_id",
+            "o_custkey AS user_id",
+            "int(dayofweek(date(o_orderdate)) - 1) AS order_dow",
+            "int(o_orderkey % 24) AS order_hour_of_day",
+            "date(o_orderdate) AS order_date",
         )
 
     @cached_property
     def orders(self) -> DataFrame:
         return staging.stg_orders(derive_order_sequence(self.dated_orders))
 
-    @cached_property
-    def raw_products(self) -> DataFrame:
-        return self.table("part").select(
-            F.col("p_partkey").alias("product_id"),
-            F.col("p_name").alias("product_name"),
-            F.col("p_size").alias("aisle_id"),
-            F.substring("p_brand", 7, 2).cast("int").alias("department_id"),
-        )
-
     @cached_property
     def products(self) -> DataFrame:
-        return staging.stg_products(self.raw_products)
+        raw = self.table("part").selectExpr(
+            "p_partkey AS product_id",
+            "p_name AS product_name",
+            "p_size AS aisle_id",
+            "int(substring(p_brand, 7)) AS department_id",
+        )
+        return staging.stg_products(raw)
 
     @cached_property
     def order_products(self) -> DataFrame:
         """Lines at (order, product) grain, numbered by their first line in the order."""
-        lines = self.table("lineitem").select(
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_partkey").alias("product_id"),
+        lines = self.table("lineitem").selectExpr(
+            "l_orderkey AS order_id",
+            "l_partkey AS product_id",
             "l_linenumber",
-            "l_returnflag",
+            "CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS returned",
         )
         grain = lines.groupBy("order_id", "product_id").agg(
-            F.min("l_linenumber").alias("first_line"),
-            F.max(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).alias("reordered"),
+            F.expr("min(l_linenumber) AS first_line"), F.expr("max(returned) AS reordered")
         )
         numbered = number_rows(
             grain,
             key="order_id",
             order_by=["first_line", "product_id"],
-            slices=[F.col("first_line"), id_block("product_id")],
+            slices=["first_line", id_block("product_id")],
             hot=hot_keys(lines, "order_id"),
             position="add_to_cart_order",
         )
@@ -83,33 +92,36 @@ class Shop:
 
     @cached_property
     def aisles(self) -> DataFrame:
-        ids = self.products.select("aisle_id").distinct()
-        return ids.withColumn("aisle_name", F.concat(F.lit("aisle_"), F.col("aisle_id").cast("string")))
+        return self.products.select("aisle_id").distinct().selectExpr(
+            "aisle_id", "'aisle_' || aisle_id AS aisle_name"
+        )
 
     @cached_property
     def departments(self) -> DataFrame:
-        ids = self.products.select("department_id").distinct()
-        return ids.withColumn(
-            "department_name", F.concat(F.lit("department_"), F.col("department_id").cast("string"))
+        return self.products.select("department_id").distinct().selectExpr(
+            "department_id", "'department_' || department_id AS department_name"
         )
 
     @cached_property
     def batch_runs(self) -> DataFrame:
         """The run log: one run per event."""
-        seconds = F.floor(F.col("value") * 10).cast("int")
-        return self.table("events").select(
-            F.col("event_id").alias("run_id"),
-            F.col("ts").cast("date").alias("run_date"),
-            F.col("ts").alias("started_at"),
-            (F.col("ts") + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))).alias("completed_at"),
-            seconds.alias("duration_seconds"),
-            (F.col("user_id") * 1000).alias("rows_processed"),
-            F.lit(0).alias("rows_failed"),
-            (seconds <= 1800).alias("sla_met"),
-            (F.lit(1.0) - (F.col("event_id") % 20).cast("double") / 100).alias("quality_score"),
-            F.when(F.col("event_type") == "error", "failed").otherwise("success").alias("status"),
-            F.lit(None).cast("string").alias("error_message"),
-            F.lit(None).cast("string").alias("notes"),
+        return (
+            self.table("events")
+            .withColumn("seconds", F.expr("int(floor(value * 10))"))
+            .selectExpr(
+                "event_id AS run_id",
+                "date(ts) AS run_date",
+                "ts AS started_at",
+                "ts + make_dt_interval(0, 0, 0, seconds) AS completed_at",
+                "seconds AS duration_seconds",
+                "user_id * 1000 AS rows_processed",
+                "0 AS rows_failed",
+                "seconds <= 1800 AS sla_met",
+                "1D - double(event_id % 20) / 100 AS quality_score",
+                "CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END AS status",
+                "string(NULL) AS error_message",
+                "string(NULL) AS notes",
+            )
         )
 
     @cached_property
