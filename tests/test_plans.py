@@ -14,9 +14,9 @@ pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test table
 LAZY = [
     "fct_orders", "dim_users", "dim_products", "dim_departments", "dim_aisles", "dim_time", "product_funnel",
     "user_retention", "department_performance", "department_dow_cohorts", "daily_product_metrics", "scd2_merge",
-    "scd2_as_of", "derive_reordered_flag", "derive_order_sequence", "upsert_fact_batches", "health_daily",
+    "scd2_as_of", "derive_reordered", "derive_order_sequence", "upsert_fact", "health_daily",
     "health_top_reorder", "health_department_share", "funnel_cart_composition", "api_metrics", "api_top_products",
-    "product_penetration", "test_relationships", "dq_scorecard", "pii_scan_documents", "validate_tables",
+    "product_penetration", "test_relationships", "dq_scorecard", "pii_scan", "validate_tables",
 ]
 
 

@@ -65,8 +65,9 @@ class Store(Warehouse, Shop):
         return self.store(self.scratch("warehouse"))
 
 
-def query(function):
-    name = function.__name__
+def query(function, name: str | None = None):
+    """Register a query under its function's name, or under the given one."""
+    name = name or function.__name__
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
         return steady(function(Store(tune(spark), folder)))
@@ -77,6 +78,10 @@ def query(function):
     return function
 
 
+def query_named(name: str):
+    return lambda function: query(function, name)
+
+
 def union(frames) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
@@ -84,7 +89,7 @@ def union(frames) -> DataFrame:
 # --- sources and sinks ------------------------------------------------------
 
 
-@query
+@query_named("load_staging")
 def load_staging_tables(s: Store) -> DataFrame:
     """The CSV inputs loaded to staging: rows, keys and values per table."""
     loaded = load_staging(s.spark, s.write_raw_files(s.scratch("raw")))
@@ -106,7 +111,7 @@ def load_staging_tables(s: Store) -> DataFrame:
     )
 
 
-@query
+@query_named("source_inventory")
 def source_files(s: Store) -> DataFrame:
     """Inventory of the inputs, one required file being absent."""
     raw = s.write_raw_files(s.scratch("raw"))
@@ -139,7 +144,7 @@ def write_mart(s: Store) -> DataFrame:
     return tables.write_mart(s.dim_products, path, audit=["created_at"]).drop("created_at")
 
 
-@query
+@query_named("upsert_fact")
 def upsert_fact_batches(s: Store) -> DataFrame:
     """A first load up to 3/4 of the order ids, then a batch from 1/4 on, taken in from 1/2 on."""
     highest = s.dated_orders.agg(F.max("order_id")).scalar()
@@ -292,12 +297,12 @@ def _text_tables(s: Store) -> dict[str, DataFrame]:
     return {name: s.table(name) for name in ("documents", "conversations", "pages", "customer")}
 
 
-@query
+@query_named("pii_scan")
 def pii_scan_documents(s: Store) -> DataFrame:
     return pii_scan("documents", s.table("documents"))
 
 
-@query
+@query_named("pii_summary")
 def pii_summary_tables(s: Store) -> DataFrame:
     return pii_summary(union(pii_scan(name, df) for name, df in _text_tables(s).items()))
 
@@ -479,7 +484,7 @@ def scd2_as_of(s: Store) -> DataFrame:
     )
 
 
-@query
+@query_named("derive_reordered")
 def derive_reordered_flag(s: Store) -> DataFrame:
     return derive_reordered(s.dated_orders, s.order_products)
 
@@ -685,7 +690,7 @@ def product_day_drilldown(s: Store) -> DataFrame:
 # --- the batch --------------------------------------------------------------
 
 
-@query
+@query_named("run_batch")
 def run_batch_job(s: Store) -> DataFrame:
     """The whole batch over CSV inputs: rows per mart, checks passed, score and run record."""
     raw = s.write_raw_files(s.scratch("raw"))

@@ -425,7 +425,7 @@ def statements() -> dict[str, str]:
     q: dict[str, str] = {}
 
     # sources and sinks
-    q["load_staging_tables"] = union_all(
+    q["load_staging"] = union_all(
         f"SELECT '{t}' AS table_name, count(*) AS row_count, CAST(sum({k}) AS BIGINT) AS key_sum, "
         f"CAST(sum({v}) AS BIGINT) AS value_sum FROM {t}"
         for t, k, v in [
@@ -436,7 +436,7 @@ def statements() -> dict[str, str]:
             ("stg_order_products", "order_id", "product_id + add_to_cart_order + reordered"),
         ]
     )
-    q["source_files"] = union_all(
+    q["source_inventory"] = union_all(
         [
             f"SELECT '{name}' AS name, count(*) AS rows, TRUE AS present, TRUE AS has_bytes FROM {t}"
             for name, t in [
@@ -452,7 +452,7 @@ def statements() -> dict[str, str]:
     for name in ("stg_orders", "stg_products", "stg_order_products"):
         q[name] = f"SELECT * FROM {name}"
     q["write_mart"] = _six("SELECT * FROM dim_products", "reorder_rate")
-    q["upsert_fact_batches"] = UPSERTED
+    q["upsert_fact"] = UPSERTED
     q["merge_fact_blocks"] = UPSERTED
     q["append_run_log"] = (
         "SELECT run_id, CAST(run_date AS VARCHAR) AS run_date, duration_seconds, rows_processed, sla_met, "
@@ -521,8 +521,8 @@ def statements() -> dict[str, str]:
         "SELECT count(*) FILTER (ok) AS tables_passed, count(*) AS tables_checked "
         f"FROM (SELECT table_name, bool_and(passed) AS ok FROM ({_validation()}) v GROUP BY table_name) t"
     )
-    q["pii_scan_documents"] = _pii("documents")
-    q["pii_summary_tables"] = (
+    q["pii_scan"] = _pii("documents")
+    q["pii_summary"] = (
         "SELECT table_name, count(*) FILTER (matches > 0) AS findings, CAST(sum(matches) AS BIGINT) AS matches, "
         "sum(matches) = 0 AS clean FROM (" + union_all(_pii(t) for t in TEXT_COLUMNS) + ") s GROUP BY table_name"
     )
@@ -626,7 +626,7 @@ def statements() -> dict[str, str]:
         JOIN stg_orders o ON o.order_id = l.order_id
         JOIN versions v ON v.product_id = l.product_id AND v.valid_from <= o.order_date AND o.order_date < v.valid_to
         GROUP BY v.department_id"""
-    q["derive_reordered_flag"] = """
+    q["derive_reordered"] = """
         SELECT l.order_id, l.product_id, o.user_id,
                CASE WHEN row_number() OVER (PARTITION BY o.user_id, l.product_id
                                             ORDER BY o.order_date, o.order_id) > 1 THEN 1 ELSE 0 END AS reordered
@@ -820,5 +820,5 @@ def statements() -> dict[str, str]:
         "SELECT 'run_rows_processed', count(*) FROM fct_orders",
         "SELECT 'sla_breaches', CAST(0 AS BIGINT)",
     ]
-    q["run_batch_job"] = union_all(parts)
+    q["run_batch"] = union_all(parts)
     return {name: with_views(body) for name, body in q.items()}

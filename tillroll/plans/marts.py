@@ -84,8 +84,8 @@ def user_retention(orders: DataFrame) -> DataFrame:
 def department_performance(orders: DataFrame, order_products: DataFrame, products: DataFrame) -> DataFrame:
     """Totals, rates and ranks per department.
 
-    Line totals are summed per product before they meet the catalogue; order and user
-    counts use one row per (department, order). The ranks sort one row per department.
+    Line totals are summed per product before they meet the catalogue. The ranks sort
+    one row per department.
     """
     shelf = products.select("product_id", "department_id")
     sales = order_products.groupBy("product_id").agg(reordered_items().alias("again"), rows().alias("lines"))
@@ -100,13 +100,11 @@ def department_performance(orders: DataFrame, order_products: DataFrame, product
     reach = (
         order_products.join(shelf, "product_id")
         .join(orders.select("order_id", "user_id"), "order_id")
-        .groupBy("department_id", "order_id", "user_id")
-        .agg(F.max(is_reordered()).alias("again"))
         .groupBy("department_id")
         .agg(
             F.countDistinct("order_id").alias("total_orders"),
             F.countDistinct("user_id").alias("unique_users"),
-            F.countDistinct(F.when(F.col("again"), F.col("order_id"))).alias("orders_again"),
+            F.countDistinct(F.when(is_reordered(), F.col("order_id"))).alias("orders_again"),
         )
     )
     totals = join_groups(volume, reach, ["department_id"]).select(
