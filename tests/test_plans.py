@@ -16,7 +16,7 @@ LAZY = [
     "user_retention", "department_performance", "department_dow_cohorts", "daily_product_metrics", "scd2_merge",
     "scd2_as_of", "derive_reordered", "derive_order_sequence", "upsert_fact", "health_daily",
     "health_top_reorder", "health_department_share", "funnel_cart_composition", "api_metrics", "api_top_products",
-    "product_penetration", "test_relationships", "dq_scorecard", "pii_scan", "validate_tables",
+    "product_penetration", "test_accepted_range", "dq_scorecard", "pii_scan", "validate_tables",
 ]
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.numbers import ratio, rows
@@ -41,6 +43,21 @@ UNIQUE = {
     "department_performance": ["department_id"],
 }
 
+# Bounds declared for rates, per table.
+RANGES = {
+    "dim_products": {"reorder_rate": (0, 1)},
+    "daily_product_metrics": {"daily_reorder_rate": (0, 100)},
+}
+
+# The dimensions the fact refers to and the key it holds for each.
+FACT_PARENTS = {
+    "dim_users": "user_id",
+    "dim_products": "product_id",
+    "dim_departments": "department_id",
+    "dim_aisles": "aisle_id",
+    "dim_time": "order_date",
+}
+
 
 def not_null(table_name: str, df: DataFrame, columns: list[str]) -> DataFrame:
     """NULLs per column, all columns in one aggregate."""
@@ -102,8 +119,7 @@ def relationships(
 
 
 def accepted_range(table_name: str, df: DataFrame, column: str, low, high) -> DataFrame:
-    outside = (F.col(column) < low) | (F.col(column) > high)
-    return df.agg(F.count(F.when(outside, 1)).alias("failures")).select(
+    return df.agg(F.count(F.when(_outside(column, low, high), 1)).alias("failures")).select(
         F.lit(table_name).alias("table_name"),
         F.lit(column).alias("column_name"),
         F.lit(float(low)).alias("low"),
@@ -112,69 +128,60 @@ def accepted_range(table_name: str, df: DataFrame, column: str, low, high) -> Da
     )
 
 
+def _broken_day() -> Column:
+    return F.col("daily_orders") < F.col("daily_distinct_orders")
+
+
 def metric_invariants(daily: DataFrame) -> DataFrame:
     """Daily product rows with more distinct orders than lines."""
-    broken = F.col("daily_orders") < F.col("daily_distinct_orders")
-    return daily.agg(F.count(F.when(broken, 1)).alias("failures")).select(
+    return daily.agg(F.count(F.when(_broken_day(), 1)).alias("failures")).select(
         F.lit("daily_product_metrics").alias("table_name"),
         F.lit("daily_orders").alias("column_name"),
         "failures",
     )
 
 
-def _result(category: str, failures: DataFrame) -> DataFrame:
-    return failures.select(
-        F.lit(category).alias("category"), "table_name", "column_name", (F.col("failures") == 0).alias("passed")
-    )
+def _outside(column: str, low, high) -> Column:
+    return (F.col(column) < low) | (F.col(column) > high)
 
 
-def _emptiness(table_name: str, df: DataFrame) -> DataFrame:
-    return df.agg((rows() == 0).cast("long").alias("failures")).select(
-        F.lit(table_name).alias("table_name"), F.lit("*").alias("column_name"), "failures"
-    )
+def _own_checks(table_name: str) -> list[tuple[str, str, Column]]:
+    """(category, column, passed) of every declared test that needs only the table itself."""
 
+    def none(condition: Column) -> Column:
+        return F.count(F.when(condition, 1)) == 0
 
-def _fact_parents(tables: dict[str, DataFrame]) -> list[tuple[str, str]]:
-    candidates = [
-        ("dim_users", "user_id"),
-        ("dim_products", "product_id"),
-        ("dim_departments", "department_id"),
-        ("dim_aisles", "aisle_id"),
-        ("dim_time", "order_date"),
-    ]
-    return [(t, c) for t, c in candidates if t in tables]
+    checks = [("not_null", c, none(F.col(c).isNull())) for c in NOT_NULL.get(table_name, [])]
+    checks += [("unique", c, F.count(c) == F.countDistinct(c)) for c in UNIQUE.get(table_name, [])]
+    checks += [("range", c, none(_outside(c, *RANGES[table_name][c]))) for c in RANGES.get(table_name, {})]
+    if table_name == "fct_orders":
+        checks.append(("row_count", "*", rows() > 0))
+    if table_name == "daily_product_metrics":
+        checks.append(("invariant", "daily_orders", none(_broken_day())))
+    return checks
 
 
 def run_tests(tables: dict[str, DataFrame]) -> DataFrame:
-    """All declared tests over the given tables: category, table, column, passed."""
+    """All declared tests over the given tables: category, table, column, passed.
+
+    Each table is scanned once for all tests of its own, plus once per relationship.
+    """
     parts = []
-    for t, columns in NOT_NULL.items():
-        if t in tables:
-            parts.append(_result("not_null", not_null(t, tables[t], columns)))
-    for t, columns in UNIQUE.items():
-        if t in tables:
-            parts += [_result("unique", unique(t, tables[t], c)) for c in columns]
-    if "fct_orders" in tables:
-        fct = tables["fct_orders"]
-        parts.append(_result("row_count", _emptiness("fct_orders", fct)))
-        for parent, c in _fact_parents(tables):
+    for t, df in tables.items():
+        checks = _own_checks(t)
+        if checks:
+            measured = df.agg(*[passed.alias(f"_{i}") for i, (_, _, passed) in enumerate(checks)])
+            labels = [(category, t, c) for category, c, _ in checks]
+            parts.append(unpivot_counts(measured, labels, ["category", *NAMES], "passed"))
+    for parent, c in FACT_PARENTS.items():
+        if "fct_orders" in tables and parent in tables:
+            orphans = relationships("fct_orders", tables["fct_orders"], parent, tables[parent], c)
             parts.append(
-                _result("relationships", relationships("fct_orders", fct, parent, tables[parent], c))
+                orphans.select(
+                    F.lit("relationships").alias("category"), *NAMES, (F.col("failures") == 0).alias("passed")
+                )
             )
-    if "dim_products" in tables:
-        parts.append(
-            _result("range", accepted_range("dim_products", tables["dim_products"], "reorder_rate", 0, 1))
-        )
-    if "daily_product_metrics" in tables:
-        daily = tables["daily_product_metrics"]
-        parts.append(
-            _result("range", accepted_range("daily_product_metrics", daily, "daily_reorder_rate", 0, 100))
-        )
-        parts.append(_result("invariant", metric_invariants(daily)))
-    results = parts[0]
-    for p in parts[1:]:
-        results = results.unionByName(p)
-    return results
+    return reduce(DataFrame.unionByName, parts)
 
 
 def summary(results: DataFrame) -> DataFrame:

@@ -9,9 +9,8 @@ from pyspark.sql import DataFrame
 
 from tillroll.operators.history import dim_products_scd
 from tillroll.plans import marts, star
-from tillroll.sinks.tables import AUDIT_COLUMNS, write_mart
+from tillroll.sinks.tables import write_marts
 
-# Build order: a mart may read the ones before it.
 MARTS = [
     "fct_orders",
     "dim_users",
@@ -26,7 +25,16 @@ MARTS = [
     "department_dow_cohorts",
     "daily_product_metrics",
 ]
+READ_OTHER_MARTS = ["dim_products_scd", "daily_product_metrics"]
+STAGING = ["orders", "order_products", "products", "aisles", "departments"]
+
+# How marts are stored.
 PARTITIONS = {"fct_orders": ["order_dow"]}
+AUDIT_COLUMNS = {
+    **{name: ["created_at"] for name in MARTS},
+    "dim_users": ["created_at", "updated_at"],
+    "dim_products": ["created_at", "updated_at"],
+}
 
 
 class Warehouse:
@@ -100,23 +108,16 @@ class Warehouse:
         return marts.daily_product_metrics(self.fct_orders, self.dim_products)
 
     def store(self, folder: str, names: list[str] | None = None) -> dict[str, DataFrame]:
-        """Write staging and marts, each mart from the stored tables before it."""
-        stored = {}
-        for name in ("orders", "order_products", "products", "aisles", "departments"):
-            stored[f"stg_{name}"] = write_mart(getattr(self, name), f"{folder}/stg_{name}")
-        built = Warehouse(
-            *[stored[f"stg_{n}"] for n in ("orders", "order_products", "products", "aisles", "departments")],
-            self.as_of,
-            self.real_names,
-        )
-        for name in names or MARTS:
-            frame = write_mart(
-                getattr(built, name),
-                f"{folder}/{name}",
-                PARTITIONS.get(name),
-                AUDIT_COLUMNS.get(name, ["created_at"]),
-            )
-            # Later marts and checks read the stored table instead of the plan.
-            built.__dict__[name] = frame
-            stored[name] = frame
+        """Write staging and marts; marts are built from the stored tables they read."""
+        names = MARTS if names is None else names
+        stored = write_marts({f"stg_{t}": getattr(self, t) for t in STAGING}, folder)
+        built = Warehouse(*[stored[f"stg_{t}"] for t in STAGING], self.as_of, self.real_names)
+        for wave in (
+            [n for n in names if n not in READ_OTHER_MARTS],
+            [n for n in names if n in READ_OTHER_MARTS],
+        ):
+            written = write_marts({n: getattr(built, n) for n in wave}, folder, PARTITIONS, AUDIT_COLUMNS)
+            # Later marts read the stored table instead of the plan.
+            built.__dict__.update(written)
+            stored.update(written)
         return stored
