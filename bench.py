@@ -111,7 +111,7 @@ def main() -> None:
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
-                "sf": Path(folder).name.removeprefix("sf"),
+                "sf": float(Path(folder).name.removeprefix("sf")),
                 "cpus": int(cpus),
                 "repeats": repeats,
             }

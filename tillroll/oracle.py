@@ -6,6 +6,10 @@ the pre-aggregations the Spark jobs use.
 
 from __future__ import annotations
 
+from tillroll.operators.assertions import FACT_PARENTS, NOT_NULL, UNIQUE
+from tillroll.operators.personal_data import PATTERNS
+from tillroll.sinks.tables import PUBLISHED
+
 # Views every statement may start from, in dependency order.
 VIEWS = {
     "stg_orders": """
@@ -181,15 +185,13 @@ VIEWS = {
         SELECT order_dow, count(DISTINCT user_id) AS users FROM fct_orders GROUP BY order_dow""",
 }
 
-BASE_TABLES = {"orders", "part", "lineitem", "events", "documents", "conversations", "pages", "customer"}
-
 
 def _mentioned(text: str) -> set[str]:
     words = set("".join(ch if ch.isalnum() or ch == "_" else " " for ch in text).split())
     return words & set(VIEWS)
 
 
-def with_views(body: str, materialize: bool = False) -> str:
+def with_views(body: str) -> str:
     """Put the views a statement uses, and those they use, in front of it."""
     needed, todo = set(), _mentioned(body)
     while todo:
@@ -211,36 +213,7 @@ def _six(body: str, *columns: str) -> str:
     return f"SELECT * REPLACE ({replaced}) FROM ({body}) q"
 
 
-NOT_NULL = {
-    "stg_orders": ["order_id", "user_id"],
-    "stg_products": ["product_id", "product_name", "aisle_id", "department_id"],
-    "stg_order_products": ["order_id", "product_id", "add_to_cart_order", "reordered"],
-    "fct_orders": ["order_id", "user_id", "product_id", "reordered"],
-    "dim_users": ["user_id", "user_segment"],
-    "dim_products": ["product_id", "product_name", "reorder_rate"],
-    "product_funnel": ["metric_date", "daily_users", "daily_orders", "reorder_rate"],
-    "user_retention": ["user_id", "total_orders", "user_cohort"],
-    "department_performance": ["department_id"],
-    "dim_products_scd": ["product_id", "product_name", "valid_from", "valid_to", "is_current"],
-    "daily_product_metrics": [
-        "order_date", "product_id", "daily_orders", "daily_reorder_rate", "daily_unique_users",
-    ],
-}
-UNIQUE = [
-    ("stg_orders", "order_id"),
-    ("stg_products", "product_id"),
-    ("dim_users", "user_id"),
-    ("dim_products", "product_id"),
-    ("user_retention", "user_id"),
-    ("department_performance", "department_id"),
-]
-PII = {
-    "email": r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}",
-    "phone": r"\b\d{3}[-.]?\d{3}[-.]?\d{4}\b",
-    "ssn": r"\b\d{3}-\d{2}-\d{4}\b",
-    "credit_card": r"\b\d{4}[\s-]?\d{4}[\s-]?\d{4}[\s-]?\d{4}\b",
-    "ip_address": r"\b\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}\b",
-}
+UNIQUE_COLUMNS = [(t, c) for t, columns in UNIQUE.items() for c in columns]
 TEXT_COLUMNS = {
     "documents": ["text", "lang", "source"],
     "conversations": ["role", "text"],
@@ -284,7 +257,7 @@ def _pii(table: str) -> str:
         f"SELECT '{table}' AS table_name, '{c}' AS column_name, '{kind}' AS pii_type, "
         f"count(*) FILTER (regexp_matches(lower({c}), '{pattern}')) AS matches FROM {table}"
         for c in TEXT_COLUMNS[table]
-        for kind, pattern in PII.items()
+        for kind, pattern in PATTERNS.items()
     )
 
 
@@ -362,15 +335,9 @@ def _scorecard() -> str:
 def _results() -> list[tuple[str, str, str, str]]:
     """(category, table, column, failures SQL) of every table test."""
     tests = [("not_null", t, c, _nulls(t, c)) for t, cs in NOT_NULL.items() for c in cs]
-    tests += [("unique", t, c, _repeated(t, c)) for t, c in UNIQUE]
+    tests += [("unique", t, c, _repeated(t, c)) for t, c in UNIQUE_COLUMNS]
     tests.append(("row_count", "fct_orders", "*", "SELECT CASE WHEN count(*) = 0 THEN 1 ELSE 0 END AS failures FROM fct_orders"))
-    for parent, c in [
-        ("dim_users", "user_id"),
-        ("dim_products", "product_id"),
-        ("dim_departments", "department_id"),
-        ("dim_aisles", "aisle_id"),
-        ("dim_time", "order_date"),
-    ]:
+    for parent, c in FACT_PARENTS.items():
         tests.append(("relationships", "fct_orders", c, _orphans("fct_orders", parent, c)))
     tests.append(("range", "dim_products", "reorder_rate", _out_of("dim_products", "reorder_rate", 0, 1)))
     tests.append(
@@ -404,10 +371,6 @@ def _counts(*tables: tuple[str, str]) -> str:
     return union_all(f"SELECT '{label}' AS table_name, count(*) AS row_count FROM {t}" for label, t in tables)
 
 
-PUBLISHED = [
-    "fct_orders", "dim_users", "dim_products", "dim_departments", "product_funnel", "user_retention",
-    "department_performance",
-]
 THREE = [("fact_orders", "fct_orders"), ("dim_users", "dim_users"), ("dim_products", "dim_products")]
 RANK = "round(100e0 * {n} / sum({n}) OVER (), 2)"
 UPSERTED = """
@@ -533,7 +496,7 @@ def statements() -> dict[str, str]:
         + [_nulls("stg_orders", "days_since_prior_order", "stg_orders_gap")]
     )
     q["test_unique"] = union_all(
-        [_repeated(t, c) for t, c in UNIQUE] + [_repeated("stg_products", "product_name", "stg_products_name")]
+        [_repeated(t, c) for t, c in UNIQUE_COLUMNS] + [_repeated("stg_products", "product_name", "stg_products_name")]
     )
     q["test_row_count_gt_zero"] = union_all(
         f"SELECT '{label}' AS table_name, count(*) AS row_count FROM {t} HAVING count(*) = 0"
@@ -550,11 +513,7 @@ def statements() -> dict[str, str]:
     )
     q["test_relationships"] = union_all(
         [
-            _orphans("fct_orders", "dim_users", "user_id"),
-            _orphans("fct_orders", "dim_products", "product_id"),
-            _orphans("fct_orders", "dim_departments", "department_id"),
-            _orphans("fct_orders", "dim_aisles", "aisle_id"),
-            _orphans("fct_orders", "dim_time", "order_date"),
+            *[_orphans("fct_orders", parent, c) for parent, c in FACT_PARENTS.items()],
             _orphans("stg_orders", "fct_orders", "order_id"),
         ]
     )
