@@ -24,6 +24,15 @@ from tillroll.session import build_session
 from tillroll.sinks.tables import write_mart
 
 
+def scale(folder: str) -> float | str:
+    """The scale factor in a folder name such as sf0.1."""
+    name = Path(folder).name
+    try:
+        return float(name.removeprefix("sf"))
+    except ValueError:
+        return name
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -111,7 +120,7 @@ def main() -> None:
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
-                "sf": float(Path(folder).name.removeprefix("sf")),
+                "sf": scale(folder),
                 "cpus": int(cpus),
                 "repeats": repeats,
             }
