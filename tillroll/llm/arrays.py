@@ -1,7 +1,7 @@
 """Words of texts as numpy arrays.
 
-Texts come in Arrow batches. A batch is taken in slices of about SLICE_BYTES, so the arrays
-of a slice stay small whatever the batch holds; one text longer than that is a slice.
+Texts come in Arrow batches. A batch is taken in slices of about SLICE_BYTES and SLICE_ROWS at
+most, so the arrays of a slice stay small whatever the batch holds; one text longer than that is a slice.
 
 A word is a run of ASCII letters, digits and bytes of non-ASCII characters, after lower-casing.
 """
@@ -16,6 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 20
+SLICE_ROWS = 1 << 14
 
 _WORD = np.zeros(256, bool)
 _WORD[list(b"0123456789abcdefghijklmnopqrstuvwxyz")] = True
@@ -63,7 +64,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
     low = 0
     while low < len(sizes):
         before = ends[low] - sizes[low]
-        high = max(low + 1, int(np.searchsorted(ends, before + limit, "right")))
+        high = max(low + 1, min(low + SLICE_ROWS, int(np.searchsorted(ends, before + limit, "right"))))
         yield batch.slice(low, high - low)
         low = high
 

@@ -5,7 +5,7 @@ substituted tokens. Hashes of test items and of documents are joined; around eac
 laid along the document, and the longest stretch in which enough tokens agree decides.
 
 Before the join, documents drop hashes that no test item can have: a bitmap of fixed size
-(FILTER_BITS, whatever the size of the benchmark) is probed twice per hash. Hits near each other
+(whatever the size of the benchmark) is probed twice per hash. Hits near each other
 form a region, which carries its tokens with CONTEXT tokens on either side.
 
 A document is contaminated by an item if, along one alignment, at least `min_tokens` tokens, or the
@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.arrays import mixed, powers, slices, words
+from tillroll.llm.bitmaps import bitmap, let_through
 from tillroll.llm.scratch import written
 
 # Positions that count within a mask; the others may differ.
@@ -36,7 +37,6 @@ MIN_TOKENS = 13
 MIN_SHARE = 0.8
 MIN_ITEM = 6
 CONTEXT = 160
-FILTER_BITS = 1 << 24
 
 
 def seeds(hashes: np.ndarray, rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -55,11 +55,6 @@ def seeds(hashes: np.ndarray, rows: np.ndarray) -> Iterator[tuple[np.ndarray, np
         yield mixed(total)[places], places
 
 
-def _probes(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    bits = np.uint64(FILTER_BITS - 1)
-    return found & bits, (found >> np.uint64(32)) & bits
-
-
 def test_items(benchmark: DataFrame) -> DataFrame:
     """item_id and tokens (4 bytes each) of the distinct items, with their seeds (hash, place)."""
 
@@ -89,35 +84,10 @@ def test_items(benchmark: DataFrame) -> DataFrame:
     return first.join(items.select("tokens", "seeds").dropDuplicates(["tokens"]), "tokens")
 
 
-def bitmap(items: DataFrame) -> np.ndarray:
-    """Which probes occur among the items' seeds. At most FILTER_BITS / 32 words reach the driver."""
-    bits = items.select(F.explode("seeds.hash").alias("h")).select(
-        F.explode(
-            F.array(
-                F.col("h").bitwiseAND(F.lit(FILTER_BITS - 1)),
-                F.shiftrightunsigned("h", 32).bitwiseAND(F.lit(FILTER_BITS - 1)),
-            )
-        ).alias("bit")
-    )
-    bytes_ = bits.groupBy((F.col("bit") / 8).cast("int").alias("at")).agg(
-        F.bit_or(F.expr("shiftleft(1, cast(bit % 8 as int))")).alias("set")
-    )
-    found = bytes_.toPandas()
-    result = np.zeros(FILTER_BITS // 8, np.uint8)
-    result[found["at"].to_numpy(np.int64)] = found["set"].to_numpy(np.uint8)
-    return result
-
-
 def regions(docs: DataFrame, filter_bytes: np.ndarray) -> DataFrame:
     """Stretches of documents around seeds that the bitmap lets through: tokens, their offset, and the hits."""
     shared = docs.sparkSession.sparkContext.broadcast(filter_bytes)
 
-    def let_through(found: np.ndarray, table: np.ndarray) -> np.ndarray:
-        one, two = _probes(found)
-        keep = np.flatnonzero(table[one >> np.uint64(3)] >> (one & np.uint64(7)).astype(np.uint8) & 1)
-        two = two[keep]
-        return keep[np.flatnonzero(table[two >> np.uint64(3)] >> (two & np.uint64(7)).astype(np.uint8) & 1)]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
         kind = pa.list_(pa.struct([("hash", pa.int64()), ("place", pa.int32())]))
@@ -174,7 +144,7 @@ def longest_stretch(agree: np.ndarray, share: float = MIN_SHARE) -> tuple[int, i
 def overlaps(docs: DataFrame, benchmark: DataFrame, min_tokens: int = MIN_TOKENS, min_share: float = MIN_SHARE) -> DataFrame:
     """Pairs (doc_id, item_id) with the place and length in tokens of their longest overlap."""
     items = written(test_items(benchmark), "items")
-    found = written(regions(docs, bitmap(items)), "regions").withColumn("region", F.monotonically_increasing_id())
+    found = written(regions(docs, bitmap(items.select(F.explode("seeds.hash")))), "regions").withColumn("region", F.monotonically_increasing_id())
     found = written(found, "numbered-regions")
     hits = found.select("region", F.explode("hits").alias("hit")).select("region", "hit.hash", F.col("hit.place").alias("at"))
     known = items.select("item_id", F.explode("seeds").alias("seed")).select("item_id", "seed.hash", "seed.place")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import curriculum, decontamination, token_counts, toxicity
+from tillroll.llm import curriculum, decontamination, near_duplicates, token_counts, toxicity
 from tillroll.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,12 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query
+def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """The class of every document, and whether it is the one that stays."""
+    return near_duplicates.classes(table(spark, folder, "documents"))
+
+
 @query
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every document."""
