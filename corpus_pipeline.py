@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import curriculum, decontamination, toxicity
+from tillroll.llm import curriculum, decontamination, near_duplicates, toxicity
 from tillroll.llm.queries import table
 from tillroll.llm.scratch import written
 from tillroll.session import tune
@@ -21,6 +21,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return toxicity.without_toxic(docs, toxicity.fit(docs, table(spark, folder, "labels")))
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """One document of each class of near-duplicates."""
+    tune(spark)
+    return near_duplicates.without_near_duplicates(docs)
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Without the documents that overlap with a test item."""
     return decontamination.without_benchmark(docs, table(tune(spark), folder, "benchmark"))
@@ -35,6 +41,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 STAGES = [
     ("toxicity", drop_toxic),
+    ("near-duplicates", drop_near_duplicates),
     ("decontamination", drop_contaminated),
     ("mix", mix_sources),
 ]
