@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import curriculum, decontamination, near_duplicates, token_counts, toxicity
+from tillroll.llm import curriculum, decontamination, near_duplicates, suffix_dedup, token_counts, toxicity
 from tillroll.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,12 @@ def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.classes(table(spark, folder, "documents"))
 
 
+@query
+def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without strings that start in an earlier one."""
+    return suffix_dedup.deduplicated(table(spark, folder, "documents"))
+
+
 @query
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every document."""
