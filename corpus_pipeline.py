@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import curriculum, decontamination, near_duplicates, toxicity
+from tillroll.llm import curriculum, decontamination, near_duplicates, suffix_dedup, toxicity
 from tillroll.llm.queries import table
 from tillroll.llm.scratch import written
 from tillroll.session import tune
@@ -27,6 +27,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> D
     return near_duplicates.without_near_duplicates(docs)
 
 
+def drop_repeats(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Texts without the strings that start in an earlier document."""
+    tune(spark)
+    return suffix_dedup.without_repeats(docs)
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Without the documents that overlap with a test item."""
     return decontamination.without_benchmark(docs, table(tune(spark), folder, "benchmark"))
@@ -42,6 +48,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 STAGES = [
     ("toxicity", drop_toxic),
     ("near-duplicates", drop_near_duplicates),
+    ("suffix-array", drop_repeats),
     ("decontamination", drop_contaminated),
     ("mix", mix_sources),
 ]
