@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import curriculum, decontamination, near_duplicates, suffix_dedup, token_counts, toxicity
+from tillroll.llm import curriculum, decontamination, main_text, near_duplicates, nearest, suffix_dedup, token_counts, toxicity
 from tillroll.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,6 +68,19 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op7_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    pages = table(spark, folder, "pages")
+    return main_text.main_text(pages, main_text.fit(pages))
+
+
+@query
+def op9_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest vectors found of every twentieth one."""
+    return nearest.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 @query
 def op10_curriculum(spark: SparkSession, folder: str) -> DataFrame:
     """Words taken of every document, range-sorted by its first training position."""
