@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import curriculum, decontamination, main_text, near_duplicates, nearest, suffix_dedup, token_counts, toxicity
+from tillroll.llm import curriculum, decontamination, licenses, main_text, near_duplicates, nearest, suffix_dedup, token_counts, toxicity
 from tillroll.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,6 +75,12 @@ def op7_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return main_text.main_text(pages, main_text.fit(pages))
 
 
+@query
+def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Licenses that documents state."""
+    return licenses.licenses(table(spark, folder, "documents"))
+
+
 @query
 def op9_nearest(spark: SparkSession, folder: str) -> DataFrame:
     """The 20 nearest vectors found of every twentieth one."""
@@ -92,6 +98,34 @@ def op10_curriculum(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SQL: dict[str, str] = {}
+
+
+def _license_sql() -> str:
+    rows = ", ".join(
+        "('{}', '{}')".format(name, text.replace("'", "''")) for name, text in sorted(licenses.TEMPLATES.items())
+    )
+    words = "regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')"
+    return f"""
+WITH templates(license, text) AS (VALUES {rows}),
+template_words AS (SELECT license, {words} AS w FROM templates),
+wanted AS (
+    SELECT DISTINCT license, array_to_string(w[i : i + 4], ' ') AS shingle
+    FROM (SELECT license, w, unnest(range(1, len(w) - 3)) AS i FROM template_words)
+),
+sizes AS (SELECT license, count(*) AS n FROM wanted GROUP BY license),
+doc_words AS (SELECT row_number() OVER () AS r, doc_id, {words} AS w FROM documents WHERE text IS NOT NULL),
+shingles AS (
+    SELECT r, doc_id, i, array_to_string(w[i : i + 4], ' ') AS shingle
+    FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM doc_words)
+)
+SELECT DISTINCT doc_id, s.license, round(CAST(count(DISTINCT s.shingle) AS DOUBLE) / max(n), 6) AS containment, min(i) AS first_word
+FROM shingles s0 JOIN wanted s ON s0.shingle = s.shingle JOIN sizes z ON z.license = s.license
+GROUP BY r, doc_id, s.license
+HAVING round(CAST(count(DISTINCT s.shingle) AS DOUBLE) / max(n), 6) >= 0.8
+"""
+
+
+SQL["op8_license_scan"] = _license_sql()
 SQL["op10_curriculum"] = r"""
 WITH sized AS (
     SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS key,
