@@ -47,8 +47,9 @@ def powers(n: int) -> np.ndarray:
 
 
 def text_bytes(column: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes of a column of texts (null: empty), and the n + 1 offsets of its rows."""
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+    """Bytes of a column of texts or byte strings (null: empty), and the n + 1 offsets of its rows."""
+    binary = pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type)
+    column = pc.fill_null(column.cast(pa.large_binary() if binary else pa.large_string()), b"" if binary else "")
     if lower:
         column = pc.utf8_lower(column)
     _, offsets, data = column.buffers()

@@ -112,57 +112,77 @@ def _names(*columns: np.ndarray) -> np.ndarray:
     """Order-keeping names from 1 on of tuples of numbers."""
     bits = [max(1, int(c.max()).bit_length()) for c in columns]
     if sum(bits) > 63:
-        head = _names(*columns[:-1])
-        return _names(head, columns[-1])
+        columns = [np.unique(c, return_inverse=True)[1] + 1 for c in columns]
+        bits = [int(c.max()).bit_length() for c in columns]
+    if sum(bits) > 63:
+        return _names(_names(*columns[:-1]), columns[-1])
     key = columns[0]
     for column, size in zip(columns[1:], bits[1:]):
         key = key << size | column
     return np.unique(key, return_inverse=True)[1] + 1
 
 
-def suffix_ranks(x: np.ndarray, depth: int) -> np.ndarray:
-    """Ranks of all suffixes of x. Those equal in their first `depth` symbols have neighbouring ranks.
+def suffix_ranks(x: np.ndarray, depth: int, wanted: np.ndarray) -> np.ndarray:
+    """Ranks of the wanted suffixes of x, given as a mask; the other entries mean nothing.
 
-    Difference-cover algorithm modulo 3; names that span `depth` symbols end the recursion.
+    Suffixes equal in their first `depth` symbols have neighbouring ranks. Difference-cover
+    algorithm modulo 3; names that span `depth` symbols end the recursion. Triples are named at all
+    sampled places, but only wanted suffixes, and those they are compared by, are merged.
     """
     n = len(x)
-    if n == 0:
-        return np.zeros(0, np.int64)
     x = np.concatenate([x, np.zeros(3 + (-n) % 3, np.int64)])
     size = len(x) - 3
+    wanted = np.concatenate([wanted, np.zeros(size - n + 3, bool)])
     one, two = np.arange(1, size, 3), np.arange(2, size, 3)
     sample = np.concatenate([one, two])
-    names = _names(x[sample], x[sample + 1], x[sample + 2])
-    if depth > 3 and int(names.max()) < len(names):
-        names = suffix_ranks(np.concatenate([names[: len(one)], [0], names[len(one) :]]), -(-depth // 3))
+    bits = max(1, int(x.max()).bit_length())
+    if 3 * bits <= 21 and depth > 3:
+        # Triples of few bits are their own names.
+        names = x[sample] << 2 * bits | x[sample + 1] << bits | x[sample + 2]
+    else:
+        names = _names(x[sample], x[sample + 1], x[sample + 2])
+    if depth > 3:
+        # Compared by: a sampled suffix itself, and the one after a remaining suffix, or two after.
+        needed = wanted.copy()
+        needed[1:] |= wanted[:-1]
+        needed[2:] |= wanted[:-2]
+        mask = np.concatenate([needed[one], [False], needed[two]])
+        names = suffix_ranks(np.concatenate([names[: len(one)], [0], names[len(one) :]]), -(-depth // 3), mask)
         names = np.delete(names, len(one)) + 1
     rank = np.zeros(size + 3, np.int64)
     rank[sample] = names
-    rest = np.arange(0, size, 3)
+    rest, one, two = (places[wanted[places]] for places in (np.arange(0, size, 3), one, two))
     # A remaining suffix is compared with one at 1 modulo 3 by a symbol and a rank, at 2 by two and a rank.
-    pairs = np.zeros(size + 3, np.int64)
-    places = np.concatenate([rest, two])
-    pairs[places] = _names(x[places], x[places + 1])
-    top = int(names.max()).bit_length() + 1
+    both = np.concatenate([rest, two])
+    pairs = x[both] << bits | x[both + 1] if bits <= 20 else _names(x[both], x[both + 1])
+    top = int(rank.max()).bit_length() + 1
+    if max(int(x.max()).bit_length(), int(pairs.max(initial=1)).bit_length()) + top > 63:
+        pairs, top = _names(pairs), top
     short = lambda i: x[i] << top | rank[i + 1]
-    long = lambda i: pairs[i] << top | rank[i + 2]
-    rest_short, rest_long = short(rest), long(rest)
+    rest_short, rest_long = short(rest), pairs[: len(rest)] << top | rank[rest + 2]
+    two_long = pairs[len(rest) :] << top | rank[two + 2]
     sorted_short, sorted_long = np.sort(rest_short), np.sort(rest_long)
-    smaller = np.concatenate([[0], np.cumsum(np.bincount(names))])
-    result = np.empty(size, np.int64)
-    result[one] = smaller[rank[one]] + np.searchsorted(sorted_short, short(one))
-    result[two] = smaller[rank[two]] + np.searchsorted(sorted_long, long(two))
+    sampled = np.sort(np.concatenate([rank[one], rank[two]]))
+    result = np.zeros(size, np.int64)
+    one_short = short(one)
+    result[one] = np.searchsorted(sampled, rank[one]) + np.searchsorted(sorted_short, one_short)
+    result[two] = np.searchsorted(sampled, rank[two]) + np.searchsorted(sorted_long, two_long)
     result[rest] = (
         np.searchsorted(sorted_short, rest_short)
-        + np.searchsorted(np.sort(short(one)), rest_short)
-        + np.searchsorted(np.sort(long(two)), rest_long)
+        + np.searchsorted(np.sort(one_short), rest_short)
+        + np.searchsorted(np.sort(two_long), rest_long)
     )
     return result[:n]
 
 
 def equal_groups(data: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The places in suffix order, and the number of the group of equal LENGTH-byte prefixes of each."""
-    rank = suffix_ranks(data.astype(np.int64) + 1, LENGTH)
+    symbols = np.zeros(256, np.int64)
+    used = np.flatnonzero(np.bincount(data, minlength=256))
+    symbols[used] = np.arange(1, len(used) + 1)
+    wanted = np.zeros(len(data), bool)
+    wanted[places] = True
+    rank = suffix_ranks(symbols[data], LENGTH, wanted)
     order = places[np.argsort(rank[places], kind="stable")]
     words = np.zeros(len(data), np.uint64)
     for k in range(8):
@@ -187,7 +207,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def shared_keys(texts: DataFrame, buckets: int) -> DataFrame:
-    """id and keys of strings that occur under two ids at least; several rows for an id.
+    """(id, key) of the keys of strings that occur under two ids at least.
 
     A task sends each key once, with one of its ids, and decides by itself about keys it has seen
     under several; so a key in many documents is no large group anywhere.
@@ -240,20 +260,16 @@ def shared_keys(texts: DataFrame, buckets: int) -> DataFrame:
             first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
             sizes = np.diff(np.append(first, len(keys)))
             keep = np.repeat(np.minimum.reduceat(ids, first) != np.maximum.reduceat(ids, first), sizes)
-            return by_id(ids[keep], keys[keep])
+            return rows(ids[keep], keys[keep])
 
-        def by_id(ids: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
-            order = np.argsort(ids, kind="stable")
-            ids, keys = ids[order], keys[order]
-            first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1])) if len(ids) else np.zeros(0, np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(ids)), pa.int32()), pa.array(keys.view(np.int64)))
-            return pa.RecordBatch.from_arrays([pa.array(ids[first]), lists], ["id", "keys"])
+        def rows(ids: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(keys.view(np.int64))], ["id", "key"])
 
         at, ids, keys = None, [], []
         for batch in batches:
             for bucket, i, k in zip(*(batch.column(c).to_pylist() for c in names)):
                 if bucket < 0:
-                    yield by_id(np.frombuffer(i, np.int64), np.frombuffer(k, np.uint64))
+                    yield rows(np.frombuffer(i, np.int64), np.frombuffer(k, np.uint64))
                     continue
                 if bucket != at and ids:
                     yield several(ids, keys)
@@ -265,12 +281,12 @@ def shared_keys(texts: DataFrame, buckets: int) -> DataFrame:
             yield several(ids, keys)
 
     sent = texts.select("id", "text").mapInArrow(find, "bucket int, ids binary, keys binary")
-    return sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, "id long, keys array<long>")
+    return sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, "id long, key long")
 
 
 def segments(texts: DataFrame, shared: DataFrame) -> DataFrame:
     """Runs of strings that may be repeated: id, version, start, the segment's bytes and their digest."""
-    lists = shared.groupBy("id").agg(F.flatten(F.collect_list("keys")).alias("keys"))
+    lists = shared.groupBy("id").agg(F.collect_list("key").alias("keys"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -300,35 +316,49 @@ def segments(texts: DataFrame, shared: DataFrame) -> DataFrame:
 
 PIECE = "bucket long, id long, version binary, start long, size int, bytes binary"
 PIECE_NAMES = ["bucket", "id", "version", "start", "size", "bytes"]
-PIECE_KINDS = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.binary()]
+
+
+def byte_slices(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Parts of the data, which may overlap, as an Arrow column."""
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    at = np.arange(offsets[-1]) + np.repeat(starts - offsets[:-1], sizes)
+    return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data[at])])
 
 
 def cut(batch: pa.RecordBatch, level: int, buckets: int) -> pa.RecordBatch:
     """Segments cut into runs of one key, with the bucket of the key."""
-    rows = []
-    columns = [batch.column(c).to_pylist() for c in ("id", "version", "start", "bytes")]
-    for i, version, start, raw in zip(*columns):
-        keys = string_keys(np.frombuffer(raw, np.uint8), level)
-        first, sizes = runs(keys)
-        at = (mixed(keys[first] + np.uint64(level)) % np.uint64(buckets)).astype(np.int64).tolist()
-        rows += [
-            (b, i, version, start + a, n, raw[a : a + n + LENGTH - 1])
-            for b, a, n in zip(at, first.tolist(), sizes.tolist())
-        ]
-    columns = list(zip(*rows)) or [[]] * 6
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, PIECE_KINDS)], PIECE_NAMES)
-
-
-def sorted_spans(ids: np.ndarray, sizes: np.ndarray, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Piece, first place and past the last place of runs of strings that start under a smaller id, from a bucket's pieces."""
-    data = np.frombuffer(b"".join(texts), np.uint8)
-    lengths = np.array([len(t) for t in texts])
+    data, offsets = text_bytes(batch.column("bytes"))
+    keys = string_keys(data, level)
+    row = row_of(offsets)[: len(keys)]
+    whole = np.arange(len(keys)) + LENGTH <= offsets[1:][row]
+    # A run ends with its segment too: the last places of a segment have no string.
+    first, sizes = runs(keys, whole)
+    own = row[first]
+    at = (mixed(keys[first] + np.uint64(level)) % np.uint64(buckets)).astype(np.int64)
+    taken = pa.array(own)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(at), batch.column("id").take(taken), batch.column("version").take(taken),
+            pa.array(np.asarray(batch.column("start"), np.int64)[own] + first - offsets[own]),
+            pa.array(sizes.astype(np.int32)), byte_slices(data, first, sizes + LENGTH - 1),
+        ],
+        PIECE_NAMES,
+    )
+
+
+def sorted_spans(ids: np.ndarray, sizes: np.ndarray, data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Piece, first place and past the last place of runs of strings that start under a smaller id.
+
+    sizes: strings of each of a bucket's pieces; begins: where its bytes begin in the data.
+    """
     offsets = np.concatenate([[0], np.cumsum(sizes)])
     piece = row_of(offsets)
     within = np.arange(offsets[-1]) - offsets[piece]
-    places = (np.cumsum(lengths) - lengths)[piece] + within
+    places = begins[piece] + within
     order, group = equal_groups(data, places)
-    string = np.searchsorted(places, order)
+    number = np.zeros(len(data), np.int64)
+    number[places] = np.arange(len(places))
+    string = number[order]
     owner = ids[piece[string]]
     first = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
     least = np.minimum.reduceat(owner, first)
@@ -342,34 +372,37 @@ def sorted_spans(ids: np.ndarray, sizes: np.ndarray, texts: list[bytes]) -> tupl
 def spans(pieces: DataFrame, level: int) -> DataFrame:
     """Removed spans from pieces dealt out by bucket; buckets over the limit come back as pieces."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def done(held: list[tuple]) -> pa.RecordBatch:
-            ids, versions, starts, sizes, texts = zip(*held)
-            piece, low, high = sorted_spans(np.array(ids), np.array(sizes), list(texts))
-            found = [(0, ids[p], versions[p], starts[p] + a, b - a, None) for p, a, b in zip(piece.tolist(), low.tolist(), high.tolist())]
-            return rows(found)
-
-        def rows(found: list[tuple]) -> pa.RecordBatch:
-            columns = list(zip(*found)) or [[]] * 6
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, PIECE_KINDS)], PIECE_NAMES)
+    def done(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        whole = pa.concat_batches(held) if len(held) > 1 else held[0]
+        data, offsets = text_bytes(whole.column("bytes"))
+        piece, low, high = sorted_spans(np.asarray(whole.column("id")), np.asarray(whole.column("size")), data, offsets[:-1])
+        at = pa.array(piece)
+        start = np.asarray(whole.column("start"))[piece] + low
+        return pa.RecordBatch.from_arrays(
+            [
+                whole.column("bucket").take(at), whole.column("id").take(at), whole.column("version").take(at),
+                pa.array(start), pa.array((high - low).astype(np.int32)), pa.nulls(len(piece), pa.binary()),
+            ],
+            PIECE_NAMES,
+        )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held, size, over = None, [], 0, False
         for batch in batches:
-            for bucket, *own in zip(*(batch.column(c).to_pylist() for c in PIECE_NAMES)):
-                if bucket != at:
+            bucket = np.asarray(batch.column("bucket"))
+            edges = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else []
+            for a, b in zip(edges, np.append(edges[1:], len(bucket))):
+                part = batch.slice(a, b - a)
+                if bucket[a] != at:
                     if held:
                         yield done(held)
-                    at, held, size, over = bucket, [], 0, False
-                held.append(own)
-                size += len(own[-1])
-                if (size > BUCKET_LIMIT or over) and level < LEVELS:
-                    if not over or len(held) > 10_000:
-                        yield rows([(bucket, *p) for p in held])
-                        held, size = [], 0
-                    over = True
-            if over and held:
-                yield rows([(bucket, *p) for p in held])
-                held, size = [], 0
+                    at, held, size, over = bucket[a], [], 0, False
+                size += int(np.asarray(part.column("size")).sum()) + (LENGTH - 1) * len(part)
+                over = over or size > BUCKET_LIMIT and level < LEVELS
+                held.append(part)
+                if over:
+                    yield from held
+                    held = []
         if held:
             yield done(held)
 
@@ -393,7 +426,9 @@ def removed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     while True:
         # Pieces of one key overlap; those of finer keys do so more.
         buckets = max(1, total * (4 + 2 * level) // BUCKET_BYTES)
-        pieces = rows.mapInArrow(lambda batches, at=level, n=buckets: (cut(b, at, n) for b in batches), PIECE)
+        pieces = rows.mapInArrow(
+            lambda batches, at=level, n=buckets: (cut(part, at, n) for b in batches for part in slices(b, "bytes")), PIECE
+        )
         out = written(spans(pieces, level), "spans")
         result = result.unionByName(out.where("bytes is null").select("id", "version", "start", F.col("size").cast("long").alias("size")))
         rows = out.where("bytes is not null").select("id", "version", "start", "bytes")
