@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import curriculum, decontamination, licenses, main_text, near_duplicates, nearest, suffix_dedup, token_counts, toxicity
+from tillroll.llm import chat, curriculum, decontamination, licenses, main_text, near_duplicates, nearest, suffix_dedup, token_counts, toxicity
 from tillroll.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,12 @@ def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.classes(table(spark, folder, "documents"))
 
 
+@query
+def op3_chat_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Every turn of every conversation with its repaired role and its piece of the rendered text."""
+    return chat.repaired(table(spark, folder, "conversations"))
+
+
 @query
 def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """What is left of every document without strings that start in an earlier one."""
