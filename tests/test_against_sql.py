@@ -7,11 +7,12 @@ import pytest
 
 import __spark_entry__ as entry_points
 import compare
+from tillroll.catalog import QUERIES
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables")
 
-QUERIES = entry_points.queries()
+REGISTERED = entry_points.queries()
 SQL = entry_points.oracle_sql()
 
 
@@ -21,12 +22,12 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(REGISTERED) and set(QUERIES) <= set(SQL)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_result(spark, con, name):
-    assert compare.differences(QUERIES[name](spark, FOLDER), con, SQL[name]) == []
+    assert compare.differences(REGISTERED[name](spark, FOLDER), con, SQL[name]) == []
 
 
 def test_entry(spark):

@@ -109,6 +109,9 @@ def views(spark):
     [
         "SELECT order_id, created_at FROM fct_orders ORDER BY order_id",
         "WITH x AS (SELECT * FROM fct_orders) SELECT * FROM x ORDER BY order_id -- drop nothing",
+        "SELECT order_id, created_at FROM (SELECT * FROM fct_orders WHERE EXISTS (SELECT 1 FROM fct_orders)) ORDER BY order_id",
+        "SELECT f.order_id, f.created_at FROM fct_orders f JOIN (SELECT max(order_id) AS top FROM fct_orders) t "
+        "ON f.order_id <= t.top GROUP BY ALL HAVING count(*) > 0 ORDER BY 1",
     ],
 )
 def test_select_gives_first_rows_and_full_count(spark, views, text):
@@ -132,6 +135,15 @@ def test_select_gives_first_rows_and_full_count(spark, views, text):
         "EXPLAIN SELECT 1",
         "TRUNCATE TABLE fct_orders",
         "BEGIN SELECT 1; END",
+        "SHOW TABLES",
+        "SELECT TRANSFORM(order_id) USING 'cat' AS (x) FROM fct_orders",
+        "SELECT reflect('java.lang.System', 'getProperty', 'user.dir')",
+        "SELECT (SELECT try_reflect('java.lang.System', 'exit', 1)) AS x FROM fct_orders",
+        "SELECT order_id FROM fct_orders WHERE order_id IN (SELECT java_method('a.B', 'c'))",
+        "SELECT * FROM text.`/etc/hostname`",
+        "SELECT * FROM parquet.`/tmp/x`",
+        "WITH x AS (SELECT * FROM elsewhere) SELECT * FROM x",
+        "SELECT 1 AS a) AS x, (SELECT 2 AS b",
         "",
     ],
 )
@@ -141,9 +153,8 @@ def test_anything_else_is_refused(spark, views, text):
     assert spark.catalog.tableExists("fct_orders")
 
 
-@pytest.mark.parametrize("text", ["SELECT nowhere FROM fct_orders", "SHOW TABLES"])
+@pytest.mark.parametrize("text", ["SELECT nowhere FROM fct_orders"])
 def test_other_errors_are_not_hidden(spark, views, text):
-    """SHOW TABLES reads as a table SHOW under the alias TABLES, which does not exist."""
     with pytest.raises(AnalysisException) as caught:
         headlines.adhoc_select(spark, text)
     assert not isinstance(caught.value, headlines.NotASelect)

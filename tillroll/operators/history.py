@@ -71,12 +71,11 @@ def scd2_merge(history: DataFrame, snapshot: DataFrame, as_of: dt.date) -> DataF
 def scd2_as_of(history: DataFrame, probes: DataFrame, date_column: str) -> DataFrame:
     """Attach to each (product, date) the version valid on that date.
 
-    Starts are inclusive, ends exclusive. The equality on the key keeps this a
-    shuffle or broadcast hash join with the dates as a residual test.
+    Starts are inclusive, ends exclusive. A probe without a version keeps its row, with
+    NULL attributes. The equality on the key keeps this a shuffle or broadcast hash join
+    with the dates as a residual test.
     """
     day = F.col(date_column)
-    versions = history.select(KEY, *ATTRIBUTES, "valid_from", "valid_to")
-    return (
-        probes.join(versions, KEY)
-        .where((F.col("valid_from") <= day) & (day < F.col("valid_to")))
-    )
+    versions = history.select(F.col(KEY).alias("_key"), *ATTRIBUTES, "valid_from", "valid_to")
+    valid = (F.col(KEY) == F.col("_key")) & (F.col("valid_from") <= day) & (day < F.col("valid_to"))
+    return probes.join(versions, valid, "left").drop("_key")

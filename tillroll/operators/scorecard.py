@@ -138,6 +138,9 @@ def dq_row_count_change(history: DataFrame, tolerance: float = RUN_CHANGE_TOLERA
             "row_count",
             "previous_count",
             "change",
-            F.coalesce(F.abs("change") > tolerance, F.lit(False)).alias("anomaly_detected"),
+            # A change from zero rows has no ratio and is beyond any tolerance.
+            F.coalesce(
+                F.abs("change") > tolerance, (F.col("previous_count") == 0) & (F.col("row_count") != 0), F.lit(False)
+            ).alias("anomaly_detected"),
         )
     )

@@ -32,14 +32,17 @@ def derive_reordered(orders: DataFrame, order_products: DataFrame) -> DataFrame:
     """Flag lines whose product the same user bought in an earlier order.
 
     The first purchase of each (user, product) is found with a map-side combined
-    minimum and joined back, so no pair is ever sorted in a single task.
+    minimum and joined back, so no pair is ever sorted in a single task. Orders without
+    a user count as those of one user.
     """
     lines = order_products.select("order_id", "product_id").join(
         orders.select("order_id", "user_id", "order_date"), "order_id"
     )
     when_bought = F.struct("order_date", "order_id")
     firsts = lines.groupBy("user_id", "product_id").agg(F.min(when_bought).alias("_first"))
-    return lines.join(firsts, ["user_id", "product_id"]).select(
+    firsts = firsts.withColumnsRenamed({"user_id": "_buyer", "product_id": "_bought"})
+    same = F.col("user_id").eqNullSafe(F.col("_buyer")) & (F.col("product_id") == F.col("_bought"))
+    return lines.join(firsts, same).select(
         "order_id",
         "product_id",
         "user_id",

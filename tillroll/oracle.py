@@ -393,7 +393,7 @@ def statements() -> dict[str, str]:
         f"CAST(sum({v}) AS BIGINT) AS value_sum FROM {t}"
         for t, k, v in [
             ("stg_orders", "order_id", "order_dow + order_hour_of_day + coalesce(days_since_prior_order, 0)"),
-            ("stg_products", "product_id", "aisle_id + department_id + length(product_name)"),
+            ("stg_products", "product_id", "aisle_id + department_id + length(product_name || ', 12\" \"thin\"')"),
             ("stg_aisles", "aisle_id", "length(aisle_name)"),
             ("stg_departments", "department_id", "length(department_name)"),
             ("stg_order_products", "order_id", "product_id + add_to_cart_order + reordered"),
@@ -583,7 +583,8 @@ def statements() -> dict[str, str]:
         SELECT v.department_id, count(*) AS lines, count(DISTINCT l.product_id) AS products
         FROM stg_order_products l
         JOIN stg_orders o ON o.order_id = l.order_id
-        JOIN versions v ON v.product_id = l.product_id AND v.valid_from <= o.order_date AND o.order_date < v.valid_to
+        LEFT JOIN versions v
+          ON v.product_id = l.product_id AND v.valid_from <= o.order_date AND o.order_date < v.valid_to
         GROUP BY v.department_id"""
     q["derive_reordered"] = """
         SELECT l.order_id, l.product_id, o.user_id,
@@ -748,7 +749,7 @@ def statements() -> dict[str, str]:
         FROM day_users"""
     q["sticky_products"] = """
         SELECT product_id, lines AS times_ordered, round(share, 6) AS reorder_rate
-        FROM sales WHERE share > 0.5 ORDER BY share DESC, lines DESC, product_id LIMIT 20"""
+        FROM sales WHERE share > 0.5 ORDER BY share DESC, lines DESC, product_id"""
     q["product_reorder_rate"] = "SELECT product_id, round(avg(reordered), 6) AS reorder_rate FROM fct_orders GROUP BY product_id"
     q["avg_basket_size"] = """
         SELECT count(*) AS orders, round(avg(items), 6) AS avg_basket_size

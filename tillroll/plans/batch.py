@@ -17,7 +17,7 @@ from tillroll.plans.runs import log_runs, sla_breaches, table_counts
 from tillroll.plans.warehouse import Warehouse
 from tillroll.sinks.tables import append_ops_table, append_run_log, write_mart
 from tillroll.sources import staging
-from tillroll.sources.raw import load_staging, read_text, require_sources, source_inventory, with_current_names
+from tillroll.sources.raw import COLUMN_TYPES, load_staging, other_inputs, read_text, require_sources, source_inventory, with_current_names
 
 RUN_SCHEMA = T.StructType(
     [
@@ -58,6 +58,12 @@ def _record_run(spark, ops_dir: str, started, score, fact_rows, status, error=No
     return run
 
 
+def text_columns(name: str, df: DataFrame) -> DataFrame:
+    """The columns of an input that hold text: all but those declared to be numbers."""
+    declared = COLUMN_TYPES.get(name, {})
+    return df.select(*[c for c in df.columns if declared.get(c, "string") == "string"])
+
+
 def run_batch(
     spark: SparkSession,
     raw_dir: str,
@@ -80,8 +86,8 @@ def run_batch(
         validation = write_mart(validate_tables(text, specs), f"{out_dir}/checks/validation")
         require_valid(validation)
         found = None
-        for name, df in text.items():
-            one = pii_scan(name, df)
+        for name, df in {**text, **other_inputs(spark, raw_dir)}.items():
+            one = pii_scan(name, text_columns(name, df))
             found = one if found is None else found.unionByName(one)
         personal_data = pii_summary(write_mart(found, f"{out_dir}/checks/personal_data"))
 
@@ -110,7 +116,7 @@ def run_batch(
         )
         append_ops_table(metrics, f"{ops_dir}/data_quality_metrics")
     except Exception as error:
-        _record_run(spark, ops_dir, started, 0.0, 0, "failed", str(error)[:1000])
+        _record_run(spark, ops_dir, started, 0.0, 0, "failed", str(error))
         raise
     return BatchResult(
         inventory=inventory,

@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -75,13 +74,13 @@ def habit_products(fct: DataFrame, min_orders: int = 10, share: float = 1.0) ->
     )
 
 
-def sticky_products(fct: DataFrame, threshold: float = 0.85, k: int = 20) -> DataFrame:
+def sticky_products(fct: DataFrame, threshold: float = 0.85) -> DataFrame:
+    """Every product reordered more often than the threshold, the most often first."""
     return (
         fct.groupBy("product_id")
         .agg(rows().alias("times_ordered"), ratio(reordered_items(), rows()).alias("reorder_rate"))
         .where(F.col("reorder_rate") > threshold)
         .orderBy(F.desc("reorder_rate"), F.desc("times_ordered"), "product_id")
-        .limit(k)
     )
 
 
@@ -149,16 +148,83 @@ def register_views(**tables: DataFrame) -> None:
         df.createOrReplaceTempView(name)
 
 
+# Parts of a parsed SELECT that only read and compute. Anything else, such as commands and scripts
+# run on the executors, is refused.
+QUERY_NODES = frozenset(
+    """Aggregate CTERelationDef Deduplicate Distinct Except Filter Generate GlobalLimit Intersect Join LateralJoin LocalLimit
+    Offset OneRowRelation Pivot Project Sample Sort SubqueryAlias Tail Union UnresolvedHaving UnresolvedInlineTable
+    UnresolvedPivot UnresolvedRelation UnresolvedSubqueryColumnAliases UnresolvedUnpivot UnresolvedWith Unpivot
+    UnresolvedTableValuedFunction Window WithWindowDefinition""".split()
+)
+# Functions that call into the JVM or look at its files and settings.
+REFUSED_FUNCTIONS = frozenset(
+    """reflect java_method try_reflect input_file_name input_file_block_start input_file_block_length current_user
+    user session_user current_catalog current_database version""".split()
+)
+TABLE_FUNCTIONS = frozenset("explode explode_outer posexplode posexplode_outer inline inline_outer stack range json_tuple".split())
+
+
+def _elements(items) -> list:
+    """A collection of the JVM as a list."""
+    found, each = [], items.iterator()
+    while each.hasNext():
+        found.append(each.next())
+    return found
+
+
+def _refuse_all_but_reading(plan, views: frozenset[str]) -> None:
+    """Walk a parsed plan, its expressions and its subqueries."""
+    kind = plan.getClass().getSimpleName()
+    if kind not in QUERY_NODES:
+        raise NotASelect(f"not allowed in a query: {kind}")
+    if kind == "UnresolvedWith":
+        for pair in _elements(plan.cteRelations()):
+            name, query = pair._1(), pair._2()
+            _refuse_all_but_reading(query, views)
+            views = views | {name.lower()}
+    elif kind == "UnresolvedRelation":
+        name = ".".join(_elements(plan.multipartIdentifier())).lower()
+        if name not in views:
+            raise NotASelect(f"not a registered view: {name}")
+    elif kind == "UnresolvedTableValuedFunction":
+        name = ".".join(_elements(plan.name())).lower()
+        if name not in TABLE_FUNCTIONS:
+            raise NotASelect(f"not allowed in a query: {name}()")
+    for expression in _elements(plan.expressions()):
+        _refuse_calls(expression, views)
+    for child in _elements(plan.children()):
+        _refuse_all_but_reading(child, views)
+
+
+def _refuse_calls(expression, views: frozenset[str]) -> None:
+    kind = expression.getClass().getSimpleName()
+    if kind in ("UnresolvedFunction", "UnresolvedGenerator"):
+        parts = expression.nameParts() if kind == "UnresolvedFunction" else None
+        name = (".".join(_elements(parts)) if parts is not None else expression.name().unquotedString()).lower()
+        if name.split(".")[-1] in REFUSED_FUNCTIONS:
+            raise NotASelect(f"not allowed in a query: {name}()")
+    elif kind.startswith("CallMethodViaReflection") or kind.startswith("ScriptInput"):
+        raise NotASelect(f"not allowed in a query: {kind}")
+    if kind in ("ScalarSubquery", "Exists", "ListQuery", "LateralSubquery", "FunctionTableSubqueryArgumentExpression"):
+        _refuse_all_but_reading(expression.plan(), views)
+    for child in _elements(expression.children()):
+        _refuse_calls(child, views)
+
+
 def adhoc_select(spark: SparkSession, query: str, limit: int = 100) -> AdhocResult:
-    """Run a caller's SELECT over the registered views and tables.
+    """Run a caller's SELECT over the registered views.
 
-    The text is placed in a FROM clause, where the SQL grammar takes queries only:
-    DDL, DML, commands and several statements fail to parse. Nothing is collected here.
+    The text is parsed by itself, and the parsed plan may hold nothing but reading operators, no
+    function that reaches the JVM, and no relation but a view registered in the session or named in
+    its own WITH; files named as tables are refused too. Nothing is collected here.
     """
+    views = frozenset(t.name.lower() for t in spark.catalog.listTables() if t.isTemporary)
     try:
-        result = spark.sql(f"SELECT * FROM (\n{query}\n) AS asked")
-    except ParseException as error:
+        plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(query)
+    except Exception as error:  # the parser of the JVM, called directly
         raise NotASelect(str(error)) from error
+    _refuse_all_but_reading(plan, views)
+    result = spark.sql(query)
     return AdhocResult(
         query=query,
         columns=result.columns,

@@ -60,7 +60,8 @@ def log_runs(raw: DataFrame, sla_seconds: int = SLA_SECONDS) -> DataFrame:
 
 
 def sla_breaches(runs: DataFrame, sla_seconds: int = SLA_SECONDS) -> DataFrame:
-    return runs.where(F.col("duration_seconds") > sla_seconds).select(
+    """One alert row per run over the limit, by its exact time: 1800.5 seconds are a breach."""
+    return runs.where(_elapsed_seconds() > sla_seconds).select(
         "run_id",
         "run_date",
         "duration_seconds",

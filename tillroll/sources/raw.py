@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The columns read from each input. Gaps may be written as 7.0.
@@ -21,6 +21,9 @@ COLUMN_TYPES = {
     "order_products": {"order_id": "long", "product_id": "long", "add_to_cart_order": "int", "reordered": "int"},
 }
 
+# Inputs quote a quote by doubling it.
+CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
+
 # Header names that are renamed on load.
 RENAMED = {"aisle": "aisle_name", "department": "department_name"}
 
@@ -38,9 +41,21 @@ class MissingInput(FileNotFoundError):
     """A required file is absent."""
 
 
-def _file_of(path: str):
-    """The input a path belongs to: the file itself, or the folder of part files bearing its name."""
-    return F.regexp_extract(F.col(path), r"/([^/]+\.csv)(?:/[^/]+)?$", 1)
+def _root(spark: SparkSession, raw_dir: str) -> str:
+    """The folder's absolute path without scheme and host."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(raw_dir)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.makeQualified(path).toUri().getPath().rstrip("/")
+
+
+def _file_of(path: Column, root: str) -> Column:
+    """The input a path belongs to: a file in the folder itself, or the folder of part files bearing its name.
+
+    Files further down, such as those of an archive, belong to none.
+    """
+    bare = F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?", "")
+    inside = F.when(F.startswith(bare, F.lit(f"{root}/")), F.substring(bare, len(root) + 2, 2**31 - 1))
+    return F.regexp_extract(inside, r"^([^/]+\.csv)(?:/[^/]+)?$", 1)
 
 
 def source_inventory(spark: SparkSession, raw_dir: str, required: list[str] | None = None) -> DataFrame:
@@ -49,23 +64,25 @@ def source_inventory(spark: SparkSession, raw_dir: str, required: list[str] | No
     Sizes come from the listing; rows from one scan over all files, grouped by file.
     """
     required = list(required or STAGING_TABLES)
+    root = _root(spark, raw_dir)
     wanted = spark.range(1).select(F.explode(F.array(*[F.lit(n) for n in required])).alias("name"))
     sizes = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv")
         .load(raw_dir)
-        .groupBy(_file_of("path").alias("name"))
+        .groupBy(_file_of(F.col("path"), root).alias("name"))
         .agg((F.sum("length") / 1e6).alias("size_mb"))
     )
     counts = (
         spark.read.schema("line string")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv")
-        .option("header", True)
+        .options(**CSV_OPTIONS)
         .csv(raw_dir)
-        .select(F.col("_metadata.file_path").alias("path"))
-        .groupBy(_file_of("path").alias("name"))
+        # This path is escaped as in a URL, in which a plus sign stands for itself.
+        .select(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("path"))
+        .groupBy(_file_of(F.col("path"), root).alias("name"))
         .agg(F.count(F.lit(1)).alias("rows"))
     )
     return wanted.join(sizes, "name", "left").join(counts, "name", "left").select(
@@ -86,11 +103,23 @@ def require_sources(inventory: DataFrame) -> None:
 def read_text(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
     """Every input under its short name, all columns as text with the file's own header."""
     return {
-        table.removeprefix("stg_"): spark.read.option("header", True).csv(f"{raw_dir.rstrip('/')}/{name}")
+        table.removeprefix("stg_"): spark.read.options(**CSV_OPTIONS).csv(f"{raw_dir.rstrip('/')}/{name}")
         for name, table in STAGING_TABLES.items()
     }
 
 
+def other_inputs(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
+    """Further CSV files in the folder, under their file names, all columns as text."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(raw_dir)
+    listed = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    names = sorted(f.getPath().getName() for f in listed)
+    return {
+        name: spark.read.options(**CSV_OPTIONS).csv(f"{raw_dir.rstrip('/')}/{name}")
+        for name in names
+        if name.endswith(".csv") and name not in STAGING_TABLES
+    }
+
+
 def with_current_names(df: DataFrame) -> DataFrame:
     """Give name columns their staging name, whichever header the file uses."""
     for old, new in RENAMED.items():
@@ -102,9 +131,11 @@ def with_current_names(df: DataFrame) -> DataFrame:
 def load_staging(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
     """The five staging tables with declared types and a load time.
 
-    Columns are taken by name; text that does not fit its type fails the load
-    (ANSI casts) and undeclared columns are left out.
+    Columns are taken by name; text that does not fit its type fails the load, and
+    undeclared columns are left out.
     """
+    if spark.conf.get("spark.sql.ansi.enabled") != "true":
+        raise RuntimeError("set spark.sql.ansi.enabled: without it, text that does not fit its type is lost")
     loaded = {}
     for table, text in read_text(spark, raw_dir).items():
         text = with_current_names(text)

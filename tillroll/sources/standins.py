@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tillroll.operators.sequence import derive_order_sequence
 from tillroll.operators.skew import hot_keys, id_block, number_rows
 from tillroll.sources import staging
-from tillroll.sources.raw import COLUMN_TYPES, STAGING_TABLES
+from tillroll.sources.raw import COLUMN_TYPES, CSV_OPTIONS, STAGING_TABLES
 
 
 # Declared column types; reading needs no schema inference.
@@ -138,5 +138,8 @@ class Shop:
         for name, table in STAGING_TABLES.items():
             frame = getattr(self, table.removeprefix("stg_"))
             raw = frame.select(*COLUMN_TYPES[table.removeprefix("stg_")])
-            raw.write.option("header", True).csv(f"{folder}/{name}")
+            if name == "products.csv":
+                # Names with quotes and commas, as real catalogues have them.
+                raw = raw.withColumn("product_name", F.concat("product_name", F.lit(', 12" "thin"')))
+            raw.write.options(**CSV_OPTIONS).csv(f"{folder}/{name}")
         return folder
