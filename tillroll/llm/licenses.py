@@ -33,6 +33,8 @@ STEP = 8
 BINS = 1 << 16
 CONTAINMENT = 0.8
 MOST_COVER_WORDS = 200
+# Words that most English texts have; they tell little about a text.
+COMMON = frozenset("a an and any are as at be by can do for from has have if in is it may not of on or s that the this to was with you".split())
 WORD = r"[\p{L}\p{N}]+"
 
 # Notices by which texts state their license.
@@ -72,7 +74,7 @@ def template_shingles(template: str) -> list[str]:
 
 
 def cover_words(shingles: set[str]) -> list[str]:
-    """Words of which every shingle has one: the longest of those that cover most, again and again."""
+    """Words of which every shingle has one: long and uncommon ones that cover most, again and again."""
     left, chosen = set(shingles), []
     while left:
         count: dict[str, int] = {}
@@ -80,7 +82,7 @@ def cover_words(shingles: set[str]) -> list[str]:
             for word in set(shingle.split(" ")):
                 count[word] = count.get(word, 0) + 1
         # Long words are rarer in texts, so they are worth more than their count.
-        word = max(count, key=lambda w: (count[w] * len(w) ** 2, w))
+        word = max(count, key=lambda w: (w not in COMMON, count[w] * len(w) ** 2, w))
         chosen.append(word)
         left = {s for s in left if word not in s.split(" ")}
     return sorted(chosen)
