@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import LINES, day
 from tillroll.operators.sequence import derive_order_sequence, derive_reordered
-from tillroll.operators.skew import hot_keys, number_rows
+from tillroll.operators.numbering import number_rows
 
 
 @pytest.fixture(scope="module")
@@ -32,33 +32,38 @@ def plain_sequence(orders):
     )
 
 
-@pytest.mark.parametrize("ids_per_slice", [1, 7, 10_000])
-def test_sliced_numbering_equals_one_window(skewed, ids_per_slice):
-    ours = derive_order_sequence(skewed, ids_per_slice=ids_per_slice, min_rows=50, max_keys=20)
-    assert sorted(ours.collect()) == sorted(plain_sequence(skewed).collect())
-
-
-def test_nothing_hot_equals_one_window(skewed):
+def test_parts_equal_one_window(skewed):
     assert sorted(derive_order_sequence(skewed).collect()) == sorted(plain_sequence(skewed).collect())
 
 
-def test_hot_keys_are_few_by_construction(skewed):
-    assert [r.user_id for r in hot_keys(skewed, "user_id", max_keys=20, min_rows=50).collect()] == [1]
-    assert hot_keys(skewed, "user_id", max_keys=2, min_rows=1).count() == 0
-    assert hot_keys(skewed, "user_id", max_keys=5, min_rows=1).count() < 5
-
-
 def test_number_rows_without_carry(spark):
     df = spark.createDataFrame([(1, i // 4, i) for i in range(20)] + [(2, 0, 5)], "k long, a long, b long")
-    hot = spark.createDataFrame([(1,)], "k long")
-    out = number_rows(df, "k", ["a", "b"], ["a", "b div 3"], hot, "pos").collect()
+    out = number_rows(df, "k", ["a", "b"], "pos").collect()
     assert sorted((r.k, r.b, r.pos) for r in out) == [(1, i, i + 1) for i in range(20)] + [(2, 5, 1)]
 
 
-def test_unused_sequence_leaves_no_window_or_join(skewed):
-    plan = derive_order_sequence(skewed).select("order_id", "user_id")
-    text = plan._jdf.queryExecution().optimizedPlan().toString()
-    assert "Window" not in text and "Join" not in text
+@pytest.mark.parametrize(
+    "rows",
+    [
+        # One order of 100,000 lines, one with ids far apart, and a third of the keys missing.
+        "SELECT 1L AS k, id AS a, id AS b FROM range(100000)",
+        "SELECT id % 2 AS k, id * 461168601842738 AS a, -id AS b FROM range(20000)",
+        "SELECT CASE WHEN id % 3 = 0 THEN NULL ELSE id % 50 END AS k, id % 7 AS a, id AS b FROM range(30000)",
+    ],
+)
+def test_no_task_gets_a_whole_key(spark, rows):
+    """Every key is numbered exactly, and the parts that number it are about even."""
+    df = spark.sql(rows).repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the parts are small here
+    out = number_rows(df, "k", ["a", "b"], "pos", carry="a", previous="before")
+    w = Window.partitionBy("k").orderBy("a", "b")
+    plain = df.select("*", F.row_number().over(w).alias("pos"), F.lag("a").over(w).alias("before"))
+    assert out.exceptAll(plain).count() == 0 and plain.exceptAll(out).count() == 0
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    stored = out.inputFiles()
+    per_part = spark.read.parquet(*stored).groupBy((F.col("_place") / 2**33).cast("int")).count()
+    sizes = [r["count"] for r in per_part.collect()]
+    assert len(sizes) > 1 and max(sizes) <= 2 * df.count() / len(sizes)
 
 
 def test_first_order_has_no_gap_and_same_day_has_gap_zero(spark):

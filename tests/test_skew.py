@@ -1,6 +1,5 @@
 """The same results when one user, one order and one product hold a third of the rows."""
 
-from functools import partial
 from pathlib import Path
 
 import duckdb
@@ -8,8 +7,6 @@ import pytest
 
 import __spark_entry__ as entry_points
 import compare
-from tillroll.operators import sequence, skew
-from tillroll.sources import standins
 
 SOURCE = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not SOURCE.exists(), reason="no test tables")
@@ -57,10 +54,7 @@ def con(folder):
 
 
 @pytest.fixture()
-def strained(spark, monkeypatch):
-    few = partial(skew.hot_keys, max_keys=20, min_rows=50)
-    monkeypatch.setattr(sequence, "hot_keys", few)
-    monkeypatch.setattr(standins, "hot_keys", few)
+def strained(spark):
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
     yield

@@ -61,8 +61,9 @@ class Store(Warehouse, Shop):
         return scratch_dir(self.spark, label)
 
     def stored(self, names) -> dict[str, DataFrame]:
-        """Staging and the named marts, written once: checks scan tables, not plans."""
-        return self.store(self.scratch("warehouse"), [m for m in MARTS if m in names])
+        """Staging and the marts, built and written once per session and folder: checks scan tables, not plans."""
+        stored = self.shared("warehouse", lambda: self.store(self.scratch("warehouse")))
+        return {n: df for n, df in stored.items() if n in names or n.startswith("stg_")}
 
 
 def query(function, name: str | None = None):
@@ -581,7 +582,7 @@ def ops_table_counts(s: Store) -> DataFrame:
 
 
 @query
-def api_run_health(s: Store) -> DataFrame:
+def api_pipeline_health(s: Store) -> DataFrame:
     return runs.run_health(s.batch_runs)
 
 

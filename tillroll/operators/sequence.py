@@ -5,20 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.operators.skew import IDS_PER_SLICE, hot_keys, id_block, number_rows
+from tillroll.operators.numbering import number_rows
 
 
-def derive_order_sequence(orders: DataFrame, ids_per_slice: int = IDS_PER_SLICE, **hot_limits) -> DataFrame:
+def derive_order_sequence(orders: DataFrame) -> DataFrame:
     """Add order_number and days_since_prior_order (NULL on a user's first order).
 
-    Needs order_id, user_id, order_date. Users are sliced by day and id block when hot.
+    Needs order_id, user_id, order_date. Orders without a user are numbered as those of one.
     """
     numbered = number_rows(
         orders,
         key="user_id",
         order_by=["order_date", "order_id"],
-        slices=["order_date", id_block("order_id", ids_per_slice)],
-        hot=hot_keys(orders, "user_id", **hot_limits),
         position="order_number",
         carry="order_date",
         previous="_prior_date",

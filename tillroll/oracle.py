@@ -688,7 +688,7 @@ def statements() -> dict[str, str]:
         f"SELECT *, round(row_count / 1000000e0, 2) AS millions_of_rows FROM ({_counts(*THREE)}) c"
     )
     minutes = "epoch(completed_at - started_at) / 60"
-    q["api_run_health"] = (
+    q["api_pipeline_health"] = (
         "SELECT CAST(30 AS DOUBLE) AS sla_threshold_mins, "
         "round(100e0 * count(*) FILTER (sla_met) / count(*), 1) AS sla_compliance_rate, "
         f"round(avg({minutes}), 1) AS avg_duration_mins FROM batch_runs"

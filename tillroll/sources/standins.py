@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.operators.sequence import derive_order_sequence
-from tillroll.operators.skew import hot_keys, id_block, number_rows
+from tillroll.operators.numbering import number_rows
 from tillroll.sources import staging
 from tillroll.sources.raw import COLUMN_TYPES, CSV_OPTIONS, STAGING_TABLES
 
@@ -33,6 +33,10 @@ TABLES = {
 }
 
 
+# Frames over rows stored in the shared scratch folder, by session and input folder.
+SHARED: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
 class Shop:
     """Lazy staging frames over one folder of parquet tables."""
 
@@ -54,9 +58,16 @@ class Shop:
             "date(o_orderdate) AS order_date",
         )
 
+    def shared(self, name: str, build) -> DataFrame:
+        """A frame that reads stored rows, made once per session and folder: the tables of a folder do not change."""
+        made = SHARED.setdefault((self.spark.sparkContext.applicationId, self.folder), {})
+        if name not in made:
+            made[name] = build()
+        return made[name]
+
     @cached_property
     def orders(self) -> DataFrame:
-        return staging.stg_orders(derive_order_sequence(self.dated_orders))
+        return self.shared("orders", lambda: staging.stg_orders(derive_order_sequence(self.dated_orders)))
 
     @cached_property
     def products(self) -> DataFrame:
@@ -71,6 +82,9 @@ class Shop:
     @cached_property
     def order_products(self) -> DataFrame:
         """Lines at (order, product) grain, numbered by their first line in the order."""
+        return self.shared("order_products", self._numbered_lines)
+
+    def _numbered_lines(self) -> DataFrame:
         lines = self.table("lineitem").selectExpr(
             "l_orderkey AS order_id",
             "l_partkey AS product_id",
@@ -84,8 +98,6 @@ class Shop:
             grain,
             key="order_id",
             order_by=["first_line", "product_id"],
-            slices=["first_line", id_block("product_id")],
-            hot=hot_keys(lines, "order_id"),
             position="add_to_cart_order",
         )
         return staging.stg_order_products(numbered)
