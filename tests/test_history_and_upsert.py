@@ -125,6 +125,24 @@ def test_stored_fact_takes_batches(spark, stored):
     assert keyed(tables.merge_into_fact(spark, path, nothing, after_order=1, orders_per_block=2)) == keyed(merged)
 
 
+def test_merge_into_two_far_blocks_leaves_those_between_alone(spark):
+    path = scratch_dir(spark, "fact")
+    fact = spark.range(20).selectExpr("id AS order_id", "1L AS product_id", "1 AS add_to_cart_order")
+    tables.write_fact(fact, path, orders_per_block=2)
+
+    def files():
+        found = spark.read.parquet(path).select("order_block", F.input_file_name().alias("file")).distinct()
+        return {(r.order_block, r.file) for r in found.collect()}
+
+    before = files()
+    batch = spark.createDataFrame([(1, 1, 99), (19, 1, 99)], FACT)
+    merged = tables.merge_into_fact(spark, path, batch, after_order=0, orders_per_block=2)
+    assert [k for k in keyed(merged) if k[2] == 99] == [(1, 1, 99), (19, 1, 99)] and merged.count() == 20
+    kept = {f for f in before if f[0] not in (0, 9)}
+    assert kept <= files() and not (before - kept) & files()
+    assert tables.newest_order(spark.read.parquet(path)) == 19
+
+
 def test_merge_leaves_other_blocks_alone(spark, stored):
     path = scratch_dir(spark, "fact")
     tables.write_fact(stored, path, orders_per_block=2)

@@ -57,6 +57,17 @@ def steady(df: DataFrame, digits: int = 6) -> DataFrame:
     )
 
 
+def per_order(lines: DataFrame, *group: str) -> DataFrame:
+    """One row per group and order with its user, lines and reordered lines.
+
+    Several distinct counts over the lines themselves would multiply every line; over this
+    smaller table, orders are rows and only the users are left to count.
+    """
+    return lines.groupBy(*group, "order_id").agg(
+        F.max("user_id").alias("user_id"), rows().alias("lines"), reordered_items().alias("again")
+    )
+
+
 def join_groups(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Join two aggregates on their group keys; a NULL key is a group like any other."""
     renamed = right.select(

@@ -12,7 +12,7 @@ from tillroll.functions.labels import (
     gap_bucket,
     label_position,
 )
-from tillroll.functions.numbers import percent, ratio, reorder_share, reordered_items, round_to, rows
+from tillroll.functions.numbers import join_groups, per_order, percent, ratio, reorder_share, reordered_items, round_to, rows
 
 
 def share_of_total(n: str):
@@ -34,14 +34,25 @@ def product_sales(fct: DataFrame) -> DataFrame:
 
 def health_daily(fct: DataFrame) -> DataFrame:
     """Activity by day of week; the items figure is distinct products per distinct order."""
-    return (
-        fct.groupBy(F.col("order_dow").alias("day_of_week"))
+    lines = fct.withColumnRenamed("order_dow", "day_of_week")
+    activity = (
+        per_order(lines, "day_of_week")
+        .groupBy("day_of_week")
         .agg(
             F.countDistinct("user_id").alias("daily_active_users"),
-            F.countDistinct("order_id").alias("daily_orders"),
-            F.countDistinct("product_id").alias("unique_products_ordered"),
-            round_to(reorder_share(), 2).alias("reorder_rate"),
+            rows().alias("daily_orders"),
+            round_to(ratio(F.sum("again"), F.sum("lines")), 2).alias("reorder_rate"),
         )
+    )
+    choice = (
+        lines.select("day_of_week", "product_id")
+        .distinct()
+        .groupBy("day_of_week")
+        .agg(F.count("product_id").alias("unique_products_ordered"))
+    )
+    return (
+        join_groups(activity, choice, ["day_of_week"])
+        .select("day_of_week", "daily_active_users", "daily_orders", "unique_products_ordered", "reorder_rate")
         .withColumn(
             "avg_items_per_order",
             round_to(ratio(F.col("unique_products_ordered"), F.col("daily_orders")), 2),
@@ -62,14 +73,20 @@ def health_top_reorder(fct: DataFrame, dim_products: DataFrame, min_orders: int
 
 
 def health_department_share(fct: DataFrame, dim_products: DataFrame) -> DataFrame:
-    return (
+    group = ["department_id", "department_name"]
+    shelf = dim_products.select("product_id", *group)
+    demand = (
         fct.select("order_id", "product_id")
-        .join(dim_products.select("product_id", "department_id", "department_name"), "product_id")
-        .groupBy("department_id", "department_name")
-        .agg(
-            F.countDistinct("order_id").alias("total_orders"),
-            F.countDistinct("product_id").alias("unique_products"),
-        )
+        .join(shelf, "product_id")
+        .select(*group, "order_id")
+        .distinct()
+        .groupBy(*group)
+        .agg(rows().alias("total_orders"))
+    )
+    sold = fct.select("product_id").distinct().join(shelf.distinct(), "product_id")
+    choice = sold.groupBy(*group).agg(rows().alias("unique_products"))
+    return (
+        join_groups(demand, choice, group)
         .withColumn("pct_of_orders", share_of_total("total_orders"))
         .orderBy(F.desc("total_orders"), "department_id")
     )
@@ -178,14 +195,16 @@ def funnel_top_reordered(fct: DataFrame, dim_products: DataFrame, min_orders: in
 
 
 def funnel_department(fct: DataFrame, dim_products: DataFrame) -> DataFrame:
+    lines = fct.select("order_id", "user_id", "product_id", "reordered").join(
+        dim_products.select("product_id", "department_name"), "product_id"
+    )
     return (
-        fct.select("order_id", "user_id", "product_id", "reordered")
-        .join(dim_products.select("product_id", "department_name"), "product_id")
+        per_order(lines, "department_name")
         .groupBy("department_name")
         .agg(
-            F.countDistinct("order_id").alias("order_count"),
+            rows().alias("order_count"),
             F.countDistinct("user_id").alias("unique_users"),
-            round_to(reorder_share(), 3).alias("reorder_rate"),
+            round_to(ratio(F.sum("again"), F.sum("lines")), 3).alias("reorder_rate"),
         )
         .withColumn("orders_per_user", round_to(ratio(F.col("order_count"), F.col("unique_users")), 2))
         .orderBy(F.desc("order_count"), "department_name")

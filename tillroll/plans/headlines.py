@@ -9,15 +9,20 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.labels import day_name
-from tillroll.functions.numbers import percent, ratio, reordered_items, round_to, rows
+from tillroll.functions.numbers import per_order, percent, ratio, reordered_items, round_to, rows
 
 
 def api_metrics(fct: DataFrame) -> DataFrame:
-    return fct.agg(
-        rows().alias("fact_orders"),
-        F.countDistinct("user_id").alias("users"),
-        F.countDistinct("product_id").alias("products"),
-        percent(reordered_items(), rows()).alias("reorder_rate"),
+    products = fct.select("product_id").distinct().agg(F.count("product_id")).scalar()
+    # Without any line the sums are NULL, where counts are zero.
+    return (
+        per_order(fct)
+        .agg(
+            F.coalesce(F.sum("lines"), F.lit(0)).alias("fact_orders"),
+            F.countDistinct("user_id").alias("users"),
+            percent(F.sum("again"), F.sum("lines")).alias("reorder_rate"),
+        )
+        .select("fact_orders", "users", products.alias("products"), "reorder_rate")
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.labels import performance_tier, user_cohort
-from tillroll.functions.numbers import is_reordered, join_groups, percent, ratio, reordered_items, rows
+from tillroll.functions.numbers import is_reordered, join_groups, per_order, percent, ratio, reordered_items, rows
 from tillroll.sources.staging import anchored_dates
 
 
@@ -97,14 +97,17 @@ def department_performance(orders: DataFrame, order_products: DataFrame, product
             F.coalesce(F.sum("again"), F.lit(0)).alias("reordered_items"),
         )
     )
+    # One row per department and order meets the orders, not every line.
+    baskets = (
+        order_products.join(shelf, "product_id").groupBy("department_id", "order_id").agg(reordered_items().alias("again"))
+    )
     reach = (
-        order_products.join(shelf, "product_id")
-        .join(orders.select("order_id", "user_id"), "order_id")
+        baskets.join(orders.select("order_id", "user_id"), "order_id")
         .groupBy("department_id")
         .agg(
-            F.countDistinct("order_id").alias("total_orders"),
+            rows().alias("total_orders"),
             F.countDistinct("user_id").alias("unique_users"),
-            F.countDistinct(F.when(is_reordered(), F.col("order_id"))).alias("orders_again"),
+            F.count(F.when(F.col("again") > 0, 1)).alias("orders_again"),
         )
     )
     totals = join_groups(volume, reach, ["department_id"]).select(
@@ -141,38 +144,46 @@ def department_dow_cohorts(orders: DataFrame, order_products: DataFrame, product
         "left",
     )
     group = ["department_id", "order_dow"]
+    baskets = lines.groupBy(*group, "order_id", "known_order").agg(
+        F.max("user_id").alias("user_id"), reordered_items().alias("again")
+    )
+    choice = lines.select(*group, "product_id").distinct().groupBy(*group).agg(F.count("product_id").alias("products"))
     sold = order_products.select("product_id").distinct()
     unsold = shelf.join(sold, "product_id", "left_anti").select(
         "department_id", F.lit(None).cast("int").alias("order_dow")
     )
     nothing = F.lit(None).cast("long")
-    return (
-        lines.select(*group, "known_order", "user_id", "product_id", "reordered")
+    activity = (
+        baskets.select(*group, "known_order", "user_id", "again")
         .unionByName(
             unsold.distinct().select(
-                *group,
-                nothing.alias("known_order"),
-                nothing.alias("user_id"),
-                nothing.alias("product_id"),
-                F.lit(0).alias("reordered"),
+                *group, nothing.alias("known_order"), nothing.alias("user_id"), F.lit(0).cast("long").alias("again")
             )
         )
         .groupBy(*group)
         .agg(
             F.countDistinct("user_id").alias("users_by_dow"),
-            F.countDistinct("known_order").alias("orders_by_dow"),
-            ratio(reordered_items(), F.countDistinct("product_id")).alias("reorder_rate_by_dow"),
+            F.count("known_order").alias("orders_by_dow"),
+            F.sum("again").alias("again"),
         )
     )
+    return join_groups(activity, choice, group).select(
+        *group, "users_by_dow", "orders_by_dow", ratio(F.col("again"), F.col("products")).alias("reorder_rate_by_dow")
+    )
 
 
 def daily_product_metrics(fct: DataFrame, dim_products: DataFrame) -> DataFrame:
     """Sales per day and product, aggregated before the product names are joined."""
-    daily = fct.groupBy("order_date", "product_id").agg(
-        rows().alias("daily_orders"),
-        F.countDistinct("user_id").alias("daily_unique_users"),
-        percent(reordered_items(), rows()).alias("daily_reorder_rate"),
-        F.countDistinct("order_id").alias("daily_distinct_orders"),
+    day = ["order_date", "product_id"]
+    daily = (
+        per_order(fct, *day)
+        .groupBy(*day)
+        .agg(
+            F.sum("lines").alias("daily_orders"),
+            F.countDistinct("user_id").alias("daily_unique_users"),
+            percent(F.sum("again"), F.sum("lines")).alias("daily_reorder_rate"),
+            rows().alias("daily_distinct_orders"),
+        )
     )
     names = dim_products.select("product_id", "product_name", "department_id")
     return daily.join(names, "product_id").select(

@@ -28,8 +28,9 @@ MARTS = [
 READ_OTHER_MARTS = ["dim_products_scd", "daily_product_metrics"]
 STAGING = ["orders", "order_products", "products", "aisles", "departments"]
 
-# How marts are stored.
-PARTITIONS = {"fct_orders": ["order_dow"]}
+# How marts are stored: daily metrics in ranges of days, whose statistics let a look at one day skip
+# the other files; the fact in blocks of orders.
+SORTED_BY = {"daily_product_metrics": ["order_date", "product_id"]}
 AUDIT_COLUMNS = {
     **{name: ["created_at"] for name in MARTS},
     "dim_users": ["created_at", "updated_at"],
@@ -116,7 +117,9 @@ class Warehouse:
             [n for n in names if n not in READ_OTHER_MARTS],
             [n for n in names if n in READ_OTHER_MARTS],
         ):
-            written = write_marts({n: getattr(built, n) for n in wave}, folder, PARTITIONS, AUDIT_COLUMNS)
+            written = write_marts(
+                {n: getattr(built, n) for n in wave}, folder, AUDIT_COLUMNS, SORTED_BY, ["fct_orders"]
+            )
             # Later marts read the stored table instead of the plan.
             built.__dict__.update(written)
             stored.update(written)

@@ -36,9 +36,14 @@ def write_mart(
     partition_by: list[str] | None = None,
     audit: list[str] | None = None,
     file_format: str = "parquet",
+    sort_by: list[str] | None = None,
 ) -> DataFrame:
     """Replace the mart stored at ``path`` and return it as read back."""
     stamped = stamp(df, audit or [])
+    order = [*(partition_by or []), *(sort_by or [])]
+    if order:
+        # Without this every task would write a file of every partition.
+        stamped = stamped.repartitionByRange(*order).sortWithinPartitions(*order)
     writer = stamped.write.mode("overwrite").format(file_format)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -49,8 +54,9 @@ def write_mart(
 def write_marts(
     frames: dict[str, DataFrame],
     folder: str,
-    partitions: dict[str, list[str]] | None = None,
     audit: dict[str, list[str]] | None = None,
+    sorted_by: dict[str, list[str]] | None = None,
+    facts: list[str] | None = None,
     at_once: int = 4,
 ) -> dict[str, DataFrame]:
     """Write marts that do not read each other, a few jobs at a time.
@@ -60,7 +66,10 @@ def write_marts(
 
     def write(name: str) -> DataFrame:
         columns = (audit or {}).get(name)
-        return write_mart(frames[name], f"{folder}/{name}", (partitions or {}).get(name), columns)
+        if name in (facts or ()):
+            # Read back without the block: it is a matter of storage.
+            return write_fact(frames[name], f"{folder}/{name}", audit=columns).drop("order_block")
+        return write_mart(frames[name], f"{folder}/{name}", audit=columns, sort_by=(sorted_by or {}).get(name))
 
     with ThreadPoolExecutor(at_once) as pool:
         return dict(zip(frames, pool.map(write, frames)))
@@ -111,9 +120,32 @@ def _with_block(fct: DataFrame, orders_per_block: int) -> DataFrame:
     return fct.withColumn("order_block", F.floor(F.col("order_id") / F.lit(orders_per_block)))
 
 
-def write_fact(fct: DataFrame, path: str, orders_per_block: int = ORDERS_PER_BLOCK) -> DataFrame:
+def _sorted_blocks(blocked: DataFrame) -> DataFrame:
+    """Rows in the order of their orders, so a task writes few blocks and files hold ranges of orders."""
+    order = ["order_block", "order_id"]
+    return blocked.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def write_fact(
+    fct: DataFrame, path: str, orders_per_block: int = ORDERS_PER_BLOCK, audit: list[str] | None = None
+) -> DataFrame:
     """Store the fact in blocks of consecutive orders."""
-    return write_mart(_with_block(fct, orders_per_block), path, ["order_block"])
+    stamped = stamp(_sorted_blocks(_with_block(fct, orders_per_block)), audit or [])
+    stamped.write.mode("overwrite").partitionBy("order_block").parquet(path)
+    return fct.sparkSession.read.schema(stamped.schema).parquet(path)
+
+
+def newest_order(stored: DataFrame):
+    """The highest order of a stored fact: only its last block is scanned, as blocks follow the orders."""
+    last = stored.agg(F.max("order_block").alias("block")).first().block
+    if last is None:
+        return None
+    return stored.where(F.col("order_block") == last).agg(F.max("order_id").alias("top")).first().top
+
+
+def _drop_scratch(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def merge_into_fact(
@@ -122,36 +154,39 @@ def merge_into_fact(
     """Upsert a batch into the stored fact, touching only the blocks it falls into.
 
     Without ``after_order`` every arriving order is newer than the stored ones, so the
-    batch is appended. With it, the affected blocks are read by partition pruning, merged,
+    batch is appended. With it, the touched blocks alone are read by partition pruning, merged,
     written to the shared scratch folder (Spark must not overwrite files it is reading)
-    and put in place of their partitions.
+    and put in place of their partitions. The scratch copies are removed after the swap.
     """
     stored = spark.read.parquet(path)
-    bound = stored.agg(F.max("order_id")).scalar() if after_order is None else after_order
+    bound = newest_order(stored) if after_order is None else after_order
+    arriving = new if bound is None else new.where(F.col("order_id") > bound)
     incoming_path = scratch_dir(spark, "fact-incoming")
-    _with_block(new.where(F.col("order_id") > bound), orders_per_block).write.parquet(incoming_path)
+    _sorted_blocks(_with_block(arriving, orders_per_block)).write.parquet(incoming_path)
     incoming = spark.read.parquet(incoming_path).select(*stored.columns)
     if after_order is None:
-        incoming.write.mode("append").partitionBy("order_block").parquet(path)
+        _sorted_blocks(incoming).write.mode("append").partitionBy("order_block").parquet(path)
+        _drop_scratch(spark, incoming_path)
         return spark.read.parquet(path)
 
-    # One row: the range of touched blocks, as constants the partition filter can use.
-    span = incoming.agg(F.min("order_block").alias("lo"), F.max("order_block").alias("hi")).first()
-    if span.lo is None:
-        return stored
-    affected = stored.where(F.col("order_block").between(span.lo, span.hi))
-    merged_path = scratch_dir(spark, "fact-merged")
-    (
-        affected.join(incoming.select(*FACT_KEY), FACT_KEY, "left_anti")
-        .unionByName(incoming)
-        .write.partitionBy("order_block")
-        .parquet(merged_path)
-    )
-    (
-        spark.read.parquet(merged_path)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("order_block")
-        .parquet(path)
-    )
+    # The touched blocks, as constants the partition filter can use: no more than the fact has partitions
+    # or the batch adds.
+    touched = [r.order_block for r in incoming.select("order_block").distinct().collect()]
+    if touched:
+        merged_path = scratch_dir(spark, "fact-merged")
+        (
+            stored.where(F.col("order_block").isin(touched))
+            .join(incoming.select(*FACT_KEY), FACT_KEY, "left_anti")
+            .unionByName(incoming)
+            .write.parquet(merged_path)
+        )
+        (
+            _sorted_blocks(spark.read.parquet(merged_path))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("order_block")
+            .parquet(path)
+        )
+        _drop_scratch(spark, merged_path)
+    _drop_scratch(spark, incoming_path)
     return spark.read.parquet(path)
