@@ -1,11 +1,13 @@
 """Cases that the tables at hand do not hold, and the fixed values both sides of the comparison share."""
 
 import datetime as dt
+from dataclasses import replace
 
 from tillroll.operators import assertions, history, personal_data, scorecard
 from tillroll.operators.sequence import derive_reordered
 from tillroll.plans import headlines, runs
-from tillroll.plans.batch import text_columns
+from tillroll.operators.validation import SPECS
+from tillroll.plans.batch import run_batch, text_columns
 from tillroll.sinks import tables
 from tillroll.sources.raw import load_staging, source_inventory
 
@@ -80,6 +82,29 @@ def test_numbers_are_no_personal_data(spark):
     assert sum(r.matches for r in found) == 1
 
 
+def test_second_day_goes_on_from_the_first(spark, tmp_path):
+    """Fact and history after two days are those of one build; the counts are compared with the day before."""
+    specs = {n: replace(s, min_rows=1) for n, s in SPECS.items()}
+    day = dt.date(2024, 1, 1)
+    first = run_batch(spark, write_inputs(tmp_path / "one"), str(tmp_path / "out"), day, specs)
+    assert [r.previous_count for r in first.changes.collect()] == [None]
+    raw = write_inputs(tmp_path / "two", "1,Pizza,1,1\n3,Salad,1,1")
+    with open(f"{raw}/orders.csv", "a") as orders, open(f"{raw}/order_products__train.csv", "a") as lines:
+        orders.write("3,1,2,2,9,3.0\n")
+        lines.write("3,1,1,1\n3,3,2,0\n")
+    second = run_batch(spark, raw, str(tmp_path / "out"), day + dt.timedelta(1), specs)
+    fact = {(r.order_id, r.product_id) for r in second.marts["fct_orders"].collect()}
+    assert fact == {(1, 1), (2, 1), (3, 1), (3, 3)} and second.marts["fct_orders"].count() == 4
+    history = {(r.product_id, r.product_name, str(r.valid_from), r.is_current) for r in second.marts["dim_products_scd"].collect()}
+    assert history == {
+        (1, 'Pizza 12" thin', "2024-01-01", False), (1, "Pizza", "2024-01-02", True),
+        (2, 'Say "Cheese", please', "2024-01-01", False), (3, "Salad", "2024-01-02", True),
+    }
+    assert [(r.previous_count, r.row_count, r.anomaly_detected) for r in second.changes.collect()] == [(2, 4, True)]
+    runs_ = spark.read.parquet(str(tmp_path / "out" / "ops" / "pipeline_runs"))
+    assert runs_.count() == 2 and {"rows_failed", "created_at"} <= set(runs_.columns)
+
+
 def test_fixed_values():
     """Written out, as the SQL side is built from the same names."""
     assert sum(len(c) for c in assertions.NOT_NULL.values()) + sum(len(c) for c in assertions.UNIQUE.values()) == 43

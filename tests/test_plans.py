@@ -63,3 +63,17 @@ def test_drilldown_filter_reaches_the_scan(spark):
 def test_unused_dimension_work_is_dropped(spark):
     plan = executed(Store(spark, FOLDER).dim_products.select("product_id", "product_name"))
     assert "reordered" not in plan
+
+
+def test_marts_share_one_join_of_orders_and_lines(spark):
+    """Over the shared table no mart joins orders with lines, and none multiplies lines to count distincts."""
+    shared = spark.createDataFrame([], Store(spark, FOLDER).order_lines.schema)
+    marts = Store(spark, FOLDER)
+    marts.__dict__["order_lines"] = shared
+    for name in ("fct_orders", "dim_users", "product_funnel", "department_performance", "department_dow_cohorts"):
+        plan = getattr(marts, name)._jdf.queryExecution().optimizedPlan().toString()
+        assert not [line for line in plan.splitlines() if "Relation" in line and "user_id#" in line and "parquet" in line], name
+        assert "Expand" not in plan, name
+    for name in ("health_daily", "health_department_share", "funnel_department", "api_metrics", "daily_product_metrics"):
+        plan = entry_points.queries()[name](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+        assert "Expand" not in plan, name

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.labels import performance_tier, user_cohort
-from tillroll.functions.numbers import is_reordered, join_groups, per_order, percent, ratio, reordered_items, rows
+from tillroll.functions.numbers import join_groups, per_order, percent, ratio, reordered_items, rows
+from tillroll.plans.star import baskets, order_lines, sold
 from tillroll.sources.staging import anchored_dates
 
 
@@ -17,7 +18,11 @@ def _zero(column: str):
 
 
 def product_funnel(
-    orders: DataFrame, order_products: DataFrame, products: DataFrame, anchor: dt.date | None = None
+    orders: DataFrame,
+    order_products: DataFrame,
+    products: DataFrame,
+    anchor: dt.date | None = None,
+    lines: DataFrame | None = None,
 ) -> DataFrame:
     """Users, orders and products per (day, day of week).
 
@@ -26,27 +31,21 @@ def product_funnel(
     a single pass counting all five distincts would multiply the lines sixfold.
     """
     if anchor is not None:
-        orders = anchored_dates(orders, anchor)
+        orders, lines = anchored_dates(orders, anchor), None
     day = ["metric_date", "order_dow"]
-    dated = orders.select("order_id", "user_id", F.col("order_date").alias("metric_date"), "order_dow")
-
-    baskets = order_products.groupBy("order_id").agg(F.max(is_reordered()).alias("again"))
+    lines = order_lines(orders, order_products) if lines is None else lines
+    dated = lines.withColumnRenamed("order_date", "metric_date")
     activity = (
-        dated.join(baskets, "order_id", "left")
+        baskets(dated, "user_id", *day)
         .groupBy(*day)
         .agg(
             F.countDistinct("user_id").alias("daily_users"),
-            F.countDistinct("order_id").alias("daily_orders"),
-            F.countDistinct(F.when(F.col("again"), F.col("order_id"))).alias("orders_with_reorders"),
+            rows().alias("daily_orders"),
+            F.count(F.when(F.col("again") > 0, 1)).alias("orders_with_reorders"),
         )
     )
 
-    picks = (
-        order_products.select("order_id", "product_id", "reordered")
-        .join(dated.select("order_id", *day), "order_id")
-        .groupBy(*day, "product_id")
-        .agg(reordered_items().alias("again"))
-    )
+    picks = sold(dated).groupBy(*day, "product_id").agg(reordered_items().alias("again"))
     known = products.select("product_id").distinct().withColumn("known", F.lit(True))
     choice = (
         picks.join(known, "product_id", "left")
@@ -81,7 +80,9 @@ def user_retention(orders: DataFrame) -> DataFrame:
     )
 
 
-def department_performance(orders: DataFrame, order_products: DataFrame, products: DataFrame) -> DataFrame:
+def department_performance(
+    orders: DataFrame, order_products: DataFrame, products: DataFrame, lines: DataFrame | None = None
+) -> DataFrame:
     """Totals, rates and ranks per department.
 
     Line totals are summed per product before they meet the catalogue. The ranks sort
@@ -97,12 +98,9 @@ def department_performance(orders: DataFrame, order_products: DataFrame, product
             F.coalesce(F.sum("again"), F.lit(0)).alias("reordered_items"),
         )
     )
-    # One row per department and order meets the orders, not every line.
-    baskets = (
-        order_products.join(shelf, "product_id").groupBy("department_id", "order_id").agg(reordered_items().alias("again"))
-    )
+    lines = order_lines(orders, order_products) if lines is None else lines
     reach = (
-        baskets.join(orders.select("order_id", "user_id"), "order_id")
+        per_order(sold(lines).join(shelf, "product_id"), "department_id")
         .groupBy("department_id")
         .agg(
             rows().alias("total_orders"),
@@ -131,22 +129,19 @@ def department_performance(orders: DataFrame, order_products: DataFrame, product
     return ranked.withColumn("performance_tier", performance_tier(F.col("order_volume_rank")))
 
 
-def department_dow_cohorts(orders: DataFrame, order_products: DataFrame, products: DataFrame) -> DataFrame:
+def department_dow_cohorts(
+    orders: DataFrame, order_products: DataFrame, products: DataFrame, lines: DataFrame | None = None
+) -> DataFrame:
     """Users, orders and reorder rate per department and day of week.
 
     Products nobody ordered put their department in the group without a day. They are
     added from the catalogue, which keeps the line join an inner one that AQE can split.
     """
     shelf = products.select("product_id", "department_id")
-    lines = order_products.join(shelf, "product_id").join(
-        orders.select("order_id", "user_id", "order_dow", F.col("order_id").alias("known_order")),
-        "order_id",
-        "left",
-    )
+    lines = order_lines(orders, order_products) if lines is None else lines
+    lines = lines.where(F.col("product_id").isNotNull()).join(shelf, "product_id")
     group = ["department_id", "order_dow"]
-    baskets = lines.groupBy(*group, "order_id", "known_order").agg(
-        F.max("user_id").alias("user_id"), reordered_items().alias("again")
-    )
+    orders_of = per_order(lines.withColumn("known_order", F.when(F.col("known_order"), F.col("order_id"))), *group, "known_order")
     choice = lines.select(*group, "product_id").distinct().groupBy(*group).agg(F.count("product_id").alias("products"))
     sold = order_products.select("product_id").distinct()
     unsold = shelf.join(sold, "product_id", "left_anti").select(
@@ -154,7 +149,7 @@ def department_dow_cohorts(orders: DataFrame, order_products: DataFrame, product
     )
     nothing = F.lit(None).cast("long")
     activity = (
-        baskets.select(*group, "known_order", "user_id", "again")
+        orders_of.select(*group, "known_order", "user_id", "again")
         .unionByName(
             unsold.distinct().select(
                 *group, nothing.alias("known_order"), nothing.alias("user_id"), F.lit(0).cast("long").alias("again")

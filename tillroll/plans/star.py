@@ -6,25 +6,53 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.labels import WEEKEND_DAYS, date_key, day_name, day_of_week, user_segment
-from tillroll.functions.numbers import join_groups, ratio, reordered_items, rows
+from tillroll.functions.numbers import is_reordered, join_groups, ratio, reordered_items, rows
 
 FACT_KEY = ["order_id", "product_id"]
 
 
-def fct_orders(orders: DataFrame, order_products: DataFrame, products: DataFrame) -> DataFrame:
+ORDER_COLUMNS = ["user_id", "order_number", "order_dow", "order_hour_of_day", "days_since_prior_order", "order_date"]
+
+
+def order_lines(orders: DataFrame, order_products: DataFrame) -> DataFrame:
+    """Every line with its order's columns, and every order without lines: the one join that most marts need.
+
+    known_order tells lines whose order is there; orders without lines have no product. Lines are
+    the left side, so AQE can split a hot order; orders meet the distinct orders of the lines.
+    """
+    head = orders.select("order_id", *ORDER_COLUMNS).withColumn("known_order", F.lit(True))
+    lines = order_products.select("order_id", "product_id", "add_to_cart_order", "reordered")
+    idle = head.join(lines.select("order_id").distinct(), "order_id", "left_anti")
+    return (
+        lines.join(head, "order_id", "left")
+        .withColumn("known_order", F.coalesce("known_order", F.lit(False)))
+        .unionByName(idle, allowMissingColumns=True)
+    )
+
+
+def sold(lines: DataFrame) -> DataFrame:
+    """The lines of known orders."""
+    return lines.where(F.col("known_order") & F.col("product_id").isNotNull())
+
+
+def baskets(lines: DataFrame, *columns: str) -> DataFrame:
+    """One row per known order with the given columns, its lines and its reordered ones (NULL without lines)."""
+    again = F.sum(F.when(F.col("product_id").isNotNull(), F.when(is_reordered(), 1).otherwise(0))).alias("again")
+    return lines.where("known_order").groupBy("order_id", *columns).agg(F.count("product_id").alias("lines"), again)
+
+
+def fct_orders(
+    orders: DataFrame, order_products: DataFrame, products: DataFrame, lines: DataFrame | None = None
+) -> DataFrame:
     """One row per order and product, with the order's user and calendar and the product's shelf.
 
     Whether products are broadcast is left to the size estimate; a large catalogue
     takes a shuffle join, whose hot products AQE splits.
     """
-    lines = order_products.select("order_id", "product_id", "add_to_cart_order", "reordered")
     shelf = products.select("product_id", "department_id", "aisle_id")
-    head = orders.select(
-        "order_id", "user_id", "order_hour_of_day", "order_dow", "days_since_prior_order", "order_date"
-    )
     return (
-        lines.join(shelf, "product_id")
-        .join(head, "order_id")
+        sold(order_lines(orders, order_products) if lines is None else lines)
+        .join(shelf, "product_id")
         .selectExpr(
             "order_id",
             "user_id",
@@ -42,33 +70,29 @@ def fct_orders(orders: DataFrame, order_products: DataFrame, products: DataFrame
     )
 
 
-def dim_users(orders: DataFrame, order_products: DataFrame) -> DataFrame:
+def dim_users(orders: DataFrame, order_products: DataFrame, lines: DataFrame | None = None) -> DataFrame:
     """Order habits per user.
 
     avg_days_between_orders weighs each order by its lines (at least one), and
     reorder_rate divides reordered lines by distinct products, so it can exceed 1.
-    Lines are collapsed per order before they meet the orders; distinct products
-    are counted over (user, product) pairs. No row is multiplied.
+    Lines are collapsed per order first; distinct products are counted over
+    (user, product) pairs. No row is multiplied.
     """
-    baskets = order_products.groupBy("order_id").agg(rows().alias("lines"), reordered_items().alias("again"))
-    weight = F.coalesce(F.col("lines"), F.lit(1))
+    lines = order_lines(orders, order_products) if lines is None else lines
+    weight = F.greatest(F.col("lines"), F.lit(1))
     gap = F.col("days_since_prior_order")
     tenure = (
-        orders.select("order_id", "user_id", "order_number", "days_since_prior_order")
-        .join(baskets, "order_id", "left")
+        baskets(lines, "user_id", "order_number", "days_since_prior_order")
         .groupBy("user_id")
         .agg(
-            F.countDistinct("order_id").alias("total_orders"),
+            rows().alias("total_orders"),
             (F.max("order_number") - F.min("order_number")).alias("days_since_first_order"),
             ratio(F.sum(gap * weight), F.sum(F.when(gap.isNotNull(), weight))).alias("mean_gap"),
             F.sum("again").alias("again"),
         )
     )
     variety = (
-        order_products.select("order_id", "product_id")
-        .join(orders.select("order_id", "user_id"), "order_id")
-        .groupBy("user_id")
-        .agg(F.countDistinct("product_id").alias("distinct_products"))
+        sold(lines).select("user_id", "product_id").distinct().groupBy("user_id").agg(rows().alias("distinct_products"))
     )
     return join_groups(tenure, variety, ["user_id"]).select(
         "user_id",
@@ -115,14 +139,18 @@ def dim_products(
     )
 
 
-def dim_departments(departments: DataFrame, products: DataFrame, order_products: DataFrame) -> DataFrame:
+def dim_departments(
+    departments: DataFrame, products: DataFrame, order_products: DataFrame
+) -> DataFrame:
     """Catalogue size and distinct orders per department."""
     stock = products.groupBy("department_id").agg(F.countDistinct("product_id").alias("total_products"))
     demand = (
         order_products.select("order_id", "product_id")
         .join(products.select("product_id", "department_id"), "product_id")
+        .select("department_id", "order_id")
+        .distinct()
         .groupBy("department_id")
-        .agg(F.countDistinct("order_id").alias("total_orders"))
+        .agg(rows().alias("total_orders"))
     )
     return (
         departments.select("department_id", "department_name")

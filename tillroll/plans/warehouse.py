@@ -7,9 +7,9 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 
-from tillroll.operators.history import dim_products_scd
+from tillroll.operators.history import dim_products_scd, scd2_merge
 from tillroll.plans import marts, star
-from tillroll.sinks.tables import write_marts
+from tillroll.sinks.tables import exists, merge_into_fact, replace_mart, stamp, write_mart, write_marts
 
 MARTS = [
     "fct_orders",
@@ -26,6 +26,7 @@ MARTS = [
     "daily_product_metrics",
 ]
 READ_OTHER_MARTS = ["dim_products_scd", "daily_product_metrics"]
+KEPT = ["fct_orders", "dim_products_scd"]
 STAGING = ["orders", "order_products", "products", "aisles", "departments"]
 
 # How marts are stored: daily metrics in ranges of days, whose statistics let a look at one day skip
@@ -59,13 +60,17 @@ class Warehouse:
         self.as_of = as_of
         self.real_names = real_names
 
+    @cached_property
+    def order_lines(self) -> DataFrame:
+        return star.order_lines(self.orders, self.order_products)
+
     @cached_property
     def fct_orders(self) -> DataFrame:
-        return star.fct_orders(self.orders, self.order_products, self.products)
+        return star.fct_orders(self.orders, self.order_products, self.products, self.order_lines)
 
     @cached_property
     def dim_users(self) -> DataFrame:
-        return star.dim_users(self.orders, self.order_products)
+        return star.dim_users(self.orders, self.order_products, self.order_lines)
 
     @cached_property
     def dim_products(self) -> DataFrame:
@@ -90,7 +95,7 @@ class Warehouse:
 
     @cached_property
     def product_funnel(self) -> DataFrame:
-        return marts.product_funnel(self.orders, self.order_products, self.products)
+        return marts.product_funnel(self.orders, self.order_products, self.products, lines=self.order_lines)
 
     @cached_property
     def user_retention(self) -> DataFrame:
@@ -98,28 +103,48 @@ class Warehouse:
 
     @cached_property
     def department_performance(self) -> DataFrame:
-        return marts.department_performance(self.orders, self.order_products, self.products)
+        return marts.department_performance(self.orders, self.order_products, self.products, self.order_lines)
 
     @cached_property
     def department_dow_cohorts(self) -> DataFrame:
-        return marts.department_dow_cohorts(self.orders, self.order_products, self.products)
+        return marts.department_dow_cohorts(self.orders, self.order_products, self.products, self.order_lines)
 
     @cached_property
     def daily_product_metrics(self) -> DataFrame:
         return marts.daily_product_metrics(self.fct_orders, self.dim_products)
 
-    def store(self, folder: str, names: list[str] | None = None) -> dict[str, DataFrame]:
-        """Write staging and marts; marts are built from the stored tables they read."""
+    def _kept(self, name: str, today: DataFrame, path: str) -> DataFrame | None:
+        """A mart that lives on from day to day, brought up to date; None if it is not stored yet."""
+        spark = today.sparkSession
+        if not exists(spark, path):
+            return None
+        today = stamp(today, AUDIT_COLUMNS[name])
+        if name == "fct_orders":
+            return merge_into_fact(spark, path, today).drop("order_block")
+        history = spark.read.parquet(path).drop(*AUDIT_COLUMNS[name])
+        merged = scd2_merge(history, today.drop(*AUDIT_COLUMNS[name]), self.as_of)
+        return replace_mart(merged, path, AUDIT_COLUMNS[name])
+
+    def store(self, folder: str, names: list[str] | None = None, daily: bool = False) -> dict[str, DataFrame]:
+        """Write staging and marts; marts are built from the stored tables they read.
+
+        With ``daily``, a stored fact takes in the newer orders only, and the stored product
+        history is brought up to today's products instead of being replaced.
+        """
         names = MARTS if names is None else names
         stored = write_marts({f"stg_{t}": getattr(self, t) for t in STAGING}, folder)
         built = Warehouse(*[stored[f"stg_{t}"] for t in STAGING], self.as_of, self.real_names)
+        # Orders and lines meet once; the marts read the stored result, sorted by order.
+        lines = write_mart(built.order_lines, f"{folder}/order_lines", sort_by=["order_id"])
+        built.__dict__["order_lines"] = lines
         for wave in (
             [n for n in names if n not in READ_OTHER_MARTS],
             [n for n in names if n in READ_OTHER_MARTS],
         ):
-            written = write_marts(
-                {n: getattr(built, n) for n in wave}, folder, AUDIT_COLUMNS, SORTED_BY, ["fct_orders"]
-            )
+            kept = {n: self._kept(n, getattr(built, n), f"{folder}/{n}") for n in wave if daily and n in KEPT}
+            kept = {n: df for n, df in kept.items() if df is not None}
+            fresh = {n: getattr(built, n) for n in wave if n not in kept}
+            written = kept | write_marts(fresh, folder, AUDIT_COLUMNS, SORTED_BY, ["fct_orders"])
             # Later marts read the stored table instead of the plan.
             built.__dict__.update(written)
             stored.update(written)

@@ -51,6 +51,20 @@ def write_mart(
     return df.sparkSession.read.schema(stamped.schema).format(file_format).load(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def replace_mart(df: DataFrame, path: str, audit: list[str] | None = None) -> DataFrame:
+    """Replace a mart by rows derived from itself: written aside first, as Spark must not overwrite what it reads."""
+    aside = scratch_dir(df.sparkSession, "mart")
+    rows = write_mart(df, aside)
+    result = write_mart(rows, path, audit=audit)
+    _drop_scratch(df.sparkSession, aside)
+    return result
+
+
 def write_marts(
     frames: dict[str, DataFrame],
     folder: str,

@@ -128,16 +128,20 @@ def with_current_names(df: DataFrame) -> DataFrame:
     return df
 
 
-def load_staging(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
+def load_staging(
+    spark: SparkSession, raw_dir: str, inputs: dict[str, DataFrame] | None = None
+) -> dict[str, DataFrame]:
     """The five staging tables with declared types and a load time.
 
+    ``inputs`` are the files' columns as text, if they have been read before.
+
     Columns are taken by name; text that does not fit its type fails the load, and
     undeclared columns are left out.
     """
     if spark.conf.get("spark.sql.ansi.enabled") != "true":
         raise RuntimeError("set spark.sql.ansi.enabled: without it, text that does not fit its type is lost")
     loaded = {}
-    for table, text in read_text(spark, raw_dir).items():
+    for table, text in (inputs or read_text(spark, raw_dir)).items():
         text = with_current_names(text)
         typed = [F.col(c).cast(t).alias(c) for c, t in COLUMN_TYPES[table].items()]
         loaded[f"stg_{table}"] = text.select(*typed).withColumn("loaded_at", F.current_timestamp())
