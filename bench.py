@@ -13,7 +13,10 @@ import tempfile
 import time
 from pathlib import Path
 
-from tillroll.catalog import OPS_DAY, STICKY_SHARE, Store
+from pyspark.sql import functions as F
+
+from tillroll.catalog import OPS_DAY, QUERIES, STICKY_SHARE, Store
+from tillroll.operators import assertions
 from tillroll.operators.personal_data import pii_scan
 from tillroll.operators.scorecard import dq_scorecard
 from tillroll.plans import dashboards as d
@@ -21,7 +24,8 @@ from tillroll.plans import headlines as h
 from tillroll.plans import runs as r
 from tillroll.plans.warehouse import MARTS, Warehouse
 from tillroll.session import build_session
-from tillroll.sinks.tables import write_mart
+from tillroll.sinks.tables import merge_into_fact, write_fact, write_mart
+from tillroll.sources import standins
 
 
 def scale(folder: str) -> float | str:
@@ -72,16 +76,18 @@ def main() -> None:
     parts = ("orders", "order_products", "products", "aisles", "departments")
 
     def load():
+        standins.SHARED.clear()  # nothing stored by an earlier run counts
         source = Store(spark, folder)
         return [write_mart(getattr(source, p), f"{out}/stg_{p}") for p in parts]
 
     staged = Warehouse(*timed("stage_load", load), as_of=OPS_DAY)
+    lines = timed("build_order_lines", lambda: write_mart(staged.order_lines, f"{out}/order_lines", sort_by=["order_id"]))
     stored = {}
     for name in MARTS:
         def build(name=name):
             # A fresh plan each time, over the marts stored so far.
             fresh = Warehouse(*[getattr(staged, p) for p in parts], as_of=OPS_DAY)
-            fresh.__dict__.update(stored)
+            fresh.__dict__.update(stored, order_lines=lines)
             return write_mart(getattr(fresh, name), f"{out}/{name}")
 
         stored[name] = timed(f"build_{name}", build)
@@ -113,6 +119,24 @@ def main() -> None:
     }.items():
         timed(name, lambda action=action: run(action()))
 
+    # The whole build as a batch does it, marts written four at once; then tests, a merge and a batch.
+    whole = timed("full_build", lambda: staged.store(f"{out}/full-{time.perf_counter_ns()}"))
+    timed("test_summary", lambda: run(assertions.summary(assertions.run_tests(whole))))
+    top = fct.agg(F.max("order_id")).first()[0]
+
+    def merge():
+        path = f"{out}/fact-{time.perf_counter_ns()}"
+        write_fact(fct.where(F.col("order_id") <= top * 3 // 4), path, orders_per_block=50_000)
+        start = time.perf_counter()
+        merge_into_fact(spark, path, fct.where(F.col("order_id") > top // 4), top // 2, orders_per_block=50_000)
+        merges.append(time.perf_counter() - start)
+
+    merges: list[float] = []
+    for _ in range(repeats):
+        merge()
+    times["merge_into_fact"] = round(min(merges), 3)
+    timed("run_batch", lambda: run(QUERIES["run_batch"](spark, folder)))
+
     print(
         json.dumps(
             {
