@@ -15,6 +15,9 @@ from tillroll.functions.labels import (
 from tillroll.functions.numbers import join_groups, per_order, percent, ratio, reorder_share, reordered_items, round_to, rows
 
 
+# The least orders and numbers of rows (10, 20, 5, 25, 30) by which the dashboards rank.
+
+
 def share_of_total(n: str):
     """Percent of the column's total. Only for aggregates with one row per label,
     department or order count: the window puts them in a single partition."""

@@ -38,6 +38,7 @@ def log_runs(raw: DataFrame, sla_seconds: int = SLA_SECONDS) -> DataFrame:
     """
     have = set(raw.columns)
     optional = {"error_message": F.lit(None).cast("string"), "notes": F.lit(None).cast("string")}
+    # Fixed value: the wording of the note.
     default_note = F.concat(
         F.lit("Quality score: "),
         F.format_number("quality_score", 2),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,6 +19,10 @@ RUNTIME_SETTINGS = {
 }
 
 
+# The scratch folder of each application.
+_FOLDERS: dict[str, str] = {}
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else created."""
     for name, value in RUNTIME_SETTINGS.items():
@@ -44,12 +49,19 @@ def build_session(app: str = "tillroll", master: str | None = None, **settings:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder named by ``spark.checkpoint.dir``.
 
-    A machine-local folder is used only in local mode, where driver and
-    executors share one file system.
+    A machine-local folder is used only in local mode, where driver and executors are one
+    process. All paths of an application lie in one folder, which is removed when it ends.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="tillroll-")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    app = spark.sparkContext.applicationId
+    if app not in _FOLDERS:
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        if not base:
+            if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+            base = tempfile.mkdtemp(prefix="tillroll-")
+        _FOLDERS[app] = f"{base.rstrip('/')}/tillroll-{app}-{uuid.uuid4().hex[:8]}"
+        folder = spark._jvm.org.apache.hadoop.fs.Path(_FOLDERS[app])
+        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(folder)
+        files.deleteOnExit(folder)
+    return f"{_FOLDERS[app]}/{label}-{uuid.uuid4().hex}"
