@@ -11,36 +11,35 @@ from pyspark.sql import functions as F
 
 from tillroll.llm import curriculum, decontamination, near_duplicates, suffix_dedup, toxicity
 from tillroll.llm.queries import table
-from tillroll.llm.scratch import written
-from tillroll.session import tune
+from tillroll.llm.scratch import ready, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Without the documents that the classifier rejects."""
-    tune(spark)
+    ready(spark)
     return toxicity.without_toxic(docs, toxicity.fit(docs, table(spark, folder, "labels")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each class of near-duplicates."""
-    tune(spark)
+    ready(spark)
     return near_duplicates.without_near_duplicates(docs)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Texts without the strings that start in an earlier document."""
-    tune(spark)
+    ready(spark)
     return suffix_dedup.without_repeats(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Without the documents that overlap with a test item."""
-    return decontamination.without_benchmark(docs, table(tune(spark), folder, "benchmark"))
+    return decontamination.without_benchmark(docs, table(ready(spark), folder, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Words taken of every document and its training positions, in order of the first one."""
-    tune(spark)
+    ready(spark)
     first = F.try_element_at("positions", F.lit(1))
     return curriculum.curriculum(docs).orderBy(first.asc_nulls_last(), "doc_id")
 
