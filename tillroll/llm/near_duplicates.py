@@ -14,9 +14,11 @@ weighted Jaccard similarity of the whole texts is computed; pairs from `threshol
 a class is a connected component of links.
 
 Equal texts are one node of the graph, so copies are never compared. A bucket is worked on in blocks
-of about BLOCK nodes; from a block come, for each node, the pair with its leader, with its nearest
-nodes and with the nearest node of any other leader's group, but not all pairs. Leaders of a bucket
-of several blocks meet again in the next round.
+of about BLOCK nodes; from a block come, for each node, the pair with its leader and with its
+nearest nodes, but not all pairs. Leaders of a bucket of several blocks meet again in the next
+round. Links make classes; then every node proposes the nearest node of its buckets that is in
+another class, until that makes no new link. So each round checks a few pairs per node, however
+large a group is and however many of its pairs are close to the threshold.
 
 Defined cases: null and empty texts are in classes of their own; a text of one to four words has
 one shingle; texts without words are alike only if equal; rows repeated with the same doc_id are one
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.arrays import mixed, row_of, shingles, slices, words
 from tillroll.llm.bitmaps import bitmap, let_through
-from tillroll.llm.graph import components
+from tillroll.llm.graph import components, composed, renamed
 from tillroll.llm.scratch import written
 
 SHINGLE = 5
@@ -46,8 +48,10 @@ BANDS, ROWS = 10, 3
 SAMPLES = BANDS * ROWS
 # Agreeing samples from which a pair is worth its exact similarity: at 0.8, half of 30 or fewer agree once in 10,000 times.
 LIKELY = 0.5
+# The same for pairs across classes, whose nodes have had their nearest ones checked: at 0.8, fewer agree once in 200 times.
+LIKELY_ACROSS = 0.6
 NEAREST = 3
-BLOCK = 1024
+BLOCK = 4096
 COUNTS_PER_ROW = 1 << 14
 RANDOMS = 1 << 16
 
@@ -176,33 +180,52 @@ def node_of(text: str):
     return F.when(F.length(text) > 0, F.unhex(F.md5(F.col(text))))
 
 
-def proposals(drawn: np.ndarray) -> tuple[list[tuple[int, int]], list[int]]:
-    """Pairs of a block's nodes that are worth checking, and its leaders."""
-    n = len(drawn)
-    agree = np.zeros((n, n), np.uint8)
+def agreements(drawn: np.ndarray) -> np.ndarray:
+    """How many samples each two of a block's nodes agree on."""
+    agree = np.zeros((len(drawn), len(drawn)), np.uint8)
     for k in range(SAMPLES):
         agree += drawn[:, k][:, None] == drawn[:, k][None, :]
     np.fill_diagonal(agree, 0)
+    return agree
+
+
+def likely(agree: np.ndarray, partners: list[np.ndarray], least: float = LIKELY) -> list[tuple[int, int]]:
+    """The distinct pairs of each node with its partners that agree on enough samples."""
+    everyone, pairs = np.arange(len(agree)), set()
+    for other in partners:
+        good = np.flatnonzero((agree[everyone, other] >= least * SAMPLES) & (everyone != other))
+        pairs.update(zip(np.minimum(good, other[good]).tolist(), np.maximum(good, other[good]).tolist()))
+    return sorted(pairs)
+
+
+def proposals(drawn: np.ndarray) -> tuple[list[tuple[int, int]], list[int]]:
+    """Pairs of a block's nodes that are worth checking, and its leaders."""
+    n, agree = len(drawn), agreements(drawn)
     leaders, group = [], np.full(n, -1)
     for i in range(n):
         if group[i] < 0:
             group[(agree[i] >= THRESHOLD * SAMPLES) & (group < 0)] = len(leaders)
             group[i] = len(leaders)
             leaders.append(i)
-    everyone = np.arange(n)
-    partners = [np.array(leaders)[group]]
-    partners += list(np.argsort(-agree.astype(np.int16), axis=1, kind="stable")[:, :NEAREST].T)
-    if len(leaders) > 1:
-        for g in range(len(leaders)):
-            members = np.flatnonzero(group == g)
-            partners.append(members[agree[:, members].argmax(1)])
-    pairs = set()
-    for other in partners:
-        good = np.flatnonzero((agree[everyone, other] >= LIKELY * SAMPLES) & (everyone != other))
-        pairs.update(zip(np.minimum(good, other[good]).tolist(), np.maximum(good, other[good]).tolist()))
+    pairs = set(likely(agree, [np.array(leaders)[group]]))
+    for _ in range(min(NEAREST, n - 1)):
+        nearest = agree.argmax(1)
+        pairs.update(likely(agree, [nearest]))
+        agree[np.arange(n), nearest] = 0
     return sorted(pairs), leaders
 
 
+def outside(drawn: np.ndarray, classes_: list[bytes], moved: np.ndarray) -> list[tuple[int, int]]:
+    """The pair of each node whose class has changed with the nearest node of another class."""
+    if not moved.any():
+        return []
+    agree = agreements(drawn)
+    number = np.unique(np.array([c.hex() for c in classes_]), return_inverse=True)[1]
+    agree[number[:, None] == number[None, :]] = 0
+    # The others have had theirs checked: what is outside their class is what it was.
+    return likely(agree, [np.where(moved, agree.argmax(1), np.arange(len(agree)))], LIKELY_ACROSS)
+
+
 def candidates(members: DataFrame) -> DataFrame:
     """Distinct pairs (a, b) of nodes from rows of (key, node, drawn), one per node and bucket."""
 
@@ -254,6 +277,47 @@ def candidates(members: DataFrame) -> DataFrame:
     return pairs.distinct()
 
 
+def across(members: DataFrame, found: DataFrame, turn: int, changed: DataFrame | None) -> DataFrame:
+    """Distinct pairs of a node and the nearest node of another class in one of its buckets.
+
+    changed: the classes that links of the last turn have joined, whose nodes have to look again; None: all.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = [], []
+            for block in batch.column("block").to_pylist():
+                block = sorted(block, key=lambda m: m["node"])
+                drawn = np.frombuffer(b"".join(m["drawn"] for m in block), np.uint32).reshape(len(block), SAMPLES)
+                moved = np.array([m["moved"] for m in block], bool)
+                for i, j in outside(drawn, [m["component"] for m in block], moved):
+                    a.append(block[i]["node"])
+                    b.append(block[j]["node"])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+    if changed is None:
+        found = found.withColumn("moved", F.lit(True))
+    else:
+        new = changed.select("component").distinct().withColumn("moved", F.lit(True))
+        found = found.join(new, "component", "left")
+    placed = members.join(found, "node", "left").withColumns(
+        {"component": F.coalesce("component", "node"), "moved": F.coalesce("moved", F.lit(changed is None))}
+    )
+    # A bucket of one class, or in which no class has changed, has nothing to propose.
+    blocks = placed.groupBy("key").agg(
+        F.ceil(F.count("*") / BLOCK).alias("blocks"), ((F.min("component") != F.max("component")) & F.max("moved")).alias("open")
+    )
+    return (
+        placed.join(blocks.where("open"), "key")
+        .withColumn("own", F.pmod(F.xxhash64("node", F.lit(turn)), F.col("blocks")))
+        .groupBy("key", "own")
+        .agg(F.collect_list(F.struct("node", "drawn", "component", "moved")).alias("block"))
+        .select("block")
+        .mapInArrow(run, "a binary, b binary")
+        .distinct()
+    )
+
+
 def texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """node and text of the given nodes; a bitmap keeps other texts from being shuffled."""
     head = F.conv(F.substring(F.hex("node"), 1, 15), 16, 10).cast("long")
@@ -287,11 +351,9 @@ def similarities(left: pa.Array, right: pa.Array, idf: np.ndarray) -> np.ndarray
     return shared / np.maximum(sa + sb - shared, 1e-12)
 
 
-def links(docs: DataFrame, pairs: DataFrame, idf: np.ndarray, threshold: float = THRESHOLD) -> DataFrame:
+def links(texts: DataFrame, pairs: DataFrame, idf: np.ndarray, threshold: float = THRESHOLD) -> DataFrame:
     """The pairs (a, b) of nodes whose whole texts are similar enough, with their similarity."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = written(texts_of(docs, nodes), "texts")
-    shared = docs.sparkSession.sparkContext.broadcast(idf)
+    shared = texts.sparkSession.sparkContext.broadcast(idf)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -319,9 +381,19 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     banded = nodes.select("node", F.explode("bands").alias("key"))
     full = banded.groupBy("key").count().where("count > 1").select("key")
     members = written(banded.join(full, "key").join(nodes.select("node", "drawn"), "node"), "members")
-    pairs = written(candidates(members), "pairs")
-    linked = written(links(docs, pairs, idf, threshold), "links")
-    found = components(linked.select("a", "b"))
+    texts = written(texts_of(docs, members.select("node").distinct()), "texts")
+    tested = written(candidates(members), "pairs", slim=True)
+    found, turn = written(components(links(texts, tested, idf, threshold).select("a", "b")), "classes", slim=True), 0
+    changed = None
+    while True:
+        pairs = written(across(members, found, turn, changed).join(tested, ["a", "b"], "left_anti"), "pairs", slim=True)
+        new = written(renamed(links(texts, pairs, idf, threshold).select("a", "b"), found), "links", slim=True)
+        if not new.limit(1).count():
+            break
+        # Only classes that a new link joins change.
+        changed = components(new)
+        found = written(composed(found, changed), "classes", slim=True)
+        tested, turn = tested.unionByName(pairs), turn + 1
     # An empty text is a class of its own, known by its document.
     own = F.coalesce("component", "node", F.concat(F.encode(F.lit("empty "), "utf-8"), F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "utf-8")))
     placed = drawn.select("doc_id", "node").join(found, "node", "left").select("doc_id", own.alias("class"))
