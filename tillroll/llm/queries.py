@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm import chat, curriculum, decontamination, licenses, main_text, near_duplicates, nearest, suffix_dedup, token_counts, toxicity
-from tillroll.session import tune
+from tillroll.llm.scratch import ready
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 VOCABULARY = "byte_bpe_50k.json"
@@ -21,7 +21,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def query(function):
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return function(tune(spark), folder)
+        return function(ready(spark), folder)
 
     run.__name__, run.__doc__ = function.__name__, function.__doc__
     QUERIES[function.__name__] = run
