@@ -16,9 +16,10 @@ Strings are judged on the input.
    adjacent suffixes are compared, and the smallest id of each group of equal ones is known.
 4. Strings that start in a smaller document become spans, which are joined to the texts.
 
-A bucket that outgrows BUCKET_LIMIT is not sorted but passed on, its strings dealt out anew by finer keys (least hashes of
-more hash functions, at last the hash of the whole string), until none does. So a passage
-in a third of all documents, each going on differently, needs no more memory than others.
+A bucket that outgrows BUCKET_LIMIT is not sorted but passed on, its strings dealt out anew by finer
+keys (least hashes of more hash functions). What is left after LEVELS of those, such as one string
+in very many texts, is compared string by string in an aggregate. So a passage in a third of all
+documents, each going on differently, needs no more memory than others.
 
 Defined cases: a null text is empty; a null doc_id comes after all others; rows with the same doc_id never
 remove bytes from each other, and those with the same text too share their result; texts under
@@ -45,7 +46,8 @@ GRAM = 20
 CUT = np.uint64(7)
 BUCKET_BYTES = 1 << 18
 BUCKET_LIMIT = 1 << 21
-FLUSH = 1 << 20
+CUT_BYTES = 1 << 21
+FLUSH = 1 << 19
 LEVELS = 3
 LAST = np.iinfo(np.int64).max
 _SEED = np.uint64(0xA24BAED4963EE407)
@@ -325,25 +327,32 @@ def byte_slices(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> pa.A
     return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data[at])])
 
 
-def cut(batch: pa.RecordBatch, level: int, buckets: int) -> pa.RecordBatch:
-    """Segments cut into runs of one key, with the bucket of the key."""
+def cut(batch: pa.RecordBatch, level: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Segments cut into runs of one key, with the bucket of the key, about CUT_BYTES at a time."""
     data, offsets = text_bytes(batch.column("bytes"))
     keys = string_keys(data, level)
     row = row_of(offsets)[: len(keys)]
     whole = np.arange(len(keys)) + LENGTH <= offsets[1:][row]
     # A run ends with its segment too: the last places of a segment have no string.
     first, sizes = runs(keys, whole)
+    if level >= LEVELS:
+        first = np.flatnonzero(whole)
+        sizes = np.ones(len(first), np.int64)
     own = row[first]
     at = (mixed(keys[first] + np.uint64(level)) % np.uint64(buckets)).astype(np.int64)
-    taken = pa.array(own)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(at), batch.column("id").take(taken), batch.column("version").take(taken),
-            pa.array(np.asarray(batch.column("start"), np.int64)[own] + first - offsets[own]),
-            pa.array(sizes.astype(np.int32)), byte_slices(data, first, sizes + LENGTH - 1),
-        ],
-        PIECE_NAMES,
-    )
+    start = np.asarray(batch.column("start"), np.int64)[own] + first - offsets[own]
+    # Pieces overlap by LENGTH bytes, so short ones hold many times the bytes of the segments.
+    turn = np.cumsum(sizes + LENGTH - 1) // CUT_BYTES
+    edges = np.flatnonzero(np.append(True, turn[1:] != turn[:-1])) if len(turn) else []
+    for a, b in zip(edges, np.append(edges[1:], len(turn))):
+        taken = pa.array(own[a:b])
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(at[a:b]), batch.column("id").take(taken), batch.column("version").take(taken),
+                pa.array(start[a:b]), pa.array(sizes[a:b].astype(np.int32)), byte_slices(data, first[a:b], sizes[a:b] + LENGTH - 1),
+            ],
+            PIECE_NAMES,
+        )
 
 
 def sorted_spans(ids: np.ndarray, sizes: np.ndarray, data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -369,7 +378,7 @@ def sorted_spans(ids: np.ndarray, sizes: np.ndarray, data: np.ndarray, begins: n
     return piece[begin], within[begin], within[end] + 1
 
 
-def spans(pieces: DataFrame, level: int) -> DataFrame:
+def spans(pieces: DataFrame) -> DataFrame:
     """Removed spans from pieces dealt out by bucket; buckets over the limit come back as pieces."""
 
     def done(held: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -398,7 +407,7 @@ def spans(pieces: DataFrame, level: int) -> DataFrame:
                         yield done(held)
                     at, held, size, over = bucket[a], [], 0, False
                 size += int(np.asarray(part.column("size")).sum()) + (LENGTH - 1) * len(part)
-                over = over or size > BUCKET_LIMIT and level < LEVELS
+                over = over or size > BUCKET_LIMIT
                 held.append(part)
                 if over:
                     yield from held
@@ -427,9 +436,16 @@ def removed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         # Pieces of one key overlap; those of finer keys do so more.
         buckets = max(1, total * (4 + 2 * level) // BUCKET_BYTES)
         pieces = rows.mapInArrow(
-            lambda batches, at=level, n=buckets: (cut(part, at, n) for b in batches for part in slices(b, "bytes")), PIECE
+            lambda batches, at=level, n=buckets: (x for b in batches for part in slices(b, "bytes") for x in cut(part, at, n)), PIECE
         )
-        out = written(spans(pieces, level), "spans")
+        if level == LEVELS:
+            # Single strings by now, of which very many are equal or lie in one key: an aggregate
+            # combines them before it shuffles.
+            pieces = written(pieces, "strings")
+            least = pieces.groupBy("bytes").agg(F.min("id").alias("least"))
+            again = pieces.join(least, "bytes").where("id > least")
+            return texts, result.unionByName(again.select("id", "version", "start", F.col("size").cast("long").alias("size")))
+        out = written(spans(pieces), "spans")
         result = result.unionByName(out.where("bytes is null").select("id", "version", "start", F.col("size").cast("long").alias("size")))
         rows = out.where("bytes is not null").select("id", "version", "start", "bytes")
         if rows.limit(1).count() == 0:
@@ -447,12 +463,14 @@ def merged_spans(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def _with_spans(docs: DataFrame, result: DataFrame, columns: list) -> DataFrame:
-    runs_ = result.groupBy("id", "version").agg(F.collect_list("start").alias("starts"), F.collect_list("size").alias("sizes"))
-    runs_ = runs_.withColumnRenamed("id", "__id").withColumnRenamed("version", "__version")
+    # Own names, as the table may have columns of any.
+    runs_ = result.groupBy(F.col("id").alias("__id"), F.col("version").alias("__version")).agg(
+        F.collect_list("start").alias("__starts"), F.collect_list("size").alias("__sizes")
+    )
     id_ = F.coalesce(docs["doc_id"].cast("long"), F.lit(LAST))
     version = F.unhex(F.md5(F.coalesce(docs["text"], F.lit(""))))
     joined = docs.join(runs_, (id_ == F.col("__id")) & (version == F.col("__version")), "left")
-    return joined.select(*columns, F.col("starts").alias("__starts"), F.col("sizes").alias("__sizes"))
+    return joined.select(*columns, "__starts", "__sizes")
 
 
 def _row_spans(batch: pa.RecordBatch, i: int) -> list[tuple[int, int]]:
