@@ -106,6 +106,32 @@ def test_unlike_leaders_meet_in_a_grid(spark, monkeypatch):
     assert [(r["a"][0], r["b"][0]) for r in pairs] == [(2, 33)]
 
 
+def substituted(rng, words, places):
+    return [f"odd{rng.randrange(10**9)}" if k in places else w for k, w in enumerate(words)]
+
+
+def families(rng, groups, partners):
+    """In each group two texts at 0.81 of each other, each with partners at 0.76, and all others below that."""
+    texts = []
+    for _ in range(groups):
+        words, places = prose(rng, 200).split(), range(5, 195, 5)
+        four = rng.sample(places, 4)
+        for own in (four[:2], four[2:]):
+            centre = substituted(rng, words, own)
+            texts.append(" ".join(centre))
+            for _ in range(partners):
+                texts.append(" ".join(substituted(rng, centre, rng.sample([p for p in places if p not in four], 5))))
+    rng.shuffle(texts)
+    return list(enumerate(texts))
+
+
+def test_link_behind_many_closer_looking_partners(spark):
+    texts = families(random.Random(6), 6, 24)
+    found = {r["doc_id"]: r["class_id"] for r in near_duplicates.classes(documents(spark, texts)).collect()}
+    wanted = brute_classes(texts)
+    assert len(texts) - len(set(wanted.values())) == 6 and found == wanted
+
+
 def test_sample_agreement_estimates_similarity():
     rng = np.random.default_rng(0)
     tables = near_duplicates.random_tables()

@@ -15,10 +15,11 @@ a class is a connected component of links.
 
 Equal texts are one node of the graph, so copies are never compared. A bucket is worked on in blocks
 of about BLOCK nodes; from a block come, for each node, the pair with its leader and with its
-nearest nodes, but not all pairs. Leaders of a bucket of several blocks meet again in the next
-round. Links make classes; then every node proposes the nearest node of its buckets that is in
-another class, until that makes no new link. So each round checks a few pairs per node, however
-large a group is and however many of its pairs are close to the threshold.
+nearest nodes. Leaders of a bucket of several blocks meet again in the next round. Links make
+classes; then all other pairs of a bucket are looked at, in turns of a growing share of them, and
+those of nodes in different classes that agree on enough samples are checked. A pair within a class
+cannot change it. A node that belongs to a class so joins it after a few checks, however large the
+class is; one that belongs to none is checked against every likely partner.
 
 Defined cases: null and empty texts are in classes of their own; a text of one to four words has
 one shingle; texts without words are alike only if equal; rows repeated with the same doc_id are one
@@ -48,10 +49,13 @@ BANDS, ROWS = 10, 3
 SAMPLES = BANDS * ROWS
 # Agreeing samples from which a pair is worth its exact similarity: at 0.8, half of 30 or fewer agree once in 10,000 times.
 LIKELY = 0.5
-# The same for pairs across classes, whose nodes have had their nearest ones checked: at 0.8, fewer agree once in 200 times.
+# The same for pairs across classes: at 0.8, fewer agree once in 200 times.
 LIKELY_ACROSS = 0.6
 NEAREST = 3
 BLOCK = 4096
+# In turn t a node has met FIRST * GROWTH ** t nodes of a bucket; the last turn reaches the size of the largest bucket.
+FIRST, GROWTH = 16, 4
+ROWS_AT_ONCE = 256
 COUNTS_PER_ROW = 1 << 14
 RANDOMS = 1 << 16
 
@@ -189,11 +193,11 @@ def agreements(drawn: np.ndarray) -> np.ndarray:
     return agree
 
 
-def likely(agree: np.ndarray, partners: list[np.ndarray], least: float = LIKELY) -> list[tuple[int, int]]:
+def likely(agree: np.ndarray, partners: list[np.ndarray]) -> list[tuple[int, int]]:
     """The distinct pairs of each node with its partners that agree on enough samples."""
     everyone, pairs = np.arange(len(agree)), set()
     for other in partners:
-        good = np.flatnonzero((agree[everyone, other] >= least * SAMPLES) & (everyone != other))
+        good = np.flatnonzero((agree[everyone, other] >= LIKELY * SAMPLES) & (everyone != other))
         pairs.update(zip(np.minimum(good, other[good]).tolist(), np.maximum(good, other[good]).tolist()))
     return sorted(pairs)
 
@@ -215,15 +219,24 @@ def proposals(drawn: np.ndarray) -> tuple[list[tuple[int, int]], list[int]]:
     return sorted(pairs), leaders
 
 
-def outside(drawn: np.ndarray, classes_: list[bytes], moved: np.ndarray) -> list[tuple[int, int]]:
-    """The pair of each node whose class has changed with the nearest node of another class."""
-    if not moved.any():
-        return []
-    agree = agreements(drawn)
-    number = np.unique(np.array([c.hex() for c in classes_]), return_inverse=True)[1]
-    agree[number[:, None] == number[None, :]] = 0
-    # The others have had theirs checked: what is outside their class is what it was.
-    return likely(agree, [np.where(moved, agree.argmax(1), np.arange(len(agree)))], LIKELY_ACROSS)
+def outside(
+    left: np.ndarray, right: np.ndarray, classes_: tuple[np.ndarray, np.ndarray], heads: tuple[np.ndarray, np.ndarray], low: float, high: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """All likely pairs of a left and a right node of different classes whose share lies from low to below high.
+
+    heads: 64 bits of the nodes' digests. The share of a pair, from 0 to 1, is a hash of these two alone.
+    """
+    found = [(np.zeros(0, np.int64),) * 2]
+    for first in range(0, len(left), ROWS_AT_ONCE):
+        part = left[first : first + ROWS_AT_ONCE]
+        agree = np.zeros((len(part), len(right)), np.uint8)
+        for k in range(SAMPLES):
+            agree += part[:, k][:, None] == right[:, k][None, :]
+        i, j = np.nonzero((agree >= LIKELY_ACROSS * SAMPLES) & (classes_[0][first : first + ROWS_AT_ONCE, None] != classes_[1][None, :]))
+        share = (mixed(heads[0][first + i] + heads[1][j]) >> np.uint64(11)) / float(1 << 53)
+        keep = (share >= low) & (share < high)
+        found.append((first + i[keep], j[keep]))
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
 def candidates(members: DataFrame) -> DataFrame:
@@ -277,42 +290,42 @@ def candidates(members: DataFrame) -> DataFrame:
     return pairs.distinct()
 
 
-def across(members: DataFrame, found: DataFrame, turn: int, changed: DataFrame | None) -> DataFrame:
-    """Distinct pairs of a node and the nearest node of another class in one of its buckets.
+def reach(turn: int) -> int:
+    """How many nodes of a bucket a node has met by the end of a turn, on average."""
+    return FIRST * GROWTH**turn if turn >= 0 else 0
+
 
-    changed: the classes that links of the last turn have joined, whose nodes have to look again; None: all.
+def across(members: DataFrame, found: DataFrame, turn: int) -> DataFrame:
+    """Distinct likely pairs of nodes of different classes: the turn's share of the pairs of every bucket.
+
+    members: key, node, drawn and n, the number of nodes of the bucket. The shares of the turns do not
+    overlap, and together they are all pairs of the bucket.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = [], []
-            for block in batch.column("block").to_pylist():
-                block = sorted(block, key=lambda m: m["node"])
+            for block, n in zip(batch.column("block").to_pylist(), batch.column("n").to_pylist()):
                 drawn = np.frombuffer(b"".join(m["drawn"] for m in block), np.uint32).reshape(len(block), SAMPLES)
-                moved = np.array([m["moved"] for m in block], bool)
-                for i, j in outside(drawn, [m["component"] for m in block], moved):
-                    a.append(block[i]["node"])
-                    b.append(block[j]["node"])
+                heads = np.frombuffer(b"".join(m["node"][:8] for m in block), np.uint64)
+                number = np.unique(np.array([m["component"].hex() for m in block]), return_inverse=True)[1]
+                i, j = outside(drawn, drawn, (number, number), (heads, heads), reach(turn - 1) / n, reach(turn) / n)
+                for x, y in zip(i.tolist(), j.tolist()):
+                    one, other = block[x]["node"], block[y]["node"]
+                    if one < other:
+                        a.append(one)
+                        b.append(other)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
-    if changed is None:
-        found = found.withColumn("moved", F.lit(True))
-    else:
-        new = changed.select("component").distinct().withColumn("moved", F.lit(True))
-        found = found.join(new, "component", "left")
-    placed = members.join(found, "node", "left").withColumns(
-        {"component": F.coalesce("component", "node"), "moved": F.coalesce("moved", F.lit(changed is None))}
-    )
-    # A bucket of one class, or in which no class has changed, has nothing to propose.
-    blocks = placed.groupBy("key").agg(
-        F.ceil(F.count("*") / BLOCK).alias("blocks"), ((F.min("component") != F.max("component")) & F.max("moved")).alias("open")
-    )
+    placed = members.where(F.col("n") > reach(turn - 1)).join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    # A bucket of one class has nothing to propose.
+    several = placed.groupBy("key").agg((F.min("component") != F.max("component")).alias("open")).where("open").select("key")
     return (
-        placed.join(blocks.where("open"), "key")
-        .withColumn("own", F.pmod(F.xxhash64("node", F.lit(turn)), F.col("blocks")))
+        placed.join(several, "key")
+        .withColumn("own", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK)))
         .groupBy("key", "own")
-        .agg(F.collect_list(F.struct("node", "drawn", "component", "moved")).alias("block"))
-        .select("block")
+        .agg(F.first("n").alias("n"), F.collect_list(F.struct("node", "drawn", "component")).alias("block"))
+        .select("n", "block")
         .mapInArrow(run, "a binary, b binary")
         .distinct()
     )
@@ -379,20 +392,17 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     drawn = written(signatures(docs, idf), "signatures")
     nodes = drawn.where("bands is not null").groupBy("node").agg(F.first("drawn").alias("drawn"), F.first("bands").alias("bands"))
     banded = nodes.select("node", F.explode("bands").alias("key"))
-    full = banded.groupBy("key").count().where("count > 1").select("key")
+    full = banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     members = written(banded.join(full, "key").join(nodes.select("node", "drawn"), "node"), "members")
     texts = written(texts_of(docs, members.select("node").distinct()), "texts")
     tested = written(candidates(members), "pairs", slim=True)
-    found, turn = written(components(links(texts, tested, idf, threshold).select("a", "b")), "classes", slim=True), 0
-    changed = None
-    while True:
-        pairs = written(across(members, found, turn, changed).join(tested, ["a", "b"], "left_anti"), "pairs", slim=True)
+    found = written(components(links(texts, tested, idf, threshold).select("a", "b")), "classes", slim=True)
+    largest, turn = members.agg(F.max("n")).first()[0] or 0, 0
+    while reach(turn - 1) < largest:
+        pairs = written(across(members, found, turn).join(tested, ["a", "b"], "left_anti"), "pairs", slim=True)
         new = written(renamed(links(texts, pairs, idf, threshold).select("a", "b"), found), "links", slim=True)
-        if not new.limit(1).count():
-            break
-        # Only classes that a new link joins change.
-        changed = components(new)
-        found = written(composed(found, changed), "classes", slim=True)
+        if new.limit(1).count():
+            found = written(composed(found, components(new)), "classes", slim=True)
         tested, turn = tested.unionByName(pairs), turn + 1
     # An empty text is a class of its own, known by its document.
     own = F.coalesce("component", "node", F.concat(F.encode(F.lit("empty "), "utf-8"), F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "utf-8")))
