@@ -132,6 +132,24 @@ def test_link_behind_many_closer_looking_partners(spark):
     assert len(texts) - len(set(wanted.values())) == 6 and found == wanted
 
 
+def test_all_blocks_of_a_bucket_meet(spark, monkeypatch):
+    """Nodes of two blocks whose pair no leader makes are proposed, each pair once over all turns."""
+    monkeypatch.setattr(near_duplicates, "BLOCK", 4)
+    rng = np.random.default_rng(5)
+    drawn = rng.integers(0, 2**32, (60, near_duplicates.SAMPLES), np.uint32)
+    for k in range(30):
+        drawn[30 + k, :20] = drawn[k, :20]
+    rows = [(7, bytes([i]) * 16, bytearray(d.tobytes()), 60) for i, d in enumerate(drawn)]
+    members = spark.createDataFrame(rows, "key long, node binary, drawn binary, n long")
+    # 1 and 31 are of one class already.
+    found = spark.createDataFrame([(bytes([i]) * 16, bytes([1]) * 16) for i in (1, 31)], "node binary, component binary")
+    pairs, turn = [], 0
+    while near_duplicates.reach(turn - 1) < 60:
+        pairs += [(r["a"][0], r["b"][0]) for r in near_duplicates.across(members, found, turn).collect()]
+        turn += 1
+    assert turn == 2 and sorted(pairs) == [(k, 30 + k) for k in range(30) if k != 1]
+
+
 def test_sample_agreement_estimates_similarity():
     rng = np.random.default_rng(0)
     tables = near_duplicates.random_tables()

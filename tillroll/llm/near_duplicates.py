@@ -16,7 +16,8 @@ a class is a connected component of links.
 Equal texts are one node of the graph, so copies are never compared. A bucket is worked on in blocks
 of about BLOCK nodes; from a block come, for each node, the pair with its leader and with its
 nearest nodes. Leaders of a bucket of several blocks meet again in the next round. Links make
-classes; then all other pairs of a bucket are looked at, in turns of a growing share of them, and
+classes; then all other pairs of a bucket are looked at, every two blocks of it meeting in a task of
+their own, in turns of a growing share of them, and
 those of nodes in different classes that agree on enough samples are checked. A pair within a class
 cannot change it. A node that belongs to a class so joins it after a few checks, however large the
 class is; one that belongs to none is checked against every likely partner.
@@ -305,27 +306,32 @@ def across(members: DataFrame, found: DataFrame, turn: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = [], []
-            for block, n in zip(batch.column("block").to_pylist(), batch.column("n").to_pylist()):
-                drawn = np.frombuffer(b"".join(m["drawn"] for m in block), np.uint32).reshape(len(block), SAMPLES)
-                heads = np.frombuffer(b"".join(m["node"][:8] for m in block), np.uint64)
-                number = np.unique(np.array([m["component"].hex() for m in block]), return_inverse=True)[1]
-                i, j = outside(drawn, drawn, (number, number), (heads, heads), reach(turn - 1) / n, reach(turn) / n)
+            for block, n, own, other in zip(*(batch.column(c).to_pylist() for c in ("block", "n", "one", "two"))):
+                sides = [[m for m in block if m["own"] == side] for side in (own, other)]
+                drawn = [np.frombuffer(b"".join(m["drawn"] for m in side), np.uint32).reshape(len(side), SAMPLES) for side in sides]
+                heads = [np.frombuffer(b"".join(m["node"][:8] for m in side), np.uint64) for side in sides]
+                names = np.unique([m["component"].hex() for side in sides for m in side], return_inverse=True)[1]
+                number = names[: len(sides[0])], names[len(sides[0]) :]
+                i, j = outside(*drawn, number, tuple(heads), reach(turn - 1) / n, reach(turn) / n)
                 for x, y in zip(i.tolist(), j.tolist()):
-                    one, other = block[x]["node"], block[y]["node"]
-                    if one < other:
-                        a.append(one)
-                        b.append(other)
+                    pair = sides[0][x]["node"], sides[1][y]["node"]
+                    if own != other or pair[0] < pair[1]:
+                        a.append(min(pair))
+                        b.append(max(pair))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
     placed = members.where(F.col("n") > reach(turn - 1)).join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     # A bucket of one class has nothing to propose.
     several = placed.groupBy("key").agg((F.min("component") != F.max("component")).alias("open")).where("open").select("key")
+    blocks = F.ceil(F.col("n") / BLOCK)
     return (
         placed.join(several, "key")
-        .withColumn("own", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK)))
-        .groupBy("key", "own")
-        .agg(F.first("n").alias("n"), F.collect_list(F.struct("node", "drawn", "component")).alias("block"))
-        .select("n", "block")
+        .withColumn("own", F.pmod(F.xxhash64("node"), blocks))
+        # Every two blocks of a bucket meet.
+        .withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+        .groupBy("key", F.least("own", "with").alias("one"), F.greatest("own", "with").alias("two"))
+        .agg(F.first("n").alias("n"), F.collect_list(F.struct("node", "drawn", "component", "own")).alias("block"))
+        .select("n", "one", "two", "block")
         .mapInArrow(run, "a binary, b binary")
         .distinct()
     )
