@@ -150,6 +150,16 @@ def test_all_blocks_of_a_bucket_meet(spark, monkeypatch):
     assert turn == 2 and sorted(pairs) == [(k, 30 + k) for k in range(30) if k != 1]
 
 
+def test_one_bound_in_a_block_and_across_classes():
+    rng = np.random.default_rng(8)
+    drawn = rng.integers(0, 2**32, (4, near_duplicates.SAMPLES), np.uint32)
+    drawn[1, :15], drawn[3, :14] = drawn[0, :15], drawn[2, :14]
+    assert near_duplicates.proposals(drawn)[0] == [(0, 1)]
+    number, heads = np.arange(4), np.arange(4, dtype=np.uint64)
+    i, j = near_duplicates.outside(drawn, drawn, (number, number), (heads, heads), 0, 1)
+    assert sorted(zip(i.tolist(), j.tolist())) == [(0, 1), (1, 0)]
+
+
 def test_sample_agreement_estimates_similarity():
     rng = np.random.default_rng(0)
     tables = near_duplicates.random_tables()
