@@ -180,6 +180,25 @@ def test_odd_rows_everywhere(spark, odd):
         assert empty.count() == 0
 
 
+def test_rows_without_an_id_go_one_by_one(spark):
+    """Only the duplicate or contaminated rows without an id go, and one row of a class without ids stays."""
+    many = {k: " ".join(f"{k}{i}" for i in range(60)) for k in "abcd"}
+    rows = [(1, many["a"]), (None, many["a"]), (None, many["b"]), (None, many["c"]), (None, many["c"]), (None, many["c"] + " more")]
+    rows += [(None, ""), (None, None), (2, many["d"]), (2, many["a"])]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, extra string")
+    classes = near_duplicates.classes(docs)
+    assert classes.count() == len(rows) and classes.where("stays").count() == 6
+    kept = near_duplicates.without_near_duplicates(docs)
+    found = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert kept.columns == docs.columns and sum((t or "").startswith("c0") for _, t in found) == 1
+    others = [f for f in found if not (f[1] or "").startswith("c0")]
+    assert sorted(others, key=str) == sorted([(1, many["a"]), (None, many["b"]), (None, ""), (None, None), (2, many["d"])], key=str)
+
+    benchmark = spark.createDataFrame([(1, many["a"])], "item_id long, text string")
+    clean = [(r["doc_id"], r["text"]) for r in decontamination.without_benchmark(docs, benchmark).collect()]
+    assert sorted(clean, key=str) == sorted([r for r in rows if r[1] != many["a"]], key=str)
+
+
 def test_odd_turns(spark):
     rows = [(None, None, None, None), (1, 2, "user", ""), (1, 2, "user", ""), (1, None, "USER ", None), (2, 1, "weird", "x" * 200_000)]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("place", F.lit(1))

@@ -14,7 +14,8 @@ whole of a shorter item of at least MIN_ITEM tokens, lie in a stretch of which a
 
 Defined cases: null or empty texts have no tokens and no hits, nor have items of fewer than
 MIN_ITEM tokens; items with the same tokens count as the one with the smallest id; rows with the
-same doc_id, null too, share their findings; empty tables give an empty result; columns besides
+same doc_id, null too, share their findings, but each text is kept or removed for its own; empty
+tables give an empty result; columns besides
 the ids and texts are not read.
 """
 
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.arrays import mixed, powers, slices, words
@@ -84,6 +85,10 @@ def test_items(benchmark: DataFrame) -> DataFrame:
     return first.join(items.select("tokens", "seeds").dropDuplicates(["tokens"]), "tokens")
 
 
+def version_of(text: Column) -> Column:
+    return F.unhex(F.md5(text))
+
+
 def regions(docs: DataFrame, filter_bytes: np.ndarray) -> DataFrame:
     """Stretches of documents around seeds that the bitmap lets through: tokens, their offset, and the hits."""
     shared = docs.sparkSession.sparkContext.broadcast(filter_bytes)
@@ -120,15 +125,16 @@ def regions(docs: DataFrame, filter_bytes: np.ndarray) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id").take(pa.array(out["row"], pa.int64())),
+                        part.column("version").take(pa.array(out["row"], pa.int64())),
                         pa.array(out["start"], pa.int64()),
                         pa.array(out["tokens"], pa.binary()),
                         pa.array(out["hits"], kind),
                     ],
-                    ["doc_id", "start", "tokens", "hits"],
+                    ["doc_id", "version", "start", "tokens", "hits"],
                 )
 
-    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return chosen.mapInArrow(run, "doc_id long, start long, tokens binary, hits array<struct<hash: long, place: int>>")
+    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), version_of(F.col("text")).alias("version"), "text")
+    return chosen.mapInArrow(run, "doc_id long, version binary, start long, tokens binary, hits array<struct<hash: long, place: int>>")
 
 
 def longest_stretch(agree: np.ndarray, share: float = MIN_SHARE) -> tuple[int, int]:
@@ -141,8 +147,8 @@ def longest_stretch(agree: np.ndarray, share: float = MIN_SHARE) -> tuple[int, i
     return int(first[at]), at
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, min_tokens: int = MIN_TOKENS, min_share: float = MIN_SHARE) -> DataFrame:
-    """Pairs (doc_id, item_id) with the place and length in tokens of their longest overlap."""
+def stretches(docs: DataFrame, benchmark: DataFrame, min_tokens: int = MIN_TOKENS, min_share: float = MIN_SHARE) -> DataFrame:
+    """The stretches of texts (doc_id, version: digest of the text) that overlap with an item, one or more a pair."""
     items = written(test_items(benchmark), "items")
     found = written(regions(docs, bitmap(items.select(F.explode("seeds.hash")))), "regions").withColumn("region", F.monotonically_increasing_id())
     found = written(found, "numbered-regions")
@@ -151,8 +157,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_tokens: int = MIN_TOKENS
     aligned = hits.join(known, "hash").select("region", "item_id", (F.col("at") - F.col("place")).alias("shift")).distinct()
     laid = (
         aligned.join(items.select("item_id", F.col("tokens").alias("item_tokens")), "item_id")
-        .join(found.select("region", "doc_id", "start", "tokens"), "region")
-        .select("doc_id", "item_id", "start", "shift", "tokens", "item_tokens")
+        .join(found.select("region", "doc_id", "version", "start", "tokens"), "region")
+        .select("doc_id", "version", "item_id", "start", "shift", "tokens", "item_tokens")
     )
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,15 +178,21 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_tokens: int = MIN_TOKENS
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").take(pa.array(keep, pa.int64())),
+                    batch.column("version").take(pa.array(keep, pa.int64())),
                     batch.column("item_id").take(pa.array(keep, pa.int64())),
                     pa.array(start, pa.int64()),
                     pa.array(length, pa.int64()),
                     pa.array(same, pa.int64()),
                 ],
-                ["doc_id", "item_id", "start", "n_tokens", "n_same"],
+                ["doc_id", "version", "item_id", "start", "n_tokens", "n_same"],
             )
 
-    checked = laid.mapInArrow(verify, "doc_id long, item_id long, start long, n_tokens long, n_same long")
+    return laid.mapInArrow(verify, "doc_id long, version binary, item_id long, start long, n_tokens long, n_same long")
+
+
+def overlaps(docs: DataFrame, benchmark: DataFrame, min_tokens: int = MIN_TOKENS, min_share: float = MIN_SHARE) -> DataFrame:
+    """Pairs (doc_id, item_id) with the place and length in tokens of their longest overlap."""
+    checked = stretches(docs, benchmark, min_tokens, min_share)
     best = F.max(F.struct("n_same", "n_tokens", (-F.col("start")).alias("before"))).alias("best")
     return checked.groupBy("doc_id", "item_id").agg(best).select(
         "doc_id", "item_id", (-F.col("best.before")).alias("start_token"), F.col("best.n_tokens").alias("n_tokens"),
@@ -190,5 +202,6 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_tokens: int = MIN_TOKENS
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that no test item contaminates."""
-    bad = overlaps(docs, benchmark).select(F.col("doc_id").alias("__contaminated")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["__contaminated"]), "left_anti")
+    bad = stretches(docs, benchmark).select(F.col("doc_id").alias("__contaminated"), F.col("version").alias("__version")).distinct()
+    same = docs["doc_id"].cast("long").eqNullSafe(bad["__contaminated"]) & (version_of(docs["text"]) == bad["__version"])
+    return docs.join(bad, same, "left_anti")

@@ -25,8 +25,10 @@ class is; one that belongs to none is checked against every likely partner.
 
 Defined cases: null and empty texts are in classes of their own; a text of one to four words has
 one shingle; texts without words are alike only if equal; rows repeated with the same doc_id are one
-document and share its fate, rows with a null doc_id are kept apart by their text; an empty table
-gives an empty result; columns besides the id and text are not read.
+document and share its fate; rows with a null doc_id are documents of their own, and of a class of
+such rows alone one row of the least text digest stays; rows of one doc_id with different texts are
+judged each by its text; an empty table gives an empty result; columns besides the id and text are
+not read.
 """
 
 from __future__ import annotations
@@ -390,11 +392,11 @@ def links(texts: DataFrame, pairs: DataFrame, idf: np.ndarray, threshold: float
     return both.mapInArrow(run, "a binary, b binary, similarity double")
 
 
-def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, class_id (the smallest id of the class) and whether the document is the one that stays."""
+def placed_rows(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, node (digest of the text, null if empty), class_id and whether it stays, for every row."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     idf = inverse_frequencies(docs)
-    drawn = written(signatures(docs, idf), "signatures")
+    drawn = written(signatures(docs, idf).withColumn("row", F.monotonically_increasing_id()), "signatures")
     nodes = drawn.where("bands is not null").groupBy("node").agg(F.first("drawn").alias("drawn"), F.first("bands").alias("bands"))
     banded = nodes.select("node", F.explode("bands").alias("key"))
     full = banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
@@ -411,14 +413,32 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         tested, turn = tested.unionByName(pairs), turn + 1
     # An empty text is a class of its own, known by its document.
     own = F.coalesce("component", "node", F.concat(F.encode(F.lit("empty "), "utf-8"), F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "utf-8")))
-    placed = drawn.select("doc_id", "node").join(found, "node", "left").select("doc_id", own.alias("class"))
-    first = placed.groupBy("class").agg(F.min("doc_id").alias("class_id"))
-    return placed.join(first, "class").select(
-        "doc_id", "class_id", F.coalesce(F.col("doc_id") == F.col("class_id"), F.col("class_id").isNull()).alias("stays")
+    placed = drawn.select("doc_id", "node", "row").join(found, "node", "left").select("doc_id", "node", "row", own.alias("class"))
+    # Of a class without any id, one row of the least digest stays.
+    nameless = F.when(F.col("doc_id").isNull() & F.col("node").isNotNull(), F.struct("node", "row"))
+    first = placed.groupBy("class").agg(F.min("doc_id").alias("class_id"), F.min(nameless).alias("least"))
+    stays = F.when(F.col("class_id").isNotNull(), F.col("doc_id").eqNullSafe(F.col("class_id"))).otherwise(
+        F.col("least").isNull() | (F.col("row") == F.col("least.row"))
     )
+    return placed.join(first, "class").select("doc_id", "node", "class_id", F.coalesce(stays, F.lit(True)).alias("stays"))
+
+
+def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, class_id (the smallest id of the class, null if it has none) and whether the document is the one that stays."""
+    return placed_rows(docs, threshold).drop("node")
 
 
 def without_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One document of each class, with its own columns."""
-    gone = classes(docs, threshold).where(~F.col("stays")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["__gone"]), "left_anti")
+    rows = placed_rows(docs, threshold).where("node is not null")
+    gone = written(
+        rows.groupBy(F.col("doc_id").alias("__gone"), F.col("node").alias("__node")).agg(F.max("stays").alias("__stays"), F.count("*").alias("__n"))
+        .where("not __stays or __gone is null and __n > 1"),
+        "gone",
+    )
+    id_, node = docs["doc_id"].cast("long"), F.when(F.length(docs["text"]) > 0, F.unhex(F.md5(docs["text"])))
+    same = id_.eqNullSafe(F.col("__gone")) & (node == F.col("__node"))
+    kept = docs.join(gone, same, "left_anti")
+    # Equal rows without an id are told apart by nothing: any one of them stays.
+    copies = docs.where(F.col("doc_id").isNull()).join(gone.where("__stays"), same).dropDuplicates(["__node"])
+    return kept.unionByName(copies.select(*(docs[c] for c in docs.columns)))
