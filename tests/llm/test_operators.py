@@ -282,6 +282,16 @@ def test_decontamination_like_all_alignments(spark):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, _ in texts} - {i for i, _ in wanted}
 
 
+def test_items_without_an_id_are_found(spark):
+    rng = random.Random(3)
+    texts, items = [(k, prose(rng, 40)) for k in range(4)], []
+    items = [(None, " ".join(texts[0][1].split()[5:25])), (None, " ".join(texts[1][1].split()[5:25])), (8, prose(rng, 20))]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = [(r["doc_id"], r["item_id"], r["n_tokens"]) for r in decontamination.overlaps(documents(spark, texts), benchmark).collect()]
+    assert sorted(found) == [(0, None, 20), (1, None, 20)]
+    assert {r["doc_id"] for r in decontamination.without_benchmark(documents(spark, texts), benchmark).collect()} == {2, 3}
+
+
 # --- token counts -------------------------------------------------------------
 
 

@@ -13,7 +13,8 @@ whole of a shorter item of at least MIN_ITEM tokens, lie in a stretch of which a
 `min_share` agrees.
 
 Defined cases: null or empty texts have no tokens and no hits, nor have items of fewer than
-MIN_ITEM tokens; items with the same tokens count as the one with the smallest id; rows with the
+MIN_ITEM tokens; items with the same tokens count as the one with the smallest id, those
+whose ids are all null are found with a null item_id; rows with the
 same doc_id, null too, share their findings, but each text is kept or removed for its own; empty
 tables give an empty result; columns besides
 the ids and texts are not read.
@@ -57,7 +58,7 @@ def seeds(hashes: np.ndarray, rows: np.ndarray) -> Iterator[tuple[np.ndarray, np
 
 
 def test_items(benchmark: DataFrame) -> DataFrame:
-    """item_id and tokens (4 bytes each) of the distinct items, with their seeds (hash, place)."""
+    """Distinct items: item (digest of the tokens), item_id, tokens (4 bytes each) and seeds (hash, place)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -82,7 +83,8 @@ def test_items(benchmark: DataFrame) -> DataFrame:
     )
     items = items.where(F.length("tokens") >= 4 * MIN_ITEM)
     first = items.groupBy("tokens").agg(F.min("item_id").alias("item_id"))
-    return first.join(items.select("tokens", "seeds").dropDuplicates(["tokens"]), "tokens")
+    distinct = first.join(items.select("tokens", "seeds").dropDuplicates(["tokens"]), "tokens")
+    return distinct.withColumn("item", F.unhex(F.md5("tokens")))
 
 
 def version_of(text: Column) -> Column:
@@ -153,12 +155,12 @@ def stretches(docs: DataFrame, benchmark: DataFrame, min_tokens: int = MIN_TOKEN
     found = written(regions(docs, bitmap(items.select(F.explode("seeds.hash")))), "regions").withColumn("region", F.monotonically_increasing_id())
     found = written(found, "numbered-regions")
     hits = found.select("region", F.explode("hits").alias("hit")).select("region", "hit.hash", F.col("hit.place").alias("at"))
-    known = items.select("item_id", F.explode("seeds").alias("seed")).select("item_id", "seed.hash", "seed.place")
-    aligned = hits.join(known, "hash").select("region", "item_id", (F.col("at") - F.col("place")).alias("shift")).distinct()
+    known = items.select("item", F.explode("seeds").alias("seed")).select("item", "seed.hash", "seed.place")
+    aligned = hits.join(known, "hash").select("region", "item", (F.col("at") - F.col("place")).alias("shift")).distinct()
     laid = (
-        aligned.join(items.select("item_id", F.col("tokens").alias("item_tokens")), "item_id")
+        aligned.join(items.select("item", "item_id", F.col("tokens").alias("item_tokens")), "item")
         .join(found.select("region", "doc_id", "version", "start", "tokens"), "region")
-        .select("doc_id", "version", "item_id", "start", "shift", "tokens", "item_tokens")
+        .select("doc_id", "version", "item", "item_id", "start", "shift", "tokens", "item_tokens")
     )
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,22 +181,23 @@ def stretches(docs: DataFrame, benchmark: DataFrame, min_tokens: int = MIN_TOKEN
                 [
                     batch.column("doc_id").take(pa.array(keep, pa.int64())),
                     batch.column("version").take(pa.array(keep, pa.int64())),
+                    batch.column("item").take(pa.array(keep, pa.int64())),
                     batch.column("item_id").take(pa.array(keep, pa.int64())),
                     pa.array(start, pa.int64()),
                     pa.array(length, pa.int64()),
                     pa.array(same, pa.int64()),
                 ],
-                ["doc_id", "version", "item_id", "start", "n_tokens", "n_same"],
+                ["doc_id", "version", "item", "item_id", "start", "n_tokens", "n_same"],
             )
 
-    return laid.mapInArrow(verify, "doc_id long, version binary, item_id long, start long, n_tokens long, n_same long")
+    return laid.mapInArrow(verify, "doc_id long, version binary, item binary, item_id long, start long, n_tokens long, n_same long")
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, min_tokens: int = MIN_TOKENS, min_share: float = MIN_SHARE) -> DataFrame:
     """Pairs (doc_id, item_id) with the place and length in tokens of their longest overlap."""
     checked = stretches(docs, benchmark, min_tokens, min_share)
     best = F.max(F.struct("n_same", "n_tokens", (-F.col("start")).alias("before"))).alias("best")
-    return checked.groupBy("doc_id", "item_id").agg(best).select(
+    return checked.groupBy("doc_id", "item", "item_id").agg(best).select(
         "doc_id", "item_id", (-F.col("best.before")).alias("start_token"), F.col("best.n_tokens").alias("n_tokens"),
         F.col("best.n_same").alias("n_same"),
     )
