@@ -5,6 +5,7 @@ import heapq
 import random
 import re
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import public_tokenizers
@@ -292,6 +293,22 @@ def test_items_without_an_id_are_found(spark):
     assert {r["doc_id"] for r in decontamination.without_benchmark(documents(spark, texts), benchmark).collect()} == {2, 3}
 
 
+def test_short_items_with_all_allowed_substitutions(spark):
+    """Items of 6 to 12 words with every pattern of one substitution, or two from 10 words on; one more is too many."""
+    rng = random.Random(12)
+    items = [(n, " ".join(rng.sample(WORDS, n))) for n in range(6, 13)]
+    texts, wanted = [], set()
+    for n, item in items:
+        allowed = n // 5
+        for count in (allowed, allowed + 1):
+            for places in combinations(range(n), count):
+                if count == allowed:
+                    wanted.add((len(texts), n))
+                texts.append((len(texts), f"before it {' '.join(substituted(rng, item.split(), places))} behind it"))
+    found = decontamination.overlaps(documents(spark, texts), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == wanted
+
+
 # --- token counts -------------------------------------------------------------
 
 

@@ -2,7 +2,9 @@
 
 Fixed masks over a few token positions ignore some of them, so a hash over the others survives
 substituted tokens. Hashes of test items and of documents are joined; around each hit the item is
-laid along the document, and the longest stretch in which enough tokens agree decides.
+laid along the document, and the longest stretch in which enough tokens agree decides. Items of
+fewer than MIN_TOKENS tokens have masks of their own length besides, which find every substitution
+that the rule allows them.
 
 Before the join, documents drop hashes that no test item can have: a bitmap of fixed size
 (whatever the size of the benchmark) is probed twice per hash. Hits near each other
@@ -23,6 +25,7 @@ the ids and texts are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -41,23 +44,38 @@ MIN_ITEM = 6
 CONTEXT = 160
 
 
-def seeds(hashes: np.ndarray, rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def short_masks(n: int, min_share: float = MIN_SHARE) -> list[str]:
+    """Masks over all n places of a short item, one of which misses every substitution that the share allows.
+
+    With m substitutions the places are m + 2 groups; each two groups are a mask, and two are always untouched.
+    """
+    groups = int(n * (1 - min_share) + 1e-9) + 2
+    return ["".join("1" if k * groups // n in kept else "0" for k in range(n)) for kept in combinations(range(groups), 2)]
+
+
+def masks_for(lengths: list[int], min_share: float = MIN_SHARE) -> list[tuple[int, str]]:
+    """Numbered masks: MASKS, and those of short items of the given lengths."""
+    own = [(1000 * n + k, mask) for n in lengths for k, mask in enumerate(short_masks(n, min_share))]
+    return [*enumerate(MASKS, 1), *own]
+
+
+def seeds(hashes: np.ndarray, rows: np.ndarray, masks: list[tuple[int, str]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Per mask: the hash of each place and the places where the mask lies within one row."""
     ends = np.repeat(rows[1:], np.diff(rows))
-    for number, mask in enumerate(MASKS):
+    for number, mask in masks:
         size = len(mask)
         places = np.flatnonzero(np.arange(len(hashes)) + size <= ends)
         if not len(places):
             continue
         n = int(places[-1]) + 1
-        total = np.full(n, number + 1, np.uint64)
+        total = np.full(n, number, np.uint64)
         for k, (bit, power) in enumerate(zip(mask, powers(size))):
             if bit == "1":
                 total += hashes[k : k + n] * power
         yield mixed(total)[places], places
 
 
-def test_items(benchmark: DataFrame) -> DataFrame:
+def test_items(benchmark: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
     """Distinct items: item (digest of the tokens), item_id, tokens (4 bytes each) and seeds (hash, place)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,7 +86,8 @@ def test_items(benchmark: DataFrame) -> DataFrame:
                 tokens, seed_lists = [], []
                 for a, b in zip(found.rows[:-1], found.rows[1:]):
                     tokens.append(low[a:b].tobytes())
-                    own = [(h, p) for h, p in seeds(found.hashes[a:b], np.array([0, b - a]))]
+                    masks = masks_for([b - a] if MIN_ITEM <= b - a < MIN_TOKENS else [], min_share)
+                    own = [(h, p) for h, p in seeds(found.hashes[a:b], np.array([0, b - a]), masks)]
                     seed_lists.append(
                         [{"hash": int(x), "place": int(y)} for h, p in own for x, y in zip(h.view(np.int64), p)]
                     )
@@ -91,7 +110,7 @@ def version_of(text: Column) -> Column:
     return F.unhex(F.md5(text))
 
 
-def regions(docs: DataFrame, filter_bytes: np.ndarray) -> DataFrame:
+def regions(docs: DataFrame, filter_bytes: np.ndarray, masks: list[tuple[int, str]]) -> DataFrame:
     """Stretches of documents around seeds that the bitmap lets through: tokens, their offset, and the hits."""
     shared = docs.sparkSession.sparkContext.broadcast(filter_bytes)
 
@@ -102,7 +121,7 @@ def regions(docs: DataFrame, filter_bytes: np.ndarray) -> DataFrame:
             for part in slices(batch, "text"):
                 found = words(part.column("text"))
                 hits, places = [], []
-                for h, p in seeds(found.hashes, found.rows):
+                for h, p in seeds(found.hashes, found.rows, masks):
                     keep = let_through(h, table)
                     hits.append(h[keep])
                     places.append(p[keep])
@@ -151,8 +170,11 @@ def longest_stretch(agree: np.ndarray, share: float = MIN_SHARE) -> tuple[int, i
 
 def stretches(docs: DataFrame, benchmark: DataFrame, min_tokens: int = MIN_TOKENS, min_share: float = MIN_SHARE) -> DataFrame:
     """The stretches of texts (doc_id, version: digest of the text) that overlap with an item, one or more a pair."""
-    items = written(test_items(benchmark), "items")
-    found = written(regions(docs, bitmap(items.select(F.explode("seeds.hash")))), "regions").withColumn("region", F.monotonically_increasing_id())
+    items = written(test_items(benchmark, min_share), "items")
+    # Lengths under MIN_TOKENS only, so a few numbers; a benchmark without short items costs no more masks.
+    short = items.select((F.length("tokens") / 4).cast("int").alias("n")).where(F.col("n") < MIN_TOKENS).distinct().collect()
+    masks = masks_for(sorted(r["n"] for r in short), min_share)
+    found = written(regions(docs, bitmap(items.select(F.explode("seeds.hash"))), masks), "regions").withColumn("region", F.monotonically_increasing_id())
     found = written(found, "numbered-regions")
     hits = found.select("region", F.explode("hits").alias("hit")).select("region", "hit.hash", F.col("hit.place").alias("at"))
     known = items.select("item", F.explode("seeds").alias("seed")).select("item", "seed.hash", "seed.place")
