@@ -103,6 +103,14 @@ def test_blocks_of_untidy_markup():
     assert main_text.blocks("") == [] and main_text.blocks("<p>") == [] and main_text.blocks("a < b")[0].text == "a < b"
 
 
+def test_blocks_keep_what_icons_and_formulas_stand_before():
+    page = (
+        "<header><svg viewBox='0 0 1 1'/><svg><text>no</text></svg></header><math/><article><p>Let <math><mi>x</mi></math> be"
+        "<object data='a'>in place of a</object><noscript><p>without scripts</p></noscript><p>end</article><svg class=\"a\" />last"
+    )
+    assert [b.text for b in main_text.blocks(page)] == ["Let x be", "in place of a", "without scripts", "end", "last"]
+
+
 @needs_tables
 def test_labeller_on_known_and_disguised_pages():
     pages = [main_text.blocks(h) for h in pq.read_table(f"{SMALL}/pages.parquet").column("html").to_pylist()]

@@ -43,7 +43,8 @@ TOGETHER = 64
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|iframe|svg|math|object)\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<svg\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*(?<=/)>"
+    r"|<(?P<raw>script|style|template|textarea|iframe|svg)\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attributes>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
     r"|<[!?][^>]*>"
     r"|(?P<text>[^<]+|<)",
@@ -54,6 +55,8 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small "
     "span strike strong sub sup time tt u var wbr br".split()
 )
+# Formulas are part of the sentence they are in.
+FORMULA = re.compile(r"(?:math|m(?:i|n|o|s|text|row|space|sup|sub|subsup|under|over|underover|frac|sqrt|root|fenced|style|padded|phantom|error|table|tr|td|multiscripts|prescripts)|semantics|annotation(?:-xml)?)")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # Elements that another one of the given kinds ends.
 ENDED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
@@ -109,7 +112,7 @@ def blocks(page: str) -> list[Block]:
         if tag is None:
             continue
         tag = tag.lower()
-        if tag in INLINE:
+        if tag in INLINE or FORMULA.fullmatch(tag):
             if tag == "a":
                 links = max(0, links - 1) if token["close"] else links + 1
             elif tag == "br":
