@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import chat, curriculum, decontamination, licenses, main_text, near_duplicates, nearest, suffix_dedup, token_counts, toxicity
+from tillroll.llm import chat, curriculum, decontamination, embedding_links, licenses, main_text, near_duplicates, nearest, suffix_dedup, token_counts, toxicity
 from tillroll.llm.scratch import ready
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,6 +103,12 @@ def op10_curriculum(spark: SparkSession, folder: str) -> DataFrame:
     ).orderBy(F.col("position").asc_nulls_last(), "doc_id")
 
 
+@query
+def op11_embedding_links(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and component of every vector."""
+    return embedding_links.embedding_links(table(spark, folder, "embeddings"))
+
+
 SQL: dict[str, str] = {}
 
 
