@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import chat, curriculum, decontamination, embedding_links, licenses, main_text, near_duplicates, nearest, suffix_dedup, token_counts, toxicity
+from tillroll.llm import chat, curriculum, decontamination, embedding_links, licenses, main_text, near_duplicates, nearest, prefix_trie, structure_repair, suffix_dedup, token_counts, toxicity
 from tillroll.llm.scratch import ready
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,6 +109,19 @@ def op11_embedding_links(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_links.embedding_links(table(spark, folder, "embeddings"))
 
 
+@query
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Nodes of the trie of rebuilt conversations with their subtree totals."""
+    return prefix_trie.prefix_trie(table(spark, folder, "conversations"))
+
+
+@query
+def op13_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation, after damage."""
+    turns = table(spark, folder, "conversations")
+    return structure_repair.structure_report(structure_repair.damaged(turns), turns)
+
+
 SQL: dict[str, str] = {}
 
 
@@ -183,3 +196,55 @@ SELECT doc_id, size, source_size, target, CAST(size * copies AS BIGINT) AS taken
             THEN round(2 * share / ((1 - tilt) + sqrt((1 - tilt) * (1 - tilt) + 4 * tilt * share)), 9) END AS position
 FROM taken
 """
+
+# The second engine has no crc32: bit by bit, over the digits of a number.
+CRC32 = """(4294967295 - list_reduce([4294967295] || list_transform(string_split(CAST({} AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT)),
+    lambda c, d: list_reduce([xor(c, d)] || [CAST(0 AS BIGINT) FOR i IN range(8)], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))))"""
+SQL["op12_prefix_trie"] = rf"""
+WITH turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS place
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+convs AS (
+    SELECT conv_id, conv_id - conv_id % 20 AS stem, {CRC32.format("conv_id")} % 4 AS open FROM turns GROUP BY conv_id
+),
+mixed AS (
+    SELECT c.conv_id, 0 AS own, place, role, text FROM convs c JOIN turns t ON t.conv_id = c.stem AND place <= open
+    UNION ALL
+    SELECT c.conv_id, 1, place, role, text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND place > open
+),
+placed AS (
+    SELECT conv_id, md5(length(role) || ':' || role || text) AS step,
+           len(regexp_extract_all(text, '[^ 	-
+]+')) AS words,
+           row_number() OVER (PARTITION BY conv_id ORDER BY own, place) AS depth
+    FROM mixed
+),
+paths AS (
+    SELECT conv_id, depth, words, md5(string_agg(step, ',') OVER (PARTITION BY conv_id ORDER BY depth)) AS node,
+           max(depth) OVER (PARTITION BY conv_id) AS length
+    FROM placed
+    UNION ALL
+    SELECT conv_id, 0, 0, '', coalesce((SELECT max(depth) FROM placed p WHERE p.conv_id = c.conv_id), 0) FROM convs c
+),
+nodes AS (
+    SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+           sha256(coalesce(string_agg(CASE WHEN depth = length THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS ends_sha256
+    FROM paths GROUP BY node, depth
+),
+parents AS (
+    SELECT n.node, a.node AS parent, a_node.conv_id AS parent_conv_id
+    FROM nodes n JOIN paths a ON a.conv_id = n.conv_id AND a.depth = n.depth - 1 JOIN nodes a_node ON a_node.node = a.node
+),
+children AS (SELECT parent AS node, count(*) AS n_children FROM parents GROUP BY parent),
+totals AS (
+    SELECT a.node, count(*) FILTER (c.n_children IS NULL) AS n_leaves, sum((n.n_convs - 1) * n.words) AS saved_tokens
+    FROM nodes n JOIN paths a ON a.conv_id = n.conv_id AND a.depth <= n.depth LEFT JOIN children c ON c.node = n.node
+    GROUP BY a.node
+)
+SELECT CAST(n.conv_id AS BIGINT) AS conv_id, CAST(n.depth AS BIGINT) AS depth, CAST(p.parent_conv_id AS BIGINT) AS parent_conv_id,
+       CAST(n.n_convs AS BIGINT) AS n_convs, CAST(coalesce(c.n_children, 0) AS BIGINT) AS n_children,
+       CAST(t.n_leaves AS BIGINT) AS n_leaves, CAST(t.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n LEFT JOIN parents p ON p.node = n.node LEFT JOIN children c ON c.node = n.node JOIN totals t ON t.node = n.node
+"""
