@@ -97,16 +97,6 @@ def test_large_group_in_blocks(spark, monkeypatch):
     assert all(found[i] == 0 for i in range(150)) and all(found[i] == i for i in range(150, 160))
 
 
-def test_unlike_leaders_meet_in_a_grid(spark, monkeypatch):
-    monkeypatch.setattr(near_duplicates, "BLOCK", 4)
-    rng = np.random.default_rng(3)
-    drawn = rng.integers(0, 2**32, (40, near_duplicates.SAMPLES), np.uint32)
-    drawn[33, :20] = drawn[2, :20]  # alike enough to be checked, not enough for one leader
-    rows = [(7, bytes([i]) * 16, bytearray(d.tobytes())) for i, d in enumerate(drawn)]
-    pairs = near_duplicates.candidates(spark.createDataFrame(rows, "key long, node binary, drawn binary")).collect()
-    assert [(r["a"][0], r["b"][0]) for r in pairs] == [(2, 33)]
-
-
 def substituted(rng, words, places):
     return [f"odd{rng.randrange(10**9)}" if k in places else w for k, w in enumerate(words)]
 
@@ -134,31 +124,47 @@ def test_link_behind_many_closer_looking_partners(spark):
 
 
 def test_all_blocks_of_a_bucket_meet(spark, monkeypatch):
-    """Nodes of two blocks whose pair no leader makes are proposed, each pair once over all turns."""
+    """Two nodes of any blocks whose samples agree are in a meeting together, unless they are of one class already."""
     monkeypatch.setattr(near_duplicates, "BLOCK", 4)
     rng = np.random.default_rng(5)
     drawn = rng.integers(0, 2**32, (60, near_duplicates.SAMPLES), np.uint32)
     for k in range(30):
         drawn[30 + k, :20] = drawn[k, :20]
-    rows = [(7, bytes([i]) * 16, bytearray(d.tobytes()), 60) for i, d in enumerate(drawn)]
-    members = spark.createDataFrame(rows, "key long, node binary, drawn binary, n long")
-    # 1 and 31 are of one class already.
+    rows = [(7, 0, bytes([i]) * 16, bytearray(d.tobytes()), 60, 15) for i, d in enumerate(drawn)]
+    members = spark.createDataFrame(rows, "key long, band int, node binary, drawn binary, n long, blocks long")
     found = spark.createDataFrame([(bytes([i]) * 16, bytes([1]) * 16) for i in (1, 31)], "node binary, component binary")
-    pairs, turn = [], 0
-    while near_duplicates.reach(turn - 1) < 60:
-        pairs += [(r["a"][0], r["b"][0]) for r in near_duplicates.across(members, found, turn).collect()]
-        turn += 1
-    assert turn == 2 and sorted(pairs) == [(k, 30 + k) for k in range(30) if k != 1]
+    meetings = defaultdict(set)
+    for r in near_duplicates.partnered(near_duplicates.across_blocks(members, found)).collect():
+        meetings[r["one"], r["two"]].add(r["node"][0])
+    met = {(k, 30 + k) for k in range(30) if any({k, 30 + k} <= m for m in meetings.values())}
+    assert met == {(k, 30 + k) for k in range(30) if k != 1}
+    inside = {(r["node"][0]) % 30 for r in near_duplicates.partnered(near_duplicates.within_blocks(members)).collect()}
+    assert len(inside) < 30
 
 
-def test_one_bound_in_a_block_and_across_classes():
+def test_bound_on_agreeing_samples():
     rng = np.random.default_rng(8)
     drawn = rng.integers(0, 2**32, (4, near_duplicates.SAMPLES), np.uint32)
     drawn[1, :15], drawn[3, :14] = drawn[0, :15], drawn[2, :14]
-    assert near_duplicates.proposals(drawn)[0] == [(0, 1)]
-    number, heads = np.arange(4), np.arange(4, dtype=np.uint64)
-    i, j = near_duplicates.outside(drawn, drawn, (number, number), (heads, heads), 0, 1)
-    assert sorted(zip(i.tolist(), j.tolist())) == [(0, 1), (1, 0)]
+    sides = near_duplicates.Sides(drawn, np.arange(4), np.arange(4), np.arange(4))
+    (rows, found), = near_duplicates.likely(sides, 0, True)
+    assert rows.tolist() == [0, 1, 2, 3] and np.argwhere(found).tolist() == [[0, 1]]
+    assert not next(near_duplicates.likely(sides, 1, True))[1].any() and next(near_duplicates.likely(sides, 1, False))[1].any()
+    one_class = near_duplicates.Sides(drawn, np.zeros(4, int), np.arange(4), np.arange(4))
+    assert not next(near_duplicates.likely(one_class, 0, True))[1].any()
+
+
+def test_rows_of_a_family_do_not_grow_with_its_pairs(spark, monkeypatch):
+    """Texts at about 0.72 of each other: every pair is likely, none is a link, and rows stay within nodes and bands."""
+    rng = random.Random(3)
+    words, sizes = prose(rng, 300).split(), {}
+    real = near_duplicates.written
+    monkeypatch.setattr(near_duplicates, "written", lambda df, label, **k: [d := real(df, label, **k), sizes.setdefault(label, []).append(d.count())][0])
+    texts = [(i, " ".join(substituted(rng, words, rng.sample(range(2, 298, 4), 10)))) for i in range(150)]
+    found = {r["doc_id"]: r["class_id"] for r in near_duplicates.classes(documents(spark, texts)).collect()}
+    assert found == brute_classes(texts)
+    assert all(n <= 150 * near_duplicates.BANDS for label, n in ((label, n) for label, ns in sizes.items() for n in ns))
+    assert max(sizes["partnered"]) > 150 and sum(sizes["links"]) < 150
 
 
 def test_sample_agreement_estimates_similarity():

@@ -14,14 +14,17 @@ share of LIKELY of all samples; bands and this bound together miss 0.080 % of pa
 proposed pairs the weighted Jaccard similarity of the whole texts is computed; pairs from
 `threshold` on are links, and a class is a connected component of links.
 
-Equal texts are one node of the graph, so copies are never compared. A bucket is worked on in blocks
-of about BLOCK nodes; from a block come, for each node, the pair with its leader and with its
-nearest nodes. Leaders of a bucket of several blocks meet again in the next round. Links make
-classes; then all other pairs of a bucket are looked at, every two blocks of it meeting in a task of
-their own, in turns of a growing share of them, and
-those of nodes in different classes that agree on enough samples are checked. A pair within a class
-cannot change it. A node that belongs to a class so joins it after a few checks, however large the
-class is; one that belongs to none is checked against every likely partner.
+Equal texts are one node of the graph, so copies are never compared. Buckets are worked on in blocks
+of about BLOCK nodes and BLOCK_BYTES of text, dealt by a hash of node and bucket. First the nodes of every
+block meet, and what they link makes classes. Then, in buckets of several blocks, the nodes outside the
+bucket's largest class visit all of its blocks, a block of visitors and a block of the bucket in a task of their own; pairs
+within a class, which cannot change it, are left out. So every pair of a bucket is looked at, and a bucket
+of one class, however large, is not gone through again.
+
+A meeting has two steps. The first sees samples only and gives back the nodes that have a likely
+partner; then the texts of these are sent for, and the second computes the similarities of
+the likely pairs and gives back links that join classes, fewer than it has nodes. No pair is ever a row. A
+pair that shares several buckets is computed in the first one.
 
 Defined cases: null and empty texts are in classes of their own; a text of one to four words has
 one shingle; texts without words are alike only if equal; rows repeated with the same doc_id are one
@@ -34,10 +37,12 @@ not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.arrays import mixed, row_of, shingles, slices, words
@@ -51,12 +56,10 @@ IDF_SHARE = 0.02
 BUCKETS = 1 << 20
 BANDS, ROWS = 10, 3
 SAMPLES = BANDS * ROWS
-# Agreeing samples from which a pair is worth its exact similarity, in a block and across classes: at 0.8, fewer agree once in 19,000 times.
+# Agreeing samples from which a pair is worth its exact similarity: at 0.8, fewer agree once in 19,000 times.
 LIKELY = 0.5
-NEAREST = 3
 BLOCK = 4096
-# In turn t a node has met FIRST * GROWTH ** t nodes of a bucket; the last turn reaches the size of the largest bucket.
-FIRST, GROWTH = 16, 4
+BLOCK_BYTES = 16 << 20
 ROWS_AT_ONCE = 256
 COUNTS_PER_ROW = 1 << 14
 RANDOMS = 1 << 16
@@ -153,7 +156,7 @@ def samples(keys: np.ndarray, log_weights: np.ndarray, rows: np.ndarray, tables)
 
 
 def signatures(docs: DataFrame, idf: np.ndarray) -> DataFrame:
-    """doc_id, node (digest of the text, null if empty), samples and the keys of the bands (none without words)."""
+    """doc_id, node (digest of the text, null if empty), its size, samples and the keys of the bands (none without words)."""
     shared = docs.sparkSession.sparkContext.broadcast(idf)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,168 +177,189 @@ def signatures(docs: DataFrame, idf: np.ndarray) -> DataFrame:
                     for i, s, b in zip(some.tolist(), found, band.view(np.int64)):
                         drawn[i], bands[i] = s.tobytes(), b
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("node"), pa.array(drawn, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                    ["doc_id", "node", "drawn", "bands"],
+                    [*(part.column(c) for c in ("doc_id", "node", "size")), pa.array(drawn, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+                    ["doc_id", "node", "size", "drawn", "bands"],
                 )
 
-    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), node_of("text").alias("node"), "text")
-    return chosen.mapInArrow(run, "doc_id long, node binary, drawn binary, bands array<long>")
+    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), node_of("text").alias("node"), F.octet_length("text").cast("long").alias("size"), "text")
+    return chosen.mapInArrow(run, "doc_id long, node binary, size long, drawn binary, bands array<long>")
 
 
 def node_of(text: str):
     return F.when(F.length(text) > 0, F.unhex(F.md5(F.col(text))))
 
 
-def agreements(drawn: np.ndarray) -> np.ndarray:
-    """How many samples each two of a block's nodes agree on."""
-    agree = np.zeros((len(drawn), len(drawn)), np.uint8)
-    for k in range(SAMPLES):
-        agree += drawn[:, k][:, None] == drawn[:, k][None, :]
-    np.fill_diagonal(agree, 0)
-    return agree
-
-
-def likely(agree: np.ndarray, partners: list[np.ndarray]) -> list[tuple[int, int]]:
-    """The distinct pairs of each node with its partners that agree on enough samples."""
-    everyone, pairs = np.arange(len(agree)), set()
-    for other in partners:
-        good = np.flatnonzero((agree[everyone, other] >= LIKELY * SAMPLES) & (everyone != other))
-        pairs.update(zip(np.minimum(good, other[good]).tolist(), np.maximum(good, other[good]).tolist()))
-    return sorted(pairs)
-
-
-def proposals(drawn: np.ndarray) -> tuple[list[tuple[int, int]], list[int]]:
-    """Pairs of a block's nodes that are worth checking, and its leaders."""
-    n, agree = len(drawn), agreements(drawn)
-    leaders, group = [], np.full(n, -1)
-    for i in range(n):
-        if group[i] < 0:
-            group[(agree[i] >= THRESHOLD * SAMPLES) & (group < 0)] = len(leaders)
-            group[i] = len(leaders)
-            leaders.append(i)
-    pairs = set(likely(agree, [np.array(leaders)[group]]))
-    for _ in range(min(NEAREST, n - 1)):
-        nearest = agree.argmax(1)
-        pairs.update(likely(agree, [nearest]))
-        agree[np.arange(n), nearest] = 0
-    return sorted(pairs), leaders
-
-
-def outside(
-    left: np.ndarray, right: np.ndarray, classes_: tuple[np.ndarray, np.ndarray], heads: tuple[np.ndarray, np.ndarray], low: float, high: float
-) -> tuple[np.ndarray, np.ndarray]:
-    """All likely pairs of a left and a right node of different classes whose share lies from low to below high.
-
-    heads: 64 bits of the nodes' digests. The share of a pair, from 0 to 1, is a hash of these two alone.
+class Sides(NamedTuple):
+    """The members of a meeting: samples, classes, and which of them are at home (rows) and which visit (columns).
+
+    In a block's meeting with itself every member is both, and each two meet once.
     """
-    found = [(np.zeros(0, np.int64),) * 2]
-    for first in range(0, len(left), ROWS_AT_ONCE):
-        part = left[first : first + ROWS_AT_ONCE]
-        agree = np.zeros((len(part), len(right)), np.uint8)
-        for k in range(SAMPLES):
-            agree += part[:, k][:, None] == right[:, k][None, :]
-        i, j = np.nonzero((agree >= LIKELY * SAMPLES) & (classes_[0][first : first + ROWS_AT_ONCE, None] != classes_[1][None, :]))
-        share = (mixed(heads[0][first + i] + heads[1][j]) >> np.uint64(11)) / float(1 << 53)
-        keep = (share >= low) & (share < high)
-        found.append((first + i[keep], j[keep]))
-    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
-
-
-def candidates(members: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of nodes from rows of (key, node, drawn), one per node and bucket."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = pa.list_(pa.struct([("a", pa.binary()), ("b", pa.binary())]))
-        kept = pa.list_(pa.struct([("node", pa.binary()), ("drawn", pa.binary())]))
-        for batch in batches:
-            found, heads = [], []
-            for block in batch.column("block").to_pylist():
-                block = sorted(block, key=lambda m: m["node"])
-                drawn = np.frombuffer(b"".join(m["drawn"] for m in block), np.uint32).reshape(len(block), SAMPLES)
-                pairs, leaders = proposals(drawn)
-                found.append([{"a": block[i]["node"], "b": block[j]["node"]} for i, j in pairs])
-                heads.append([block[i] for i in leaders])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), batch.column("blocks"), pa.array(found, pair), pa.array(heads, kept)],
-                ["key", "blocks", "pairs", "leaders"],
-            )
+    drawn: np.ndarray
+    classes: np.ndarray
+    home: np.ndarray
+    visiting: np.ndarray
 
-    schema = "key long, blocks long, pairs array<struct<a: binary, b: binary>>, leaders array<struct<node: binary, drawn: binary>>"
-    results, before, grid = [], None, False
-    while True:
-        blocks = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-        placed = members.join(blocks, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
-        if grid:
-            # Leaders that do not get fewer are unlike each other: every two blocks of them meet.
-            placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-            place = F.struct(F.least("own", "with"), F.greatest("own", "with"))
-        else:
-            place = F.struct("own")
-        worked = (
-            placed.groupBy("key", place.alias("place"))
-            .agg(F.first("blocks").alias("blocks"), F.collect_list(F.struct("node", "drawn")).alias("block"))
-            .select("key", "blocks", "block")
-            .mapInArrow(run, schema)
-        )
-        worked = written(worked, "proposals")
-        results.append(worked.select(F.explode("pairs").alias("pair")).select("pair.a", "pair.b"))
-        if grid:
-            break
-        members = worked.where("blocks > 1").select("key", F.explode("leaders").alias("m")).select("key", "m.node", "m.drawn")
-        left = members.count()
-        if not left:
-            break
-        grid, before = before is not None and left > before / 2, left
-    pairs = results[0]
-    for more in results[1:]:
-        pairs = pairs.unionByName(more)
-    return pairs.distinct()
-
-
-def reach(turn: int) -> int:
-    """How many nodes of a bucket a node has met by the end of a turn, on average."""
-    return FIRST * GROWTH**turn if turn >= 0 else 0
-
-
-def across(members: DataFrame, found: DataFrame, turn: int) -> DataFrame:
-    """Distinct likely pairs of nodes of different classes: the turn's share of the pairs of every bucket.
-
-    members: key, node, drawn and n, the number of nodes of the bucket. The shares of the turns do not
-    overlap, and together they are all pairs of the bucket.
+    @staticmethod
+    def of(members: pa.StructArray) -> Sides:
+        drawn = np.frombuffer(b"".join(members.field("drawn").to_pylist()), np.uint32).reshape(len(members), SAMPLES)
+        classes_ = np.unique([c.hex() for c in members.field("component").to_pylist()], return_inverse=True)[1]
+        side = np.asarray(members.field("side"))
+        return Sides(drawn, classes_, np.flatnonzero(side != VISITING), np.flatnonzero(side != HOME))
+
+
+HOME, VISITING, BOTH = 0, 1, 2
+
+
+def likely(sides: Sides, band: int, once: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(members at home, a matrix of their likely partners among the visitors), a few rows at a time.
+
+    once: leave out pairs that share a bucket of an earlier band.
     """
+    right = sides.drawn[sides.visiting]
+    for first in range(0, len(sides.home), ROWS_AT_ONCE):
+        rows = sides.home[first : first + ROWS_AT_ONCE]
+        left = sides.drawn[rows]
+        agree, earlier = np.zeros((len(rows), len(right)), np.uint8), np.zeros((len(rows), len(right)), bool)
+        for b in range(BANDS):
+            whole = np.ones_like(earlier)
+            for k in range(b * ROWS, (b + 1) * ROWS):
+                same = left[:, k][:, None] == right[:, k][None, :]
+                agree += same
+                whole &= same
+            if once and b < band:
+                earlier |= whole
+        found = (agree >= LIKELY * SAMPLES) & ~earlier
+        if len(sides.home) == len(sides.drawn) == len(sides.visiting):
+            found &= rows[:, None] < sides.visiting[None, :]
+        yield rows, found & (sides.classes[rows][:, None] != sides.classes[sides.visiting][None, :])
+
+
+MEETING = "key long, band int, one long, two long, once boolean"
+MEMBER = "side int, node binary, drawn binary, component binary"
+
+
+def partnered(meetings: DataFrame) -> DataFrame:
+    """The members of each meeting that have a likely partner in it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(len(batch)):
+                place = [batch.column(c)[k].as_py() for c in ("key", "band", "one", "two", "once")]
+                members = batch.column("members")[k].values
+                sides, wanted = Sides.of(members), np.zeros(len(members), bool)
+                for rows, found in likely(sides, place[1], place[4]):
+                    wanted[rows[found.any(1)]] = True
+                    wanted[sides.visiting[found.any(0)]] = True
+                if wanted.any():
+                    kept = members.filter(pa.array(wanted))
+                    n = len(kept)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([v] * n, t) for v, t in zip(place, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()))]
+                        + [kept.field(c) for c in ("side", "node", "drawn", "component")],
+                        ["key", "band", "one", "two", "once", "side", "node", "drawn", "component"],
+                    )
+
+    return meetings.mapInArrow(run, f"{MEETING}, {MEMBER}")
+
+
+class Sets(NamedTuple):
+    """The weighted sets of texts, one after the other: numbers of shingles, weights, offsets, and the sums of weights."""
+
+    numbers: np.ndarray
+    weights: np.ndarray
+    rows: np.ndarray
+    sums: np.ndarray
+
+    @staticmethod
+    def of(texts: pa.Array, idf: np.ndarray) -> Sets:
+        keys, weights, counts = [], [], [np.zeros(1, np.int64)]
+        for part in slices(pa.RecordBatch.from_arrays([texts], ["text"]), "text"):
+            own, times, rows = weighted_set(part.column("text"))
+            keys.append(own)
+            weights.append(times * idf[(own & np.uint64(BUCKETS - 1)).astype(np.int64)].astype(float))
+            counts.append(np.diff(rows))
+        numbers = np.unique(np.concatenate(keys), return_inverse=True)[1]
+        rows = np.cumsum(np.concatenate(counts))
+        total = np.concatenate(weights)
+        return Sets(numbers, total, rows, np.bincount(row_of(rows), total, len(texts)))
+
+    def similarities(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Weighted Jaccard similarities of a text with others; all have shingles."""
+        own = slice(self.rows[i], self.rows[i + 1])
+        weight = np.zeros(self.numbers.max() + 1)
+        weight[self.numbers[own]] = self.weights[own]
+        sizes = self.rows[others + 1] - self.rows[others]
+        starts = np.cumsum(sizes) - sizes
+        at = np.arange(sizes.sum()) + np.repeat(self.rows[others] - starts, sizes)
+        shared = np.add.reduceat(np.minimum(weight[self.numbers[at]], self.weights[at]), starts)
+        return shared / np.maximum(self.sums[i] + self.sums[others] - shared, 1e-12)
+
+
+def joining_links(wanted: DataFrame, texts: DataFrame, idf: Broadcast, threshold: float) -> DataFrame:
+    """Links (a, b) between nodes of different classes that meet: of every meeting, as many as join all that is linked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = [], []
-            for block, n, own, other in zip(*(batch.column(c).to_pylist() for c in ("block", "n", "one", "two"))):
-                sides = [[m for m in block if m["own"] == side] for side in (own, other)]
-                drawn = [np.frombuffer(b"".join(m["drawn"] for m in side), np.uint32).reshape(len(side), SAMPLES) for side in sides]
-                heads = [np.frombuffer(b"".join(m["node"][:8] for m in side), np.uint64) for side in sides]
-                names = np.unique([m["component"].hex() for side in sides for m in side], return_inverse=True)[1]
-                number = names[: len(sides[0])], names[len(sides[0]) :]
-                i, j = outside(*drawn, number, tuple(heads), reach(turn - 1) / n, reach(turn) / n)
-                for x, y in zip(i.tolist(), j.tolist()):
-                    pair = sides[0][x]["node"], sides[1][y]["node"]
-                    if own != other or pair[0] < pair[1]:
-                        a.append(min(pair))
-                        b.append(max(pair))
+            for k in range(len(batch)):
+                members = batch.column("members")[k].values
+                sides, sets = Sides.of(members), Sets.of(members.field("text"), idf.value)
+                names, classes_ = members.field("node").to_pylist(), sides.classes.copy()
+                for rows, found in likely(sides, batch.column("band")[k].as_py(), batch.column("once")[k].as_py()):
+                    for i, row in zip(rows.tolist(), found):
+                        others = sides.visiting[row]
+                        others = others[classes_[others] != classes_[i]]
+                        for low in range(0, len(others), ROWS_AT_ONCE):
+                            part = others[low : low + ROWS_AT_ONCE]
+                            part = part[classes_[part] != classes_[i]]
+                            if not len(part):
+                                continue
+                            for j in part[sets.similarities(i, part) >= threshold - 1e-9].tolist():
+                                if classes_[i] != classes_[j]:
+                                    classes_[classes_ == classes_[j]] = classes_[i]
+                                    a.append(names[i])
+                                    b.append(names[j])
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
-    placed = members.where(F.col("n") > reach(turn - 1)).join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    # A bucket of one class has nothing to propose.
-    several = placed.groupBy("key").agg((F.min("component") != F.max("component")).alias("open")).where("open").select("key")
-    blocks = F.ceil(F.col("n") / BLOCK)
-    return (
-        placed.join(several, "key")
-        .withColumn("own", F.pmod(F.xxhash64("node"), blocks))
-        # Every two blocks of a bucket meet.
-        .withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-        .groupBy("key", F.least("own", "with").alias("one"), F.greatest("own", "with").alias("two"))
-        .agg(F.first("n").alias("n"), F.collect_list(F.struct("node", "drawn", "component", "own")).alias("block"))
-        .select("n", "one", "two", "block")
-        .mapInArrow(run, "a binary, b binary")
-        .distinct()
+    meetings = (
+        wanted.join(texts, "node")
+        .groupBy("key", "one", "two")
+        .agg(F.first("band").alias("band"), F.first("once").alias("once"), F.collect_list(F.struct("side", "node", "drawn", "component", "text")).alias("members"))
     )
+    return meetings.mapInArrow(run, "a binary, b binary")
+
+
+def _met(rows: DataFrame) -> DataFrame:
+    """Rows of (key, band, one, two, once) and a member, as meetings."""
+    return rows.groupBy("key", "one", "two").agg(
+        F.first("band").alias("band"), F.first("once").alias("once"), F.collect_list(F.struct("side", "node", "drawn", "component")).alias("members")
+    ).select("key", "band", "one", "two", "once", "members")
+
+
+def _block(blocks: str) -> Column:
+    """A node's block; in every bucket another one, so that blocks of several buckets mix what they hold."""
+    return F.pmod(F.xxhash64("node", "key"), F.col(blocks))
+
+
+def within_blocks(members: DataFrame) -> DataFrame:
+    """The meeting of every block with itself; members: key, band, node, drawn and blocks of the bucket."""
+    none = F.lit(-1).cast("long")
+    # Where a bucket is in several blocks, two nodes may miss each other in their first one: they meet in any.
+    rows = members.withColumns({"one": _block("blocks"), "two": none, "once": F.col("blocks") == 1, "side": F.lit(BOTH), "component": F.col("node")})
+    return _met(rows)
+
+
+def across_blocks(members: DataFrame, found: DataFrame) -> DataFrame:
+    """In buckets of several blocks, the meetings of blocks with those outside the bucket's largest class."""
+    placed = members.where("blocks > 1").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    sizes = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("key").agg(F.max_by("component", "n").alias("largest"), (F.sum("n") - F.max("n")).alias("rest")).where("rest > 0")
+    placed = placed.join(largest, "key").withColumn("visits", F.greatest(F.ceil(F.col("rest") / BLOCK), F.ceil(F.col("blocks") * F.col("rest") / F.col("n"))))
+    every = [F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1)) for c in ("visits", "blocks")]
+    home = placed.withColumns({"one": _block("blocks"), "two": every[0], "side": F.lit(HOME)})
+    visitors = placed.where("component != largest").withColumns({"one": every[1], "two": _block("visits"), "side": F.lit(VISITING)})
+    return _met(home.unionByName(visitors).withColumn("once", F.lit(True)))
 
 
 def texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -357,60 +381,25 @@ def texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     )
 
 
-def similarities(left: pa.Array, right: pa.Array, idf: np.ndarray) -> np.ndarray:
-    """Weighted Jaccard similarity of the texts of each row."""
-    sides = []
-    for column in (left, right):
-        keys, counts, rows = weighted_set(column)
-        weights = counts * idf[(keys & np.uint64(BUCKETS - 1)).astype(np.int64)].astype(float)
-        row = row_of(rows)
-        sides.append((row.astype(np.uint64) << np.uint64(48) | keys, weights, np.bincount(row, weights, len(column))))
-    (a, wa, sa), (b, wb, sb) = sides
-    common, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    shared = np.bincount((common >> np.uint64(48)).astype(np.int64), np.minimum(wa[i], wb[j]), len(left))
-    return shared / np.maximum(sa + sb - shared, 1e-12)
-
-
-def links(texts: DataFrame, pairs: DataFrame, idf: np.ndarray, threshold: float = THRESHOLD) -> DataFrame:
-    """The pairs (a, b) of nodes whose whole texts are similar enough, with their similarity."""
-    shared = texts.sparkSession.sparkContext.broadcast(idf)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "left"):
-                found = similarities(part.column("left"), part.column("right"), shared.value)
-                keep = pa.array(np.flatnonzero(found >= threshold - 1e-9))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("a").take(keep), part.column("b").take(keep), pa.array(found).take(keep)], ["a", "b", "similarity"]
-                )
-
-    both = (
-        pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
-        .join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")), "a")
-        .select("a", "b", "left", "right")
-    )
-    return both.mapInArrow(run, "a binary, b binary, similarity double")
-
-
 def placed_rows(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, node (digest of the text, null if empty), class_id and whether it stays, for every row."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     idf = inverse_frequencies(docs)
     drawn = written(signatures(docs, idf).withColumn("row", F.monotonically_increasing_id()), "signatures")
-    nodes = drawn.where("bands is not null").groupBy("node").agg(F.first("drawn").alias("drawn"), F.first("bands").alias("bands"))
-    banded = nodes.select("node", F.explode("bands").alias("key"))
-    full = banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    members = written(banded.join(full, "key").join(nodes.select("node", "drawn"), "node"), "members")
+    nodes = drawn.where("bands is not null").groupBy("node").agg(*(F.first(c).alias(c) for c in ("drawn", "bands", "size")))
+    banded = nodes.select("node", "size", F.posexplode("bands").alias("band", "key"))
+    full = banded.groupBy("key").agg(F.count("*").alias("n"), F.sum("size").alias("bytes")).where("n > 1")
+    full = full.select("key", "n", F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES)).alias("blocks"))
+    members = written(banded.drop("size").join(full, "key").join(nodes.select("node", "drawn"), "node"), "members")
     texts = written(texts_of(docs, members.select("node").distinct()), "texts")
-    tested = written(candidates(members), "pairs", slim=True)
-    found = written(components(links(texts, tested, idf, threshold).select("a", "b")), "classes", slim=True)
-    largest, turn = members.agg(F.max("n")).first()[0] or 0, 0
-    while reach(turn - 1) < largest:
-        pairs = written(across(members, found, turn).join(tested, ["a", "b"], "left_anti"), "pairs", slim=True)
-        new = written(renamed(links(texts, pairs, idf, threshold).select("a", "b"), found), "links", slim=True)
-        if new.limit(1).count():
-            found = written(composed(found, components(new)), "classes", slim=True)
-        tested, turn = tested.unionByName(pairs), turn + 1
+    shared = docs.sparkSession.sparkContext.broadcast(idf)
+    near = written(joining_links(written(partnered(within_blocks(members)), "partnered"), texts, shared, threshold), "links", slim=True)
+    found = written(components(near), "classes", slim=True)
+    far = joining_links(written(partnered(across_blocks(members, found)), "partnered"), texts, shared, threshold)
+    more = written(renamed(far, found), "links", slim=True)
+    if more.limit(1).count():
+        found = written(composed(found, components(more)), "classes", slim=True)
+    shared.destroy()
     # An empty text is a class of its own, known by its document.
     own = F.coalesce("component", "node", F.concat(F.encode(F.lit("empty "), "utf-8"), F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "utf-8")))
     placed = drawn.select("doc_id", "node", "row").join(found, "node", "left").select("doc_id", "node", "row", own.alias("class"))
