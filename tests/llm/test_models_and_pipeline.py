@@ -225,7 +225,7 @@ def test_queries_like_sql(spark, name):
 
 def test_every_query_is_registered():
     names = [n for n in entry_points.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n in queries.QUERIES) == list(range(1, 14))
     assert entry_points.queries()["pipeline"] is corpus_pipeline.run
 
 
