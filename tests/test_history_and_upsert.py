@@ -131,7 +131,7 @@ def test_merge_into_two_far_blocks_leaves_those_between_alone(spark):
     tables.write_fact(fact, path, orders_per_block=2)
 
     def files():
-        found = spark.read.parquet(path).select("order_block", F.input_file_name().alias("file")).distinct()
+        found = tables.read_fact(spark, path).select("order_block", F.input_file_name().alias("file")).distinct()
         return {(r.order_block, r.file) for r in found.collect()}
 
     before = files()
@@ -140,7 +140,7 @@ def test_merge_into_two_far_blocks_leaves_those_between_alone(spark):
     assert [k for k in keyed(merged) if k[2] == 99] == [(1, 1, 99), (19, 1, 99)] and merged.count() == 20
     kept = {f for f in before if f[0] not in (0, 9)}
     assert kept <= files() and not (before - kept) & files()
-    assert tables.newest_order(spark.read.parquet(path)) == 19
+    assert tables.newest_order(tables.read_fact(spark, path)) == 19
 
 
 def test_merge_leaves_other_blocks_alone(spark, stored):
@@ -148,7 +148,7 @@ def test_merge_leaves_other_blocks_alone(spark, stored):
     tables.write_fact(stored, path, orders_per_block=2)
 
     def files(condition):
-        found = spark.read.parquet(path).where(condition).select(F.input_file_name()).distinct()
+        found = tables.read_fact(spark, path).where(condition).select(F.input_file_name()).distinct()
         return {r[0] for r in found.collect()}
 
     before, touched = files("order_block < 2"), files("order_block = 2")

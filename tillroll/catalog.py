@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.numbers import rows, steady
-from tillroll.operators import assertions, history, scorecard, validation
+from tillroll.operators import assertions, daily_states, history, scorecard, sequence, validation
 from tillroll.operators.personal_data import pii_scan, pii_summary
 from tillroll.operators.sequence import derive_reordered
 from tillroll.operators.upsert import upsert_fact
@@ -24,8 +24,10 @@ from tillroll.plans.batch import run_batch
 from tillroll.plans.warehouse import MARTS, Warehouse
 from tillroll.session import scratch_dir, tune
 from tillroll.sinks import tables
-from tillroll.sources.raw import STAGING_TABLES, load_staging, source_inventory
+from tillroll.sources.inference import infer_types
+from tillroll.sources.raw import COLUMN_TYPES, CSV_OPTIONS, STAGING_TABLES, accepted, load_staging, rejected, sorted_out, source_inventory
 from tillroll.sources.standins import Shop
+from tillroll.streaming import arrivals
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -683,6 +685,125 @@ def product_day_drilldown(s: Store) -> DataFrame:
     return marts.product_day_drilldown(s.daily_product_metrics, 1, last)
 
 
+# --- day by day -------------------------------------------------------------
+
+
+def _batches(s: Store) -> list[DataFrame]:
+    """Orders and lines in three batches, each with newer orders than the one before."""
+    top = s.dated_orders.agg(F.max("order_id").alias("top")).scalar()
+    third = F.floor(F.col("order_id") * 3 / (top + 1))
+    return [s.order_lines.where(third == k) for k in range(3)]
+
+
+def _three_days(s: Store) -> dict[str, DataFrame]:
+    """The states after three batches, each published before the next."""
+
+    def build() -> dict[str, DataFrame]:
+        stored = tables.TableSet(s.spark, s.scratch("states"))
+        for k, lines in enumerate(_batches(s)):
+            draft = stored.draft(f"day{k}")
+            daily_states.update_states(draft, lines)
+            draft.publish()
+        return {name: stored.read(name) for name in daily_states.STATES}
+
+    return s.shared("states", build)
+
+
+@query
+def incremental_daily_metrics(s: Store) -> DataFrame:
+    """Daily product metrics from states that three batches were added to."""
+    return daily_states.daily_product_metrics(_three_days(s)["product_state"], s.dim_products)
+
+
+@query
+def incremental_product_funnel(s: Store) -> DataFrame:
+    """The product funnel from the same states."""
+    return daily_states.product_funnel(_three_days(s), s.products)
+
+
+@query
+def users_by_weekday(s: Store) -> DataFrame:
+    """Distinct users per day of week, from the bits kept per day."""
+    return daily_states.users_by(_three_days(s), "order_dow")
+
+
+@query
+def incremental_order_sequence(s: Store) -> DataFrame:
+    """Orders numbered per user as they arrive in three batches, many of them late."""
+    stored = tables.TableSet(s.spark, s.scratch("sequence"))
+    batch = F.pmod(F.xxhash64("order_id"), F.lit(3))
+    for k in range(3):
+        draft = stored.draft(f"day{k}")
+        sequence.extend_stored_sequence(draft, s.dated_orders.where(batch == k), blocks=8)
+        draft.publish()
+    return stored.read("sequence").select("order_id", "user_id", "order_number", "days_since_prior_order")
+
+
+@query
+def rejected_rows(s: Store) -> DataFrame:
+    """A file with text that does not fit: cells refused by column, and rows taken in."""
+    folder, id_ = s.scratch("raw"), F.col("order_id")
+    text = s.orders.select(*[F.col(c).cast("string").alias(c) for c in COLUMN_TYPES["orders"]])
+    odd = text.withColumns(
+        {
+            "order_dow": F.when(id_ % 50 == 0, "Sunday").otherwise(F.col("order_dow")),
+            "order_hour_of_day": F.when(id_ % 70 == 0, "noon").otherwise(F.col("order_hour_of_day")),
+        }
+    )
+    odd.write.options(**CSV_OPTIONS).csv(f"{folder}/orders.csv")
+    draft = tables.TableSet(s.spark, s.scratch("loaded")).draft()
+    found = draft.write(
+        "orders", lambda: sorted_out(s.spark.read.options(**CSV_OPTIONS).csv(f"{folder}/orders.csv"), "orders"), by="rejected",
+        sums={"rejected": F.col("rejected").cast("int")},
+    )
+    counted = draft.measures("orders")
+    cells = rejected(found, "orders").groupBy("column_name", "value", "wanted").agg(rows().alias("row_count"))
+    taken = accepted(found, "orders").agg(rows().alias("row_count"))
+    failed = s.spark.createDataFrame([(counted["rejected"],)], "row_count long")
+    none = F.lit(None).cast("string")
+    return cells.unionByName(taken.select(F.lit("accepted").alias("column_name"), none.alias("value"), none.alias("wanted"), "row_count")).unionByName(
+        failed.select(F.lit("rejected").alias("column_name"), none.alias("value"), none.alias("wanted"), "row_count")
+    )
+
+
+@query
+def publish_changes(s: Store) -> DataFrame:
+    """A copy of the products by department, then brought up to date after every fifth department changed."""
+    target = tables.TableSet(s.spark, s.scratch("copy"))
+    tables.publish_changes("dim_products", s.dim_products, target, "department_id")
+    renamed = F.when(F.col("department_id") % 5 == 0, F.concat("product_name", F.lit(" (new)"))).otherwise(F.col("product_name"))
+    return tables.publish_changes("dim_products", s.dim_products.withColumn("product_name", renamed), target, "department_id")
+
+
+@query_named("infer_types")
+def inferred_types(s: Store) -> DataFrame:
+    """Types of text columns of the catalogue and the orders, against declared ones."""
+    size = F.col("p_size")
+    parts = s.table("part").select(
+        F.col("p_partkey").cast("string").alias("product_id"),
+        F.col("p_name").alias("product_name"),
+        F.when(size < 10, F.col("p_brand")).otherwise(size.cast("string")).alias("aisle_id"),
+        F.when(size > 1, F.concat(size.cast("string"), F.lit(".50"))).alias("price"),
+        F.when(size > 100, "never").alias("nothing"),
+        (size > 10).cast("string").alias("large"),
+    )
+    day = F.col("o_orderdate").cast("date").cast("string")
+    orders = s.table("orders").select(day.alias("order_date"), F.concat(day, F.lit(" 10:30:00")).alias("ordered_at"))
+    catalogue = infer_types(parts, {"product_id": "long", "aisle_id": "int", "price": "long", "nothing": "int", "large": "boolean"})
+    return catalogue.unionByName(infer_types(orders, {"order_date": "timestamp", "ordered_at": "date"}))
+
+
+@query
+def stream_arrivals(s: Store) -> DataFrame:
+    """Lines that arrive in three drops of files, the second of which comes twice."""
+    folder, target, checkpoint = s.scratch("drops"), s.scratch("lines"), s.scratch("checkpoint")
+    third = F.pmod(F.xxhash64("order_id", "product_id"), F.lit(3))
+    for k in (0, 1, 1, 2):
+        s.order_products.where(third == k).write.mode("append").options(**CSV_OPTIONS).csv(f"{folder}/drop{k}")
+        arrivals.take_in(s.spark, folder, target, checkpoint, orders_per_block=5000)
+    return tables.read_fact(s.spark, target).drop("order_block")
+
+
 # --- the batch --------------------------------------------------------------
 
 

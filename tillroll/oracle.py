@@ -9,6 +9,7 @@ from __future__ import annotations
 from tillroll.operators.assertions import FACT_PARENTS, NOT_NULL, UNIQUE
 from tillroll.operators.personal_data import PATTERNS
 from tillroll.sinks.tables import PUBLISHED
+from tillroll.sources.inference import TAKES, WRITTEN
 
 # Views every statement may start from, in dependency order.
 VIEWS = {
@@ -384,6 +385,23 @@ def _day_name(dow: str) -> str:
     return f"[{names}][{dow} + 1]"
 
 
+def _inferred(name: str, value: str, table: str, declared: str | None) -> str:
+    """One column's type from all its values."""
+    casts = {"long": "BIGINT", "double": "DOUBLE", "date": "DATE", "timestamp": "TIMESTAMP", "boolean": "BOOLEAN"}
+    cases = " ".join(
+        f"WHEN count(*) FILTER (x IS NOT NULL AND NOT (regexp_matches(x, '{pattern}') AND TRY_CAST(x AS {casts[kind]}) IS NOT NULL)) = 0 THEN '{kind}'"
+        for kind, pattern in WRITTEN.items()
+    )
+    takes = ", ".join(f"'{k}'" for k in sorted(TAKES[declared])) if declared else ""
+    drift = f"coalesce(inferred_type NOT IN ({takes}), FALSE)" if declared else "FALSE"
+    label = f"'{declared}'" if declared else "CAST(NULL AS VARCHAR)"
+    return f"""
+        SELECT *, {label} AS declared_type, {drift} AS drift FROM (
+            SELECT '{name}' AS column_name, count(x) AS value_count, count(*) - count(x) AS null_count,
+                   CAST(max(length(x)) AS INTEGER) AS longest, CASE WHEN count(x) = 0 THEN NULL {cases} ELSE 'string' END AS inferred_type
+            FROM (SELECT {value} AS x FROM {table}) t) m"""
+
+
 def statements() -> dict[str, str]:
     q: dict[str, str] = {}
 
@@ -762,6 +780,36 @@ def statements() -> dict[str, str]:
         SELECT * FROM daily_product_metrics
         WHERE product_id = 1 AND order_date = (SELECT max(order_date) FROM fct_orders WHERE product_id = 1)"""
 
+    # day by day
+    q["incremental_daily_metrics"] = q["daily_product_metrics"]
+    q["incremental_product_funnel"] = q["product_funnel"]
+    q["users_by_weekday"] = "SELECT order_dow, count(DISTINCT user_id) AS users FROM stg_orders GROUP BY order_dow"
+    q["incremental_order_sequence"] = q["derive_order_sequence"]
+    q["rejected_rows"] = """
+        SELECT 'order_dow' AS column_name, 'Sunday' AS value, 'int' AS wanted, count(*) AS row_count FROM stg_orders WHERE order_id % 50 = 0
+        UNION ALL SELECT 'order_hour_of_day', 'noon', 'int', count(*) FROM stg_orders WHERE order_id % 70 = 0
+        UNION ALL SELECT 'accepted', NULL, NULL, count(*) FROM stg_orders WHERE order_id % 50 <> 0 AND order_id % 70 <> 0
+        UNION ALL SELECT 'rejected', NULL, NULL, count(*) FROM stg_orders WHERE order_id % 50 = 0 OR order_id % 70 = 0"""
+    q["publish_changes"] = """
+        SELECT 'dim_products' AS table_name, CAST(department_id AS VARCHAR) AS part, count(*) AS source_rows, count(*) AS copy_rows,
+               department_id % 5 = 0 AS written, TRUE AS equal
+        FROM dim_products GROUP BY department_id"""
+    day = "CAST(CAST(o_orderdate AS DATE) AS VARCHAR)"
+    q["infer_types"] = union_all(
+        _inferred(*column)
+        for column in [
+            ("product_id", "CAST(p_partkey AS VARCHAR)", "part", "long"),
+            ("product_name", "p_name", "part", None),
+            ("aisle_id", "CASE WHEN p_size < 10 THEN p_brand ELSE CAST(p_size AS VARCHAR) END", "part", "int"),
+            ("price", "CASE WHEN p_size > 1 THEN p_size || '.50' END", "part", "long"),
+            ("nothing", "CASE WHEN p_size > 100 THEN 'never' END", "part", "int"),
+            ("large", "CAST(p_size > 10 AS VARCHAR)", "part", "boolean"),
+            ("order_date", day, "orders", "timestamp"),
+            ("ordered_at", f"{day} || ' 10:30:00'", "orders", "date"),
+        ]
+    )
+    q["stream_arrivals"] = "SELECT * FROM stg_order_products"
+
     # the batch
     built = [
         "fct_orders", "dim_users", "dim_products", "dim_departments", "dim_aisles", "dim_products_scd",

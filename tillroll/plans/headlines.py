@@ -5,11 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NullType
 
 from tillroll.functions.labels import day_name
 from tillroll.functions.numbers import per_order, percent, ratio, reordered_items, round_to, rows
+from tillroll.session import scratch_dir
 
 
 def api_metrics(fct: DataFrame) -> DataFrame:
@@ -221,7 +223,8 @@ def adhoc_select(spark: SparkSession, query: str, limit: int = 100) -> AdhocResu
 
     The text is parsed by itself, and the parsed plan may hold nothing but reading operators, no
     function that reaches the JVM, and no relation but a view registered in the session or named in
-    its own WITH; files named as tables are refused too. Nothing is collected here.
+    its own WITH; files named as tables are refused too. The query runs once: its result is stored in the
+    shared scratch folder with every row's place and counted while it is written.
     """
     views = frozenset(t.name.lower() for t in spark.catalog.listTables() if t.isTemporary)
     try:
@@ -230,10 +233,18 @@ def adhoc_select(spark: SparkSession, query: str, limit: int = 100) -> AdhocResu
         raise NotASelect(str(error)) from error
     _refuse_all_but_reading(plan, views)
     result = spark.sql(query)
+    names = [f"_{i}" for i in range(len(result.columns))]  # a caller's columns may have equal names
+    counted = Observation()
+    typed = [n for n, f in zip(names, result.schema.fields) if not isinstance(f.dataType, NullType)]
+    placed = result.toDF(*names).select(*typed, F.monotonically_increasing_id().alias("_place")).observe(counted, rows().alias("n"))
+    path = scratch_dir(spark, "answer")
+    placed.write.parquet(path)
+    # A column of bare NULLs has no type to be stored in.
+    answer = spark.read.schema(placed.schema).parquet(path).withColumns({n: F.lit(None) for n in names if n not in typed})
     return AdhocResult(
         query=query,
         columns=result.columns,
-        rows=result.limit(limit),
-        row_count=result.agg(rows().alias("row_count")),
+        rows=answer.orderBy("_place").limit(limit).select(*names).toDF(*result.columns),
+        row_count=spark.createDataFrame([(counted.get["n"],)], "row_count long"),
         asked_at=dt.datetime.now(dt.timezone.utc),
     )

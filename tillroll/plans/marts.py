@@ -80,27 +80,46 @@ def user_retention(orders: DataFrame) -> DataFrame:
     )
 
 
+def order_departments(products: DataFrame, lines: DataFrame) -> DataFrame:
+    """Lines and reordered ones per order and department: what M7 and M8 ask of orders, a small part of the lines."""
+    shelf = products.select("product_id", "department_id")
+    on_shelf = lines.where(F.col("product_id").isNotNull()).join(shelf, "product_id")
+    return per_order(on_shelf, "department_id", "order_dow", "known_order")
+
+
+def product_days(lines: DataFrame) -> DataFrame:
+    """Lines and reordered ones per product and day of week: what M7 and M8 ask of products, a few rows each."""
+    known = lines.where(F.col("product_id").isNotNull())
+    return known.groupBy("product_id", "order_dow").agg(rows().alias("lines"), reordered_items().alias("again"))
+
+
 def department_performance(
-    orders: DataFrame, order_products: DataFrame, products: DataFrame, lines: DataFrame | None = None
+    orders: DataFrame,
+    order_products: DataFrame,
+    products: DataFrame,
+    lines: DataFrame | None = None,
+    by_order: DataFrame | None = None,
+    by_product: DataFrame | None = None,
 ) -> DataFrame:
     """Totals, rates and ranks per department.
 
     Line totals are summed per product before they meet the catalogue. The ranks sort
     one row per department.
     """
-    shelf = products.select("product_id", "department_id")
-    sales = order_products.groupBy("product_id").agg(reordered_items().alias("again"), rows().alias("lines"))
+    lines = order_lines(orders, order_products) if lines is None else lines
+    by_order = order_departments(products, lines) if by_order is None else by_order
+    by_product = product_days(lines) if by_product is None else by_product
+    sales = by_product.groupBy("product_id").agg(F.sum("again").alias("again"), F.sum("lines").alias("lines"))
     volume = (
-        shelf.join(sales, "product_id", "left")
+        products.select("product_id", "department_id").join(sales, "product_id", "left")
         .groupBy("department_id")
         .agg(
             F.countDistinct(F.when(F.col("lines").isNotNull(), F.col("product_id"))).alias("unique_products"),
             F.coalesce(F.sum("again"), F.lit(0)).alias("reordered_items"),
         )
     )
-    lines = order_lines(orders, order_products) if lines is None else lines
     reach = (
-        per_order(sold(lines).join(shelf, "product_id"), "department_id")
+        by_order.where("known_order")
         .groupBy("department_id")
         .agg(
             rows().alias("total_orders"),
@@ -130,7 +149,12 @@ def department_performance(
 
 
 def department_dow_cohorts(
-    orders: DataFrame, order_products: DataFrame, products: DataFrame, lines: DataFrame | None = None
+    orders: DataFrame,
+    order_products: DataFrame,
+    products: DataFrame,
+    lines: DataFrame | None = None,
+    by_order: DataFrame | None = None,
+    by_product: DataFrame | None = None,
 ) -> DataFrame:
     """Users, orders and reorder rate per department and day of week.
 
@@ -139,11 +163,12 @@ def department_dow_cohorts(
     """
     shelf = products.select("product_id", "department_id")
     lines = order_lines(orders, order_products) if lines is None else lines
-    lines = lines.where(F.col("product_id").isNotNull()).join(shelf, "product_id")
+    by_order = order_departments(products, lines) if by_order is None else by_order
+    by_product = product_days(lines) if by_product is None else by_product
     group = ["department_id", "order_dow"]
-    orders_of = per_order(lines.withColumn("known_order", F.when(F.col("known_order"), F.col("order_id"))), *group, "known_order")
-    choice = lines.select(*group, "product_id").distinct().groupBy(*group).agg(F.count("product_id").alias("products"))
-    sold = order_products.select("product_id").distinct()
+    orders_of = by_order.withColumn("known_order", F.when(F.col("known_order"), F.col("order_id")))
+    choice = by_product.join(shelf, "product_id").select(*group, "product_id").distinct().groupBy(*group).agg(F.count("product_id").alias("products"))
+    sold = by_product.select("product_id").distinct()
     unsold = shelf.join(sold, "product_id", "left_anti").select(
         "department_id", F.lit(None).cast("int").alias("order_dow")
     )

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tillroll.operators.history import dim_products_scd, scd2_merge
 from tillroll.plans import marts, star
-from tillroll.sinks.tables import exists, merge_into_fact, replace_mart, stamp, write_mart, write_marts
+from tillroll.sinks.buckets import write_bucketed
+from tillroll.sinks.tables import draft_fact, draft_merge, sorted_by, stamp, write_mart, write_marts
+from tillroll.sinks.tablesets import Draft
 
 MARTS = [
     "fct_orders",
@@ -26,7 +30,8 @@ MARTS = [
     "daily_product_metrics",
 ]
 READ_OTHER_MARTS = ["dim_products_scd", "daily_product_metrics"]
-KEPT = ["fct_orders", "dim_products_scd"]
+# Aggregates of the lines that several marts read.
+SHARED = ["order_departments", "product_days"]
 STAGING = ["orders", "order_products", "products", "aisles", "departments"]
 
 # How marts are stored: daily metrics in ranges of days, whose statistics let a look at one day skip
@@ -101,51 +106,93 @@ class Warehouse:
     def user_retention(self) -> DataFrame:
         return marts.user_retention(self.orders)
 
+    @cached_property
+    def order_departments(self) -> DataFrame:
+        return marts.order_departments(self.products, self.order_lines)
+
+    @cached_property
+    def product_days(self) -> DataFrame:
+        return marts.product_days(self.order_lines)
+
+    def _by_department(self, mart) -> DataFrame:
+        return mart(self.orders, self.order_products, self.products, self.order_lines, self.order_departments, self.product_days)
+
     @cached_property
     def department_performance(self) -> DataFrame:
-        return marts.department_performance(self.orders, self.order_products, self.products, self.order_lines)
+        return self._by_department(marts.department_performance)
 
     @cached_property
     def department_dow_cohorts(self) -> DataFrame:
-        return marts.department_dow_cohorts(self.orders, self.order_products, self.products, self.order_lines)
+        return self._by_department(marts.department_dow_cohorts)
 
     @cached_property
     def daily_product_metrics(self) -> DataFrame:
         return marts.daily_product_metrics(self.fct_orders, self.dim_products)
 
-    def _kept(self, name: str, today: DataFrame, path: str) -> DataFrame | None:
-        """A mart that lives on from day to day, brought up to date; None if it is not stored yet."""
-        spark = today.sparkSession
-        if not exists(spark, path):
-            return None
-        today = stamp(today, AUDIT_COLUMNS[name])
-        if name == "fct_orders":
-            return merge_into_fact(spark, path, today).drop("order_block")
-        history = spark.read.parquet(path).drop(*AUDIT_COLUMNS[name])
-        merged = scd2_merge(history, today.drop(*AUDIT_COLUMNS[name]), self.as_of)
-        return replace_mart(merged, path, AUDIT_COLUMNS[name])
-
-    def store(self, folder: str, names: list[str] | None = None, daily: bool = False) -> dict[str, DataFrame]:
-        """Write staging and marts; marts are built from the stored tables they read.
-
-        With ``daily``, a stored fact takes in the newer orders only, and the stored product
-        history is brought up to today's products instead of being replaced.
-        """
+    def _over(self, staging: dict[str, DataFrame]) -> Warehouse:
+        """The same marts over stored staging tables."""
+        return Warehouse(*[staging[f"stg_{t}"] for t in STAGING], self.as_of, self.real_names)
+
+    @staticmethod
+    def _waves(names: list[str]) -> list[list[str]]:
+        return [[n for n in names if n not in READ_OTHER_MARTS], [n for n in names if n in READ_OTHER_MARTS]]
+
+    def store(self, folder: str, names: list[str] | None = None) -> dict[str, DataFrame]:
+        """Write staging and marts anew; marts are built from the stored tables they read."""
         names = MARTS if names is None else names
         stored = write_marts({f"stg_{t}": getattr(self, t) for t in STAGING}, folder)
-        built = Warehouse(*[stored[f"stg_{t}"] for t in STAGING], self.as_of, self.real_names)
-        # Orders and lines meet once; the marts read the stored result, sorted by order.
-        lines = write_mart(built.order_lines, f"{folder}/order_lines", sort_by=["order_id"])
-        built.__dict__["order_lines"] = lines
-        for wave in (
-            [n for n in names if n not in READ_OTHER_MARTS],
-            [n for n in names if n in READ_OTHER_MARTS],
-        ):
-            kept = {n: self._kept(n, getattr(built, n), f"{folder}/{n}") for n in wave if daily and n in KEPT}
-            kept = {n: df for n, df in kept.items() if df is not None}
-            fresh = {n: getattr(built, n) for n in wave if n not in kept}
-            written = kept | write_marts(fresh, folder, AUDIT_COLUMNS, SORTED_BY, ["fct_orders"])
+        built = self._over(stored)
+        # Orders and lines meet once; the marts read the stored result, which is bucketed by order.
+        built.__dict__["order_lines"] = write_bucketed(built.order_lines, f"{folder}/order_lines", "order_id")
+        if {"department_performance", "department_dow_cohorts"} & set(names):
+            built.__dict__.update(write_marts({n: getattr(built, n) for n in SHARED}, folder))
+        for wave in self._waves(names):
+            written = write_marts({n: getattr(built, n) for n in wave}, folder, AUDIT_COLUMNS, SORTED_BY, ["fct_orders"])
             # Later marts read the stored table instead of the plan.
             built.__dict__.update(written)
             stored.update(written)
         return stored
+
+    def draft(self, draft: Draft, names: list[str] | None = None, at_once: int = 4) -> dict[str, DataFrame]:
+        """Put staging and marts into a draft of a table set, which readers do not see yet.
+
+        The fact takes in newer orders only, and the product history is brought up to today's
+        products; both go on from the version the draft was opened on. What the draft has already
+        is not made again.
+        """
+        names = MARTS if names is None else names
+        stored = {f"stg_{t}": draft.write(f"stg_{t}", lambda t=t: getattr(self, t)) for t in STAGING}
+        built = self._over(stored)
+        lines = draft.write("order_lines", lambda: sorted_by(built.order_lines, ["order_id"]))
+        built.__dict__["order_lines"] = lines
+        if {"department_performance", "department_dow_cohorts"} & set(names):
+            built.__dict__.update({n: draft.write(n, lambda n=n: getattr(built, n)) for n in SHARED})
+
+        def put(name: str) -> DataFrame:
+            columns = AUDIT_COLUMNS[name]
+            if name == "fct_orders":
+                fresh = not draft.base["tables"].get(name)
+                today = getattr(built, name)
+                made = draft_fact(draft, name, today, audit=columns) if fresh else draft_merge(draft, name, stamp(today, columns))
+                return made.drop("order_block")
+
+            def rows() -> DataFrame:
+                today = getattr(built, name)
+                if name == "dim_time" and "fct_orders" in draft.base["tables"]:
+                    # The fact goes back further than today's orders do.
+                    kept = draft.tables.open("fct_orders", draft.base["tables"]["fct_orders"])
+                    edges = kept.agg(F.explode(F.array(F.min("order_date"), F.max("order_date"))).alias("order_date"))
+                    today = star.dim_time(built.orders.select("order_date").unionByName(edges.where("order_date IS NOT NULL")))
+                if name == "dim_products_scd" and name in draft.base["tables"]:
+                    history = draft.tables.open(name, draft.base["tables"][name])
+                    today = scd2_merge(history.drop(*columns), today, self.as_of)
+                return sorted_by(stamp(today, columns), SORTED_BY.get(name, []))
+
+            return draft.write(name, rows)
+
+        for wave in self._waves(names):
+            with ThreadPoolExecutor(at_once) as pool:
+                made = dict(zip(wave, pool.map(put, wave)))
+            built.__dict__.update(made)
+            stored.update(made)
+        return stored

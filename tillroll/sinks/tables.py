@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.operators.upsert import FACT_KEY
 from tillroll.session import scratch_dir
+from tillroll.sinks import files
+from tillroll.sinks.tablesets import Draft, TableSet
 
 # The marts copied to another store.
 PUBLISHED = [
@@ -22,6 +24,14 @@ PUBLISHED = [
     "department_performance",
 ]
 
+# Fixed value: the folder name of rows without a value in the dividing column.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+class CopyDiffers(RuntimeError):
+    """A copy does not hold what its source holds."""
+
+
 # Orders per stored fact partition.
 ORDERS_PER_BLOCK = 50_000_000
 
@@ -40,10 +50,8 @@ def write_mart(
 ) -> DataFrame:
     """Replace the mart stored at ``path`` and return it as read back."""
     stamped = stamp(df, audit or [])
-    order = [*(partition_by or []), *(sort_by or [])]
-    if order:
-        # Without this every task would write a file of every partition.
-        stamped = stamped.repartitionByRange(*order).sortWithinPartitions(*order)
+    # Without this every task would write a file of every partition.
+    stamped = sorted_by(stamped, [*(partition_by or []), *(sort_by or [])])
     writer = stamped.write.mode("overwrite").format(file_format)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -51,18 +59,17 @@ def write_mart(
     return df.sparkSession.read.schema(stamped.schema).format(file_format).load(path)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+def new_key() -> str:
+    """A key no other draft has."""
+    return uuid.uuid4().hex[:12]
 
 
-def replace_mart(df: DataFrame, path: str, audit: list[str] | None = None) -> DataFrame:
-    """Replace a mart by rows derived from itself: written aside first, as Spark must not overwrite what it reads."""
-    aside = scratch_dir(df.sparkSession, "mart")
-    rows = write_mart(df, aside)
-    result = write_mart(rows, path, audit=audit)
-    _drop_scratch(df.sparkSession, aside)
-    return result
+def sorted_by(df: DataFrame, order: list[str]) -> DataFrame:
+    """Rows dealt out by the first column and sorted, so that a look at a few of its values reads little of each file.
+
+    Tasks are made of a like size afterwards; there are no bounds to sample, so the rows are made once.
+    """
+    return df.hint("rebalance", order[0]).sortWithinPartitions(*order) if order else df
 
 
 def write_marts(
@@ -117,36 +124,125 @@ def append_ops_table(df: DataFrame, target: str, jdbc: dict[str, str] | None = N
         df.write.mode("append").saveAsTable(target)
 
 
-def publish_marts(marts: dict[str, DataFrame], target: str, names: list[str] | None = None) -> DataFrame:
-    """Copy marts to another store, replacing what is there; rows per copied mart."""
-    copies = write_marts({name: marts[name] for name in names or PUBLISHED}, target)
-    counts = [
-        copy.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
-        for name, copy in copies.items()
+def publish_marts(marts: dict[str, DataFrame], target: str, names: list[str] | None = None, at_once: int = 4) -> DataFrame:
+    """Copy marts to another store, replacing what is there; rows per copied mart, counted while they are written."""
+    names = names or PUBLISHED
+
+    def copy(name: str) -> tuple[str, int]:
+        counted = Observation()
+        marts[name].observe(counted, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{target}/{name}")
+        return name, counted.get["n"]
+
+    with ThreadPoolExecutor(at_once) as pool:
+        counts = list(pool.map(copy, names))
+    return marts[names[0]].sparkSession.createDataFrame(counts, "table_name string, row_count long")
+
+
+# --- copies that are proven equal -------------------------------------------
+
+DIGEST = ["row_count", "hash_sum", "hash_xor"]
+
+
+def content_digest(df: DataFrame, by: str | None = None) -> DataFrame:
+    """(part, row_count, hash_sum, hash_xor) of the rows of each value of a column, or of all rows.
+
+    The order of rows and how they are cut into files do not show; any other change does, but for a chance in 2**100 or so.
+    Sums are of halves of 64-bit hashes, so that they fit, and the xor is of hashes with another seed.
+    """
+    part = F.col(by).cast("string") if by else F.lit("")
+    columns = sorted(df.columns)
+    first, second = F.xxhash64(*columns), F.xxhash64(F.lit(1), *columns)
+    half = (1 << 32) - 1
+    hashed = df.select(part.alias("part"), first.alias("a"), second.alias("b"))
+    return hashed.groupBy("part").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.struct(F.sum(F.col("a").bitwiseAND(half)).alias("low"), F.sum(F.shiftrightunsigned("a", 32)).alias("high")).alias("hash_sum"),
+        F.bit_xor("b").alias("hash_xor"),
+    )
+
+
+def compare_copies(source: DataFrame, copy: DataFrame, by: str | None = None) -> DataFrame:
+    """(part, source_rows, copy_rows, equal) of every part that either side has."""
+    sides = [
+        content_digest(df, by).select("part", F.lit(k).alias("side"), F.struct(*DIGEST).alias("digest"))
+        for k, df in enumerate((source, copy.select(*source.columns)))
+    ]
+    # A group, not a join: a part may be null.
+    found = sides[0].unionByName(sides[1]).groupBy("part").agg(*[F.max(F.when(F.col("side") == k, F.col("digest"))).alias(n) for k, n in enumerate(("ours", "theirs"))])
+    zero = F.lit(0).cast("long")
+    return found.select(
+        "part", F.coalesce("ours.row_count", zero).alias("source_rows"), F.coalesce("theirs.row_count", zero).alias("copy_rows"),
+        F.col("ours").eqNullSafe(F.col("theirs")).alias("equal"),
+    )
+
+
+def publish_changes(name: str, df: DataFrame, target: TableSet, by: str) -> DataFrame:
+    """Bring a copy up to date: only parts whose content differs are written, and what is then there is compared with the source.
+
+    (table_name, part, source_rows, copy_rows, written, equal), a row per value of the dividing column.
+    """
+    spark = df.sparkSession
+    draft = target.draft(new_key())
+    schema = "table_name string, part string, source_rows long, copy_rows long, written boolean, equal boolean"
+    if not draft.has(name):
+        draft.write(name, lambda: sorted_by(df, [by]), by=by)
+        written = None
+    else:
+        # No more rows than the copy has folders.
+        differ = [r.part for r in compare_copies(df, draft.read(name), by).where("NOT equal").select("part").collect()]
+        folders = [NO_VALUE if p is None else p for p in differ]
+        value = F.coalesce(F.col(by).cast("string"), F.lit(NO_VALUE))
+        if folders:
+            draft.replace(name, lambda read: sorted_by(df.where(value.isin(folders)), [by]), by, lambda: folders)
+        written = differ
+    after = compare_copies(df, draft.read(name), by)
+    rows = [
+        (name, r.part, r.source_rows, r.copy_rows, written is None or r.part in written, r.equal) for r in after.collect()
     ]
-    return reduce(DataFrame.unionByName, counts)
+    if not all(r[-1] for r in rows):
+        raise CopyDiffers(f"{name}: {[r[1] for r in rows if not r[-1]]}")
+    draft.publish()
+    return spark.createDataFrame(rows, schema)
 
 
 # --- the stored fact --------------------------------------------------------
 
+FACT = "fact"
+# Orders per shuffle slice of a stored fact: a slice is sorted, so files hold few ranges of orders.
+SLICES_PER_BLOCK = 64
+
 
 def _with_block(fct: DataFrame, orders_per_block: int) -> DataFrame:
     return fct.withColumn("order_block", F.floor(F.col("order_id") / F.lit(orders_per_block)))
 
 
-def _sorted_blocks(blocked: DataFrame) -> DataFrame:
-    """Rows in the order of their orders, so a task writes few blocks and files hold ranges of orders."""
-    order = ["order_block", "order_id"]
-    return blocked.repartitionByRange(*order).sortWithinPartitions(*order)
+def _sorted_blocks(blocked: DataFrame, orders_per_block: int) -> DataFrame:
+    """Rows dealt out by slices of consecutive orders and sorted: no range bounds, so the rows are made once.
+
+    Slices of any size become tasks of a like size.
+    """
+    part = F.floor(F.col("order_id") / F.lit(max(1, orders_per_block // SLICES_PER_BLOCK)))
+    return blocked.withColumn("_slice", part).hint("rebalance", "_slice").drop("_slice").sortWithinPartitions("order_block", "order_id")
+
+
+def read_fact(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The stored fact as last published."""
+    return TableSet(spark, path).read(FACT, version)
 
 
 def write_fact(
     fct: DataFrame, path: str, orders_per_block: int = ORDERS_PER_BLOCK, audit: list[str] | None = None
 ) -> DataFrame:
-    """Store the fact in blocks of consecutive orders."""
-    stamped = stamp(_sorted_blocks(_with_block(fct, orders_per_block)), audit or [])
-    stamped.write.mode("overwrite").partitionBy("order_block").parquet(path)
-    return fct.sparkSession.read.schema(stamped.schema).parquet(path)
+    """Store the fact in blocks of consecutive orders, in place of what is there."""
+    draft = TableSet(fct.sparkSession, path).draft(new_key())
+    draft_fact(draft, FACT, fct, orders_per_block, audit)
+    draft.publish()
+    return read_fact(fct.sparkSession, path)
+
+
+def draft_fact(draft: Draft, name: str, fct: DataFrame, orders_per_block: int = ORDERS_PER_BLOCK, audit: list[str] | None = None) -> DataFrame:
+    """The whole fact as a table of a draft."""
+    return draft.write(name, lambda: stamp(_sorted_blocks(_with_block(fct, orders_per_block), orders_per_block), audit or []), by="order_block")
 
 
 def newest_order(stored: DataFrame):
@@ -158,49 +254,49 @@ def newest_order(stored: DataFrame):
 
 
 def _drop_scratch(spark: SparkSession, path: str) -> None:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    files.delete(spark, path)
 
 
 def merge_into_fact(
     spark: SparkSession, path: str, new: DataFrame, after_order=None, orders_per_block: int = ORDERS_PER_BLOCK
 ) -> DataFrame:
-    """Upsert a batch into the stored fact, touching only the blocks it falls into.
+    """Upsert a batch into the stored fact, touching only the blocks it falls into; readers see all of it or nothing."""
+    draft = TableSet(spark, path).draft(new_key())
+    draft_merge(draft, FACT, new, after_order, orders_per_block)
+    draft.publish()
+    return read_fact(spark, path)
+
+
+def draft_merge(draft: Draft, name: str, new: DataFrame, after_order=None, orders_per_block: int = ORDERS_PER_BLOCK) -> DataFrame:
+    """Upsert a batch into a fact of a draft.
 
     Without ``after_order`` every arriving order is newer than the stored ones, so the
-    batch is appended. With it, the touched blocks alone are read by partition pruning, merged,
-    written to the shared scratch folder (Spark must not overwrite files it is reading)
-    and put in place of their partitions. The scratch copies are removed after the swap.
+    batch is written once, beside what the blocks hold. With it, the batch is written aside, as its
+    blocks must be known first; these alone are read, merged and written anew.
     """
-    stored = spark.read.parquet(path)
-    bound = newest_order(stored) if after_order is None else after_order
-    arriving = new if bound is None else new.where(F.col("order_id") > bound)
-    incoming_path = scratch_dir(spark, "fact-incoming")
-    _sorted_blocks(_with_block(arriving, orders_per_block)).write.parquet(incoming_path)
-    incoming = spark.read.parquet(incoming_path).select(*stored.columns)
+    spark, stored = draft.spark, draft.read(name)
     if after_order is None:
-        _sorted_blocks(incoming).write.mode("append").partitionBy("order_block").parquet(path)
-        _drop_scratch(spark, incoming_path)
-        return spark.read.parquet(path)
-
-    # The touched blocks, as constants the partition filter can use: no more than the fact has partitions
-    # or the batch adds.
-    touched = [r.order_block for r in incoming.select("order_block").distinct().collect()]
-    if touched:
-        merged_path = scratch_dir(spark, "fact-merged")
-        (
-            stored.where(F.col("order_block").isin(touched))
-            .join(incoming.select(*FACT_KEY), FACT_KEY, "left_anti")
-            .unionByName(incoming)
-            .write.parquet(merged_path)
-        )
-        (
-            _sorted_blocks(spark.read.parquet(merged_path))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("order_block")
-            .parquet(path)
-        )
-        _drop_scratch(spark, merged_path)
-    _drop_scratch(spark, incoming_path)
-    return spark.read.parquet(path)
+        bound = None if name in draft.resumed else newest_order(stored)
+        arriving = new if bound is None else new.where(F.col("order_id") > bound)
+        blocked = _with_block(arriving, orders_per_block).select(*stored.columns)
+        return draft.add(name, lambda: _sorted_blocks(blocked, orders_per_block), by="order_block")
+
+    aside = scratch_dir(spark, "fact-incoming")
+    arriving = _with_block(new.where(F.col("order_id") > after_order), orders_per_block).select(*stored.columns)
+
+    def touched() -> list[str]:
+        """The batch's blocks: no more than the fact has or the batch adds."""
+        arriving.write.parquet(aside)
+        return [str(r.order_block) for r in incoming().select("order_block").distinct().collect()]
+
+    def incoming() -> DataFrame:
+        return spark.read.schema(arriving.schema).parquet(aside)
+
+    def merged(read) -> DataFrame:
+        blocks = [str(r.order_block) for r in incoming().select("order_block").distinct().collect()]
+        rest = read(blocks).join(incoming().select(*FACT_KEY), FACT_KEY, "left_anti")
+        return _sorted_blocks(rest.unionByName(incoming()), orders_per_block)
+
+    result = draft.replace(name, merged, "order_block", touched)
+    _drop_scratch(spark, aside)
+    return result

@@ -128,6 +128,51 @@ def with_current_names(df: DataFrame) -> DataFrame:
     return df
 
 
+def problems(text: DataFrame, table: str) -> Column:
+    """(column, value, wanted) of every cell whose text does not fit its declared type."""
+    found = [
+        F.when(
+            F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(),
+            F.struct(F.lit(c).alias("column"), F.col(c).alias("value"), F.lit(t).alias("wanted")),
+        )
+        for c, t in COLUMN_TYPES[table].items()
+        if t != "string"
+    ]
+    return F.array_compact(F.array(*found))
+
+
+def sorted_out(text: DataFrame, table: str, keep: tuple[str, ...] | list[str] = ()) -> DataFrame:
+    """Typed columns of every row and, of those with text that does not fit, problems and the raw text as JSON.
+
+    rejected tells the two apart; written by it, good and bad rows part in one pass over the input.
+    Columns to keep are no part of the text.
+    """
+    raw = F.to_json(F.struct(*[F.col(f"`{c}`") for c in text.columns if c not in keep]), {"ignoreNullFields": "false"})
+    marked = text.withColumns({"problems": problems(text, table), "raw_text": raw})
+    bad = F.size("problems") > 0
+    return marked.select(
+        *[F.col(c).try_cast(t).alias(c) for c, t in COLUMN_TYPES[table].items()],
+        *keep,
+        *[F.when(bad, F.col(c)).alias(c) for c in ("problems", "raw_text")],
+        bad.alias("rejected"),
+    )
+
+
+def accepted(sorted_rows: DataFrame, table: str) -> DataFrame:
+    """The staging table of the rows that fit."""
+    rows = sorted_rows.where("NOT rejected").select(*COLUMN_TYPES[table]).withColumn("loaded_at", F.current_timestamp())
+    if table == "orders":
+        rows = rows.withColumn("days_since_prior_order", F.col("days_since_prior_order").cast("int"))
+    return rows
+
+
+def rejected(sorted_rows: DataFrame, table: str) -> DataFrame:
+    """file, column, value, wanted type and raw text, a row per cell that does not fit."""
+    files = {t.removeprefix("stg_"): f for f, t in STAGING_TABLES.items()}
+    cells = sorted_rows.where("rejected").select(F.lit(files[table]).alias("file"), F.explode("problems").alias("p"), "raw_text")
+    return cells.select("file", F.col("p.column").alias("column_name"), "p.value", "p.wanted", "raw_text")
+
+
 def load_staging(
     spark: SparkSession, raw_dir: str, inputs: dict[str, DataFrame] | None = None
 ) -> dict[str, DataFrame]:
