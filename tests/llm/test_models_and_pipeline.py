@@ -1,5 +1,6 @@
 """Trained operators, the registered queries and the pipeline."""
 
+import tracemalloc
 import zlib
 from pathlib import Path
 
@@ -124,6 +125,77 @@ def test_labeller_on_known_and_disguised_pages():
         assert np.mean(np.concatenate([f == np.array(y) for f, (_, y) in zip(found, sample)])) >= least
 
 
+ONE = "The old mill by the river was rebuilt after the flood, and people came from far away to see it turn again."
+TWO = "Its wheel, made of oak, weighs more than two tons and was lifted with ropes by forty men from the village."
+THREE = "On market days the miller opens the doors and explains how grain becomes flour, which children like best."
+# Pages written by hand: markup, and the blocks of main text in it.
+WRITTEN = {
+    "kinds of blocks": (
+        f"<html><head><title>Mill</title></head><body><nav><ul><li><a href=/>Home</a><li><a href=/x>News</a></ul></nav><article><h1>The old mill</h1>"
+        f"<p>{ONE}</p><p>{TWO}</p><p>{THREE}</p><h2>Prices</h2><ul><li>Bread, two coins<li>Flour, one coin</ul><table><tr><td>Monday</td><td>closed</td></tr>"
+        f"</table><pre>turn(wheel, 3)</pre><blockquote>Water never sleeps, said the miller.</blockquote><figure><img src=a><figcaption>The wheel at dusk"
+        f"</figcaption></figure><p>{ONE}</p></article><footer>Copyright 2020 The Mill</footer></body></html>",
+        ["The old mill", ONE, TWO, THREE, "Prices", "Bread, two coins", "Flour, one coin", "Monday", "closed", "turn(wheel, 3)",
+         "Water never sleeps, said the miller.", "The wheel at dusk", ONE],
+    ),
+    "a container named like a widget": (
+        f"<html><body><header><a href=/>Logo</a></header><article><div class='elementor-widget'><h1>The old mill</h1><p>{ONE}</p><p>{TWO}</p></div></article>"
+        "<footer><p>All rights reserved.</p></footer></body></html>",
+        ["The old mill", ONE, TWO],
+    ),
+    "a title in a container named like a header": (
+        f"<html><body><div class=menu><a href=/>Home</a></div><article><div class='post-header'><h1>The old mill</h1></div><p>{ONE}</p><p>{TWO}</p></article>"
+        "<div class=footer>Imprint</div></body></html>",
+        ["The old mill", ONE, TWO],
+    ),
+    "no article": (
+        f"<html><body><nav><a href=/>Home</a></nav><div class=content><h1>The old mill</h1><p>{ONE}</p><p>{TWO}</p><p>{THREE}</p></div><footer>Imprint</footer></body></html>",
+        ["The old mill", ONE, TWO, THREE],
+    ),
+    "an article's own header": (
+        f"<html><body><nav><a href=/>Home</a></nav><article><header><h1>The old mill</h1></header><p>{ONE}</p><p>{TWO}</p></article><footer>Imprint</footer></body></html>",
+        ["The old mill", ONE, TWO],
+    ),
+    "everything that is no main text": (
+        "<html><head><style>p{}</style><script>x()</script></head><body><header><h2>Mill Times</h2><nav><ul><li><a href=/a>Home</a><li><a href=/b>Sport</a></ul></nav>"
+        "</header><div class='cookie-notice'><p>We use cookies to make this page better for you, please accept them.</p><button>Accept</button></div><main><article>"
+        f"<h1>The old mill</h1><p>{ONE}</p><div class=ad>Buy cheap flour now!</div><p>{TWO}</p><ul><li>Oak wheel<li>Stone walls</ul><p>{THREE}</p></article></main>"
+        "<aside><h3>Popular</h3><ul><li><a href=/1>Ten bakeries you must see</a><li><a href=/2>Bread of the year</a></ul></aside><section class=comments><h3>Comments"
+        "</h3><div class=comment><p>I was there last week and it was wonderful, my children loved it.</p></div><div class=comment><p>Too many people.</p></div></section>"
+        "<form><label>Your name</label><button>Send</button></form><footer><p>Copyright</p><ul><li><a href=/i>Imprint</a></ul></footer></body></html>",
+        ["The old mill", ONE, TWO, "Oak wheel", "Stone walls", THREE],
+    ),
+}
+
+
+@pytest.fixture(scope="module")
+def labeller(spark):
+    return main_text.fit(queries.table(spark, SMALL, "pages"))
+
+
+@needs_tables
+def test_pages_written_by_hand(spark, labeller):
+    table = spark.createDataFrame([(i, name, page) for i, (name, (page, _)) in enumerate(WRITTEN.items())], "page_id long, url string, html string")
+    found = {r["url"]: r["text"] for r in main_text.main_text(table, labeller).collect()}
+    assert found == {name: "\n".join(text) for name, (_, text) in WRITTEN.items()}
+
+
+@needs_tables
+def test_long_pages_take_little_memory(labeller):
+    """A page of 60,000 blocks beside short ones."""
+    pages = [main_text.blocks("<article>" + "<p>text of a cell</p>" * 60_000 + "</article>")] + [main_text.blocks(p) for p, _ in WRITTEN.values()] * 10
+    tracemalloc.start()
+    found = main_text.label(labeller, pages)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found[0].mean() > 0.99 and [len(f) for f in found] == [len(p) for p in pages] and peak < 500 << 20
+
+
+def test_doubtful_parts_of_an_article_are_not_learnt_from():
+    page = main_text.blocks("<nav>a</nav><article><header><h1>b</h1></header><p>c</p><div class=share>d</div><form>e</form></article><p>f</p><aside><article>g</article></aside>")
+    assert [b.text for b in page] == list("abcdefg") and main_text.taught(page) == [0, 0.5, 1, 0.5, 0, 0, 0]
+
+
 def test_lstm_gradients():
     """Against differences of the loss."""
     rng = np.random.default_rng(1)
