@@ -481,3 +481,17 @@ def test_curriculum_targets_and_positions(spark):
     order = curriculum.training_order(curriculum.curriculum(spark.createDataFrame(rows, DOCS))).collect()
     assert [r["position"] for r in order] == sorted(r["position"] for r in order)
     assert curriculum.curriculum(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_rows_without_an_id_are_dealt_out_by_their_text(spark, monkeypatch):
+    """Two thirds of a source without ids: they lie in many slots, and the source's target is met."""
+    stored = []
+    real = curriculum.written
+    monkeypatch.setattr(curriculum, "written", lambda df, label, **k: stored.append(real(df, label, **k)) or stored[-1])
+    rng = random.Random(3)
+    rows = [(i if i % 3 == 0 else None, prose(rng, 5 + i % 7), "en", "a", 1) for i in range(600)] + [(None, None, "en", "b", 0), (None, None, "en", "b", 0)]
+    mix = curriculum.curriculum(spark.createDataFrame(rows, DOCS)).collect()
+    slots = Counter(r["slot"] for r in stored[0].where("doc_id is null and source = 'a'").collect())
+    assert len(slots) > 300 and max(slots.values()) < 8
+    own = [r for r in mix if r["source"] == "a"]
+    assert len(mix) == 602 and abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 20

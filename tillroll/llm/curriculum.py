@@ -3,7 +3,7 @@
 Each source has a weight schedule over training time 0..1, linear in time: its rate at time t is
 ``target * (1 + tilt * (2 t - 1))``. Integrated, the words it has been asked for by time t are
 ``target * (t + tilt * (t * t - t))``. A source gives its documents in the order of a hash of
-their id, pass after pass; the middle of each document's stretch of words, looked up in the
+their id (of their text, without one), pass after pass; the middle of each document's stretch of words, looked up in the
 inverse of that integral, is its training position. Sorting by position mixes the sources.
 
 Targets: sources in code point order, null last, weigh 5, 2, 1, repeating, and share a multiple
@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillroll.llm.scratch import written
+
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
 TILTS = (0.5, 0.0, -0.5)
@@ -28,10 +30,10 @@ MOST = 2.0
 SLOTS = 4096
 
 
-def document_sizes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source") -> DataFrame:
-    """doc_id, source and size, the number of runs without white space (null: 0)."""
+def document_sizes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source", extra: list[str] | None = None) -> DataFrame:
+    """doc_id, source and size, the number of runs without white space (null: 0), and further columns."""
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), size.alias("size"))
+    return docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), size.alias("size"), *(extra or []))
 
 
 def source_targets(totals: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
@@ -66,14 +68,14 @@ def time_of(share: Column, tilt: Column) -> Column:
 def curriculum(docs: DataFrame, weights=WEIGHTS, tilts=TILTS, share: float = SHARE, most: float = MOST) -> DataFrame:
     """One row per document: sizes, its source's target, copies, words taken and training positions.
 
-    Running sums are taken per slot of the id's hash, so a source of any size is cut into SLOTS
-    parts: one sum per slot, the slots' offsets from at most SLOTS rows a source, then the
-    documents within a slot.
+    Running sums are taken per slot of the id's hash (the text's, where there is no id), so a source of any
+    size is cut into SLOTS parts: one sum per slot, the slots' offsets from at most SLOTS rows a source, then the
+    documents within a slot. Texts are read once: their sizes and keys are stored.
     """
-    key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("/"), F.md5(F.coalesce("text", F.lit(""))))))
     slot = F.conv(F.substring(key, 1, 3), 16, 10).cast("int")
     assert SLOTS == 16**3
-    sized = document_sizes(docs).withColumn("key", key).withColumn("slot", slot)
+    sized = written(document_sizes(docs.withColumn("__key", key), extra=["__key"]).withColumnRenamed("__key", "key").withColumn("slot", slot), "sizes")
     slots = sized.groupBy("source", "slot").agg(F.sum("size").alias("slot_size"))
     before = Window.partitionBy("source").orderBy("slot")
     offsets = slots.withColumn("before", F.sum("slot_size").over(before) - F.col("slot_size"))

@@ -153,7 +153,7 @@ HAVING round(CAST(count(DISTINCT s.shingle) AS DOUBLE) / max(n), 6) >= 0.8
 SQL["op8_license_scan"] = _license_sql()
 SQL["op10_curriculum"] = r"""
 WITH sized AS (
-    SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS key,
+    SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '/' || md5(coalesce(text, '')))) AS key,
            CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
     FROM documents
 ),
