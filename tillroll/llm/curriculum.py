@@ -73,7 +73,7 @@ def curriculum(docs: DataFrame, weights=WEIGHTS, tilts=TILTS, share: float = SHA
     documents within a slot. Texts are read once: their sizes and keys are stored.
     """
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("/"), F.md5(F.coalesce("text", F.lit(""))))))
-    slot = F.conv(F.substring(key, 1, 3), 16, 10).cast("int")
+    slot = F.conv(F.substring("key", 1, 3), 16, 10).cast("int")
     assert SLOTS == 16**3
     sized = written(document_sizes(docs.withColumn("__key", key), extra=["__key"]).withColumnRenamed("__key", "key").withColumn("slot", slot), "sizes")
     slots = sized.groupBy("source", "slot").agg(F.sum("size").alias("slot_size"))
