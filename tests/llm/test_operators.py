@@ -10,6 +10,7 @@ from itertools import combinations
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tillroll.llm import chat, curriculum, decontamination, licenses, near_duplicates, nearest, suffix_dedup, token_counts
@@ -225,6 +226,21 @@ def test_suffix_removal_like_all_strings(spark, monkeypatch, limit):
     assert sorted((tuple(r)[:5] for r in found), key=str) == brute_removal(rows)
 
 
+def test_rows_without_an_id_get_the_keys_of_their_own_text(spark, monkeypatch):
+    """A third of all rows has no id; what shares a passage with an earlier document is found, and lists of keys stay short."""
+    rng = random.Random(9)
+    passage = prose(rng, 30)
+    rows = [(i if i % 3 else None, prose(rng, 20) + (passage if i % 4 == 0 else "") + prose(rng, 20)) for i in range(300)]
+    rows += [rows[0], rows[3]]
+    sent = []
+    real = suffix_dedup.segments
+    monkeypatch.setattr(suffix_dedup, "segments", lambda texts, shared: real(texts, sent.append(suffix_dedup.written(shared, "keys")) or sent[-1]))
+    found = suffix_dedup.deduplicated(documents(spark, rows)).collect()
+    assert sorted((tuple(r)[:5] for r in found), key=str) == brute_removal(rows)
+    lists = [r["count"] for r in sent[0].groupBy("id").count().collect()]
+    assert len(lists) > 60 and max(lists) < 100
+
+
 def test_suffix_removal_keeps_characters_whole(spark):
     rows = [(1, "é" * 60 + "x" * 60), (2, "A" + "é" * 60 + "B" + "x" * 60)]
     found = {r["doc_id"]: r for r in suffix_dedup.without_repeats(documents(spark, rows)).collect()}
@@ -335,6 +351,29 @@ def test_token_counts_like_the_library(spark):
 # --- licenses -----------------------------------------------------------------
 
 
+def test_bands_keep_the_stated_chance():
+    """Any run of a template's length lies in a window, and a window with enough of it is missed less often than MISS."""
+    for size in range(1, 200):
+        window, step, bands = licenses.bands_for(size)
+        assert all((start // step) * step <= start and start + size <= (start // step) * step + window for start in range(3 * size))
+        needed = next(n for n in range(size + 1) if n >= 0.8 * size - 1e-9)
+        least = needed / (window + size - needed)
+        assert (1 - least) ** bands < licenses.MISS and bands <= 20
+
+
+def test_templates_and_windows_meet_in_bands(spark):
+    """Values of a text's windows hold those of a template in it; a band more often than the similarity says is no accident."""
+    size = 20
+    settings = {size: licenses.bands_for(size)}
+    hashes = [random.Random(1).getrandbits(60) for _ in range(300)]
+    inside = hashes[100:120]
+    row = spark.createDataFrame([(hashes, inside)], "text array<long>, wanted array<long>")
+    bands = settings[size][2]
+    template = F.array(*[licenses.band_value(size, b, licenses.permuted(F.col("wanted"), b)) for b in range(bands)])
+    found = row.select(licenses.window_values(F.col("text"), settings).alias("v"), template.alias("t")).first()
+    assert len(found["t"]) == bands > 5 and len(set(found["t"]) & set(found["v"])) >= bands / 2
+
+
 def test_licenses_like_all_templates(spark):
     rng = random.Random(1)
     templates = list(licenses.TEMPLATES.items())

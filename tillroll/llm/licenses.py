@@ -5,14 +5,18 @@ Built from DataFrame functions alone.
 1. A text is a row of shingles of five words. Cover words, chosen so that every shingle of every
    template has one of them, tell which texts can share a shingle with a template at all; no other
    text can match.
-2. Windows of WINDOW shingles, one beginning every STEP, are MinHashed by one permutation: the hash
-   of a shingle picks one of BINS bins and each bin keeps its least hash. A bin is a band of one
-   row. A shingle that a window shares with a template is hidden only if another one in the window
-   has the same bin and a smaller hash, so a template of m shingles that is wholly in the window is
-   missed with a chance of at most ((WINDOW - 1) / (2 * BINS)) ** m: under 0.0002 for m = 1.
-3. Templates that share a bin's value with a window of a text are verified: a share of at least
+2. For templates of t shingles, windows of t + step - 1 shingles begin every step (a quarter of t), so any t
+   shingles in a row lie in one of them. Window and template are MinHashed alike: under each of some
+   permutations the least hash. A band is one row, a permutation; where a share of `containment` of the template's
+   shingles is in a window, their similarity is at least needed / (window + t - needed), and
+   there are as many bands as make the chance that none agrees less than MISS. From this follow a length's settings
+   (`bands_for`): between 1 band, where nothing may be missing, and some 15.
+3. Templates that share a band's value with a window of a text are verified: a share of at least
    `containment` of the template's shingles must occur in the text, exactly.
 
+A template whose shingles are spread over more than a window, by text put in between, is found as far as a window
+agrees in a band; the more of it a window holds, the likelier.
+
 Defined cases: null texts and texts under five words have no license; a template needs five words;
 rows repeated or with a null doc_id are scanned each and their equal findings are given once; an
 empty table or no templates give an empty result; columns besides id and text are not read.
@@ -20,19 +24,18 @@ empty table or no templates give an empty result; columns besides id and text ar
 
 from __future__ import annotations
 
+import math
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.scratch import written
 
 SHINGLE = 5
-WINDOW = 16
-STEP = 8
-BINS = 1 << 16
 CONTAINMENT = 0.8
-MOST_COVER_WORDS = 200
+# The chance that a template in a window agrees with it in no band.
+MISS = 1e-4
 # Words that most English texts have; they tell little about a text.
 COMMON = frozenset("a an and any are as at be by can do for from has have if in is it may not of on or s that the this to was with you".split())
 WORD = r"[\p{L}\p{N}]+"
@@ -61,6 +64,38 @@ TEMPLATES = {
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
         "documentation files"
     ),
+    "AGPL-3.0-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public "
+        "License as published by the Free Software Foundation"
+    ),
+    "BSD-2-Clause": (
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+        "disclaimer in the documentation and/or other materials provided with the distribution."
+    ),
+    "BSD-3-Clause": (
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission."
+    ),
+    "CC-BY-NC-SA-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    "GPL-2.0-header": "published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+        "provided that the above copyright notice and this permission notice appear in all copies."
+    ),
+    "LGPL-header": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+        "License as published by the Free Software Foundation"
+    ),
+    "MIT-text": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation "
+        "files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, "
+        "modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software "
+        "is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be "
+        "included in all copies or substantial portions of the Software."
+    ),
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
 
@@ -88,12 +123,19 @@ def cover_words(shingles: set[str]) -> list[str]:
     return sorted(chosen)
 
 
+def bands_for(size: int, containment: float = CONTAINMENT) -> tuple[int, int, int]:
+    """Window, step and bands for templates of that many distinct shingles."""
+    step = max(1, size // 4)
+    window, needed = size + step - 1, math.ceil(containment * size - 1e-9)
+    similarity = needed / (window + size - needed)
+    return window, step, 1 if similarity == 1 else math.ceil(math.log(MISS) / math.log1p(-similarity))
+
+
 def shingled(docs: DataFrame, cover: list[str]) -> DataFrame:
     """row, doc_id and shingle hashes of the texts that have a cover word."""
     low = F.lower(F.col("text"))
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), low.alias("text")).where("text is not null")
-    if len(cover) <= MOST_COVER_WORDS:
-        known = known.where(F.col("text").rlike(r"(?<![\p{L}\p{N}])(?:" + "|".join(cover) + r")(?![\p{L}\p{N}])"))
+    known = known.where(F.col("text").rlike(r"(?<![\p{L}\p{N}])(?:" + "|".join(cover) + r")(?![\p{L}\p{N}])"))
     words = F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1))
     hashes = F.transform(
         F.sequence(F.lit(1), F.size("words") - (SHINGLE - 1)),
@@ -106,30 +148,51 @@ def shingled(docs: DataFrame, cover: list[str]) -> DataFrame:
     )
 
 
-def window_values(hashes: str):
-    """The least hash of every bin of every window, distinct over the text."""
-    starts = F.sequence(F.lit(0), F.ceil(F.greatest(F.size(hashes) - WINDOW, F.lit(0)) / STEP).cast("int"))
-    own_bin = lambda h: F.pmod(h, F.lit(BINS))
+def band_value(size: int, band: int, hashes: Column) -> Column:
+    """What a window and a template must have in common: the least hash under the band's permutation, for templates of that size."""
+    return F.xxhash64(F.lit(size), F.lit(band), F.array_min(hashes))
+
+
+def permuted(hashes: Column, band: int) -> Column:
+    return F.transform(hashes, lambda h: F.xxhash64(h, F.lit(band)))
+
+
+def window_values(hashes: Column, settings: dict[int, tuple[int, int, int]]) -> Column:
+    """The values of all windows in all bands, for the template sizes that settings tell."""
+
+    def of_band(band: int) -> Column:
+        def of_size(size: int, window: int, step: int, under: Column) -> Column:
+            starts = F.sequence(F.lit(0), F.ceil(F.greatest(F.size(under) - window, F.lit(0)) / step).cast("int"))
+            return F.transform(starts, lambda s: band_value(size, band, F.slice(under, s * step + 1, window)))
 
-    def least(window):
-        return F.filter(window, lambda h: ~F.exists(window, lambda g: (own_bin(g) == own_bin(h)) & (g < h)))
+        sizes = [(size, window, step) for size, (window, step, bands) in settings.items() if band < bands]
+        # An array of one, so that the permuted hashes are made once for all sizes.
+        return F.flatten(F.transform(F.array(permuted(hashes, band)), lambda under: F.concat(*[of_size(*s, under) for s in sizes])))
 
-    return F.array_distinct(F.flatten(F.transform(starts, lambda s: least(F.slice(hashes, s * STEP + 1, WINDOW)))))
+    return F.concat(*[of_band(band) for band in range(max(bands for _, _, bands in settings.values()))])
 
 
 def licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:
     """doc_id, license, containment and the first word (from 1) of a shared shingle, for every text and template found in it."""
     spark = docs.sparkSession
     shingles = {name: sorted(set(template_shingles(t))) for name, t in templates.items()}
+    if not shingles:
+        return spark.createDataFrame([], "doc_id long, license string, containment double, first_word long")
+    settings = {size: bands_for(size, containment) for size in sorted({len(own) for own in shingles.values()})}
     # As many rows as there are templates, which the caller holds in memory.
-    known = spark.createDataFrame(list(shingles.items()), "license string, shingles array<string>").select(
-        "license", F.transform("shingles", lambda s: F.xxhash64(s)).alias("wanted")
+    known = spark.createDataFrame([(n, own, len(own)) for n, own in shingles.items()], "license string, shingles array<string>, size int").select(
+        "license", "size", F.transform("shingles", lambda s: F.xxhash64(s)).alias("wanted")
     )
     cover = cover_words({s for own in shingles.values() for s in own})
     texts = written(shingled(docs, cover), "shingled")
-    index = known.select("license", F.explode("wanted").alias("value"))
+    values = [
+        F.when(F.col("size") == size, F.array(*[band_value(size, band, permuted(F.col("wanted"), band)) for band in range(bands)]))
+        for size, (_, _, bands) in settings.items()
+    ]
+    index = known.select("license", F.explode(F.coalesce(*values)).alias("value"))
+    wanted = F.array(*[F.lit(r["value"]) for r in index.select("value").distinct().collect()])  # some 15 a template
     retrieved = (
-        texts.select("row", F.explode(window_values("hashes")).alias("value"))
+        texts.select("row", F.explode(F.array_intersect(window_values(F.col("hashes"), settings), wanted)).alias("value"))
         .join(index, "value")
         .select("row", "license")
         .distinct()
