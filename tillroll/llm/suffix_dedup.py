@@ -50,6 +50,10 @@ CUT_BYTES = 1 << 21
 FLUSH = 1 << 19
 LEVELS = 3
 LAST = np.iinfo(np.int64).max
+# Rows without an id are told apart by numbers from FIRST to below NAMELESS, which no document should have as its id.
+FIRST = np.iinfo(np.int64).min
+NAMELESS = FIRST + (1 << 60)
+KEYS_BYTES = 1 << 22
 _SEED = np.uint64(0xA24BAED4963EE407)
 
 
@@ -200,19 +204,28 @@ def equal_groups(data: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """id (null ones last), version (digest of the text) and text."""
+    """id (null ones last), own (the id, or a number by text below NAMELESS), version (digest of the text) and text."""
+    version = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
+    nameless = F.lit(FIRST) + F.xxhash64(version).bitwiseAND(NAMELESS - FIRST - 1)
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"),
-        F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("version"),
+        F.coalesce(F.col("doc_id").cast("long"), nameless).alias("own"),
+        version.alias("version"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
 
 
+def orders(own: np.ndarray) -> np.ndarray:
+    """The ids that decide which document is earlier: the last one for rows without an id."""
+    return np.where(own < NAMELESS, LAST, own)
+
+
 def shared_keys(texts: DataFrame, buckets: int) -> DataFrame:
-    """(id, key) of the keys of strings that occur under two ids at least.
+    """(id, key) of the keys of strings that occur under two ids at least; id is that of `own`.
 
     A task sends each key once, with one of its ids, and decides by itself about keys it has seen
-    under several; so a key in many documents is no large group anywhere.
+    under several; so a key in many documents is no large group anywhere. Rows without an id, which are
+    equally late, send theirs each: their keys come back to the rows of one text, not to all of these rows.
     """
     bits = np.uint64(64 - (buckets.bit_length() - 1))
     names = ["bucket", "ids", "keys"]
@@ -220,14 +233,18 @@ def shared_keys(texts: DataFrame, buckets: int) -> DataFrame:
 
     def flush(ids: list[np.ndarray], keys: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         ids, keys = np.concatenate(ids), np.concatenate(keys)
-        order = np.lexsort((ids, keys))
+        order = np.lexsort((ids, orders(ids), keys))
         ids, keys = ids[order], keys[order]
-        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-        several = ids[first] != ids[np.append(first[1:], len(keys)) - 1]
+        late = orders(ids)
+        new = np.append(True, keys[1:] != keys[:-1])
+        first = np.flatnonzero(new)
+        sizes = np.diff(np.append(first, len(keys)))
+        several = np.repeat(late[first] != late[first + sizes - 1], sizes)
         # Known here already: for every id, its keys of several ids.
-        known = np.flatnonzero(np.repeat(several, np.diff(np.append(first, len(keys)))))
+        known = np.flatnonzero(several & (new | np.append(True, ids[1:] != ids[:-1])))
         rows = [(-1 - int(part), *both) for part, *both in pieces(ids[known], keys[known], ids[known] % buckets)]
-        rows += [(int(part), *both) for part, *both in pieces(ids[first], keys[first], (keys[first] >> bits).astype(np.int64))]
+        sent = np.flatnonzero(new | (~several & (late == LAST) & np.append(True, ids[1:] != ids[:-1])))
+        rows += [(int(part), *both) for part, *both in pieces(ids[sent], keys[sent], (keys[sent] >> bits).astype(np.int64))]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
     def pieces(ids: np.ndarray, keys: np.ndarray, part: np.ndarray) -> Iterator[tuple[int, bytes, bytes]]:
@@ -245,7 +262,7 @@ def shared_keys(texts: DataFrame, buckets: int) -> DataFrame:
                 found = string_keys(data)
                 whole = np.arange(len(found)) + LENGTH <= np.repeat(offsets[1:], np.diff(offsets))[: len(found)]
                 first, _ = runs(found, whole)
-                ids.append(np.asarray(part.column("id"), np.int64)[np.searchsorted(offsets, first, "right") - 1])
+                ids.append(np.asarray(part.column("own"), np.int64)[np.searchsorted(offsets, first, "right") - 1])
                 keys.append(found[first])
                 held += len(first)
                 if held >= FLUSH:
@@ -261,7 +278,8 @@ def shared_keys(texts: DataFrame, buckets: int) -> DataFrame:
             ids, keys = ids[order], keys[order]
             first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
             sizes = np.diff(np.append(first, len(keys)))
-            keep = np.repeat(np.minimum.reduceat(ids, first) != np.maximum.reduceat(ids, first), sizes)
+            late = orders(ids)
+            keep = np.repeat(np.minimum.reduceat(late, first) != np.maximum.reduceat(late, first), sizes)
             return rows(ids[keep], keys[keep])
 
         def rows(ids: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
@@ -282,13 +300,13 @@ def shared_keys(texts: DataFrame, buckets: int) -> DataFrame:
         if ids:
             yield several(ids, keys)
 
-    sent = texts.select("id", "text").mapInArrow(find, "bucket int, ids binary, keys binary")
+    sent = texts.select("own", "text").mapInArrow(find, "bucket int, ids binary, keys binary")
     return sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, "id long, key long")
 
 
 def segments(texts: DataFrame, shared: DataFrame) -> DataFrame:
     """Runs of strings that may be repeated: id, version, start, the segment's bytes and their digest."""
-    lists = shared.groupBy("id").agg(F.collect_list("key").alias("keys"))
+    lists = shared.groupBy(F.col("id").alias("own")).agg(F.collect_list("key").alias("keys"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -313,7 +331,7 @@ def segments(texts: DataFrame, shared: DataFrame) -> DataFrame:
             kinds = [pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows.values(), kinds)], list(rows))
 
-    return texts.join(lists, "id").mapInArrow(run, "id long, version binary, start long, bytes binary, digest binary")
+    return texts.join(lists, "own").mapInArrow(run, "id long, version binary, start long, bytes binary, digest binary")
 
 
 PIECE = "bucket long, id long, version binary, start long, size int, bytes binary"
@@ -423,12 +441,16 @@ def removed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     texts = keyed(docs)
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = written(segments(texts, shared_keys(texts, 1 << (4 * parts - 1).bit_length())), "segments")
-    least = found.groupBy("digest").agg(F.min("id").alias("least"))
-    placed = found.join(least, "digest")
+    # As many buckets of keys as keep one at a few MB, and some for every task.
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    buckets = 1 << (max(4 * parts, size // KEYS_BYTES) - 1).bit_length()
+    found = written(segments(texts, shared_keys(texts, buckets)), "segments")
+    # Sent back are those that several have; the others are the only ones of their digest.
+    least = found.groupBy("digest").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").drop("most")
+    placed = found.join(least, "digest", "left")
     count = F.length("bytes") - (LENGTH - 1)
     again = placed.where("id > least").select("id", "version", "start", count.cast("long").alias("size"))
-    once = written(placed.where("id = least").select("id", "version", "start", "bytes"), "segments-once")
+    once = written(placed.where("least IS NULL OR id = least").select("id", "version", "start", "bytes"), "segments-once")
     total = once.agg(F.sum(F.length("bytes"))).first()[0] or 0
     result = again
     rows, level = once, 0
@@ -442,7 +464,7 @@ def removed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             # Single strings by now, of which very many are equal or lie in one key: an aggregate
             # combines them before it shuffles.
             pieces = written(pieces, "strings")
-            least = pieces.groupBy("bytes").agg(F.min("id").alias("least"))
+            least = pieces.groupBy("bytes").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").drop("most")
             again = pieces.join(least, "bytes").where("id > least")
             return texts, result.unionByName(again.select("id", "version", "start", F.col("size").cast("long").alias("size")))
         out = written(spans(pieces), "spans")
