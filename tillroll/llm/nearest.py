@@ -74,11 +74,20 @@ def nearest_centre(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
 
 
 def fit(rows: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray] | None:
-    """Centroids of the two halves, from at most `sample` vectors; None without vectors."""
-    found = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "vector").limit(sample).collect()
+    """Centroids of the two halves, from at most `sample` vectors; None without vectors.
+
+    The ids are drawn first, so that no more than their vectors reach the driver.
+    """
+    ids = rows.select("vec_id").distinct().orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample)
+    found = (
+        rows.join(F.broadcast(ids), "vec_id")  # `sample` ids at most
+        .groupBy("vec_id")
+        .agg(F.min("vector").alias("vector"), F.xxhash64("vec_id").alias("order"))
+        .collect()
+    )
     if not found:
         return None
-    points = np.array([r["vector"] for r in found])
+    points = np.array([r["vector"] for r in sorted(found, key=lambda r: (r["order"], r["vec_id"]))])
     half = points.shape[1] // 2
     return k_means(points[:, :half], CENTROIDS, 1), k_means(points[:, half:], CENTROIDS, 2)
 
