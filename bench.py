@@ -22,8 +22,9 @@ from tillroll.operators.scorecard import dq_scorecard
 from tillroll.plans import dashboards as d
 from tillroll.plans import headlines as h
 from tillroll.plans import runs as r
-from tillroll.plans.warehouse import MARTS, Warehouse
+from tillroll.plans.warehouse import MARTS, SHARED, Warehouse
 from tillroll.session import build_session
+from tillroll.sinks.buckets import write_bucketed
 from tillroll.sinks.tables import merge_into_fact, write_fact, write_mart
 from tillroll.sources import standins
 
@@ -81,9 +82,10 @@ def main() -> None:
         return [write_mart(getattr(source, p), f"{out}/stg_{p}") for p in parts]
 
     staged = Warehouse(*timed("stage_load", load), as_of=OPS_DAY)
-    lines = timed("build_order_lines", lambda: write_mart(staged.order_lines, f"{out}/order_lines", sort_by=["order_id"]))
+    lines = timed("build_order_lines", lambda: write_bucketed(staged.order_lines, f"{out}/order_lines-{time.perf_counter_ns()}", "order_id"))
     stored = {}
-    for name in MARTS:
+    # Two aggregates of the lines, of which the department marts are made.
+    for name in [*SHARED, *MARTS]:
         def build(name=name):
             # A fresh plan each time, over the marts stored so far.
             fresh = Warehouse(*[getattr(staged, p) for p in parts], as_of=OPS_DAY)

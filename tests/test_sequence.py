@@ -5,8 +5,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import LINES, day
-from tillroll.operators.sequence import derive_order_sequence, derive_reordered
-from tillroll.operators.numbering import number_rows
+from tillroll.operators.numbering import number_in_blocks, number_rows
+from tillroll.operators.sequence import derive_order_sequence, derive_reordered, order_blocks
 
 
 @pytest.fixture(scope="module")
@@ -36,6 +36,18 @@ def test_parts_equal_one_window(skewed):
     assert sorted(derive_order_sequence(skewed).collect()) == sorted(plain_sequence(skewed).collect())
 
 
+def test_blocks_equal_one_window(spark):
+    """Null keys and dates, and a key whose rows lie in many blocks, one of them large."""
+    df = spark.sql(
+        "SELECT CASE WHEN id % 3 = 0 THEN NULL ELSE id % 5 END AS user_id, CASE WHEN id % 11 > 0 THEN DATE '2024-01-01' + CAST(id % 7 AS INT) END AS order_date, "
+        "id * 300007 AS order_id FROM range(5000)"
+    )
+    out = number_in_blocks(df, "user_id", order_blocks(), ["order_date", "order_id"], "n", carry="order_date", previous="before")
+    w = Window.partitionBy("user_id").orderBy("order_date", "order_id")
+    plain = df.select("*", F.row_number().over(w).alias("n"), F.lag("order_date").over(w).alias("before"))
+    assert out.exceptAll(plain).count() == 0 and plain.exceptAll(out).count() == 0 and out.count() == 5000
+
+
 def test_number_rows_without_carry(spark):
     df = spark.createDataFrame([(1, i // 4, i) for i in range(20)] + [(2, 0, 5)], "k long, a long, b long")
     out = number_rows(df, "k", ["a", "b"], "pos").collect()

@@ -2,21 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.operators.numbering import number_rows
+from tillroll.operators.numbering import number_in_blocks
 from tillroll.session import scratch_dir
 
 
+# Ids of one block of a day's orders.
+IDS_PER_BLOCK = 1 << 20
+
+
+def order_blocks() -> list[Column]:
+    return [F.col("order_date"), F.floor(F.col("order_id") / IDS_PER_BLOCK)]
+
+
 def derive_order_sequence(orders: DataFrame) -> DataFrame:
     """Add order_number and days_since_prior_order (NULL on a user's first order).
 
-    Needs order_id, user_id, order_date. Orders without a user are numbered as those of one.
+    Needs order_id, user_id, order_date. Orders without a user are numbered as those of one. A
+    user's orders are cut by day and range of ids.
     """
-    numbered = number_rows(
+    numbered = number_in_blocks(
         orders,
         key="user_id",
+        blocks=order_blocks(),
         order_by=["order_date", "order_id"],
         position="order_number",
         carry="order_date",
@@ -84,8 +94,9 @@ def extend_sequence(state: DataFrame, batch: DataFrame, history_of_late) -> tupl
     known = late.withColumnRenamed("user_id", "_late")
     of_late = F.col("user_id").eqNullSafe(F.col("_late"))
     again = history_of_late(late).select("order_id", "user_id", "order_date").unionByName(batch.join(known, of_late, "left_semi"))
-    fresh = number_rows(
-        batch.join(known, of_late, "left_anti"), key="user_id", order_by=["order_date", "order_id"], position="_n", carry="order_date", previous="_prior"
+    fresh = number_in_blocks(
+        batch.join(known, of_late, "left_anti"), key="user_id", blocks=order_blocks(), order_by=["order_date", "order_id"],
+        position="_n", carry="order_date", previous="_prior",
     )
     before = state.withColumnRenamed("user_id", "_user")
     going_on = fresh.join(before, F.col("user_id").eqNullSafe(F.col("_user")), "left").select(

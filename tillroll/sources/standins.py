@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.operators.sequence import derive_order_sequence
-from tillroll.operators.numbering import number_rows
+from tillroll.operators.numbering import number_in_blocks
+from tillroll.session import scratch_dir
 from tillroll.sources import staging
 from tillroll.sources.raw import COLUMN_TYPES, CSV_OPTIONS, STAGING_TABLES
 
@@ -67,7 +68,12 @@ class Shop:
 
     @cached_property
     def orders(self) -> DataFrame:
-        return self.shared("orders", lambda: staging.stg_orders(derive_order_sequence(self.dated_orders)))
+        return self.shared("orders", lambda: self._stored(staging.stg_orders(derive_order_sequence(self.dated_orders)), "orders"))
+
+    def _stored(self, df: DataFrame, label: str) -> DataFrame:
+        path = scratch_dir(self.spark, label)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     @cached_property
     def products(self) -> DataFrame:
@@ -82,7 +88,7 @@ class Shop:
     @cached_property
     def order_products(self) -> DataFrame:
         """Lines at (order, product) grain, numbered by their first line in the order."""
-        return self.shared("order_products", self._numbered_lines)
+        return self.shared("order_products", lambda: self._stored(self._numbered_lines(), "order_products"))
 
     def _numbered_lines(self) -> DataFrame:
         lines = self.table("lineitem").selectExpr(
@@ -94,9 +100,10 @@ class Shop:
         grain = lines.groupBy("order_id", "product_id").agg(
             F.expr("min(l_linenumber) AS first_line"), F.expr("max(returned) AS reordered")
         )
-        numbered = number_rows(
+        numbered = number_in_blocks(
             grain,
             key="order_id",
+            blocks=[F.floor(F.col("first_line") / 1024), F.floor(F.col("product_id") / (1 << 20))],
             order_by=["first_line", "product_id"],
             position="add_to_cart_order",
         )
