@@ -351,29 +351,6 @@ def test_token_counts_like_the_library(spark):
 # --- licenses -----------------------------------------------------------------
 
 
-def test_bands_keep_the_stated_chance():
-    """Any run of a template's length lies in a window, and a window with enough of it is missed less often than MISS."""
-    for size in range(1, 200):
-        window, step, bands = licenses.bands_for(size)
-        assert all((start // step) * step <= start and start + size <= (start // step) * step + window for start in range(3 * size))
-        needed = next(n for n in range(size + 1) if n >= 0.8 * size - 1e-9)
-        least = needed / (window + size - needed)
-        assert (1 - least) ** bands < licenses.MISS and bands <= 20
-
-
-def test_templates_and_windows_meet_in_bands(spark):
-    """Values of a text's windows hold those of a template in it; a band more often than the similarity says is no accident."""
-    size = 20
-    settings = {size: licenses.bands_for(size)}
-    hashes = [random.Random(1).getrandbits(60) for _ in range(300)]
-    inside = hashes[100:120]
-    row = spark.createDataFrame([(hashes, inside)], "text array<long>, wanted array<long>")
-    bands = settings[size][2]
-    template = F.array(*[licenses.band_value(size, b, licenses.permuted(F.col("wanted"), b)) for b in range(bands)])
-    found = row.select(licenses.window_values(F.col("text"), settings).alias("v"), template.alias("t")).first()
-    assert len(found["t"]) == bands > 5 and len(set(found["t"]) & set(found["v"])) >= bands / 2
-
-
 def test_licenses_like_all_templates(spark):
     rng = random.Random(1)
     templates = list(licenses.TEMPLATES.items())
