@@ -10,12 +10,17 @@ Before the join, documents drop hashes that no test item can have: a bitmap of f
 (whatever the size of the benchmark) is probed twice per hash. Hits near each other
 form a region, which carries its tokens with CONTEXT tokens on either side.
 
+A hash that up to FEW items have gives a row per hit and item. Hits of a hash that more items have (a
+common opening, a fixed question) meet those items in blocks, where the tokens around the hits are compared at
+once; only alignments that hold a long enough stretch become rows, so rows grow with findings, not with hits times items.
+
 A document is contaminated by an item if, along one alignment, at least `min_tokens` tokens, or the
-whole of a shorter item of at least MIN_ITEM tokens, lie in a stretch of which a share of
+whole of a shorter item of at least `min_item` tokens, lie in a stretch of which a share of
 `min_share` agrees.
 
 Defined cases: null or empty texts have no tokens and no hits, nor have items of fewer than
-MIN_ITEM tokens; items with the same tokens count as the one with the smallest id, those
+`min_item` tokens (MIN_ITEM unless told otherwise, 1 at least; a word or two of everyday speech would
+take clean documents along); items with the same tokens count as the one with the smallest id, those
 whose ids are all null are found with a null item_id; rows with the
 same doc_id, null too, share their findings, but each text is kept or removed for its own; empty
 tables give an empty result; columns besides
@@ -42,6 +47,10 @@ MIN_TOKENS = 13
 MIN_SHARE = 0.8
 MIN_ITEM = 6
 CONTEXT = 160
+FEW = 16
+ITEM_BLOCK = 256
+REGION_BLOCK_BITS = 8
+PAIRS = 4_096
 
 
 def short_masks(n: int, min_share: float = MIN_SHARE) -> list[str]:
@@ -75,7 +84,7 @@ def seeds(hashes: np.ndarray, rows: np.ndarray, masks: list[tuple[int, str]]) ->
         yield mixed(total)[places], places
 
 
-def test_items(benchmark: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
+def test_items(benchmark: DataFrame, min_share: float = MIN_SHARE, min_item: int = MIN_ITEM) -> DataFrame:
     """Distinct items: item (digest of the tokens), item_id, tokens (4 bytes each) and seeds (hash, place)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,7 +95,7 @@ def test_items(benchmark: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
                 tokens, seed_lists = [], []
                 for a, b in zip(found.rows[:-1], found.rows[1:]):
                     tokens.append(low[a:b].tobytes())
-                    masks = masks_for([b - a] if MIN_ITEM <= b - a < MIN_TOKENS else [], min_share)
+                    masks = masks_for([b - a] if min_item <= b - a < MIN_TOKENS else [], min_share)
                     own = [(h, p) for h, p in seeds(found.hashes[a:b], np.array([0, b - a]), masks)]
                     seed_lists.append(
                         [{"hash": int(x), "place": int(y)} for h, p in own for x, y in zip(h.view(np.int64), p)]
@@ -100,7 +109,7 @@ def test_items(benchmark: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").mapInArrow(
         run, "item_id long, tokens binary, seeds array<struct<hash: long, place: int>>"
     )
-    items = items.where(F.length("tokens") >= 4 * MIN_ITEM)
+    items = items.where(F.length("tokens") >= 4 * max(1, min_item))
     first = items.groupBy("tokens").agg(F.min("item_id").alias("item_id"))
     distinct = first.join(items.select("tokens", "seeds").dropDuplicates(["tokens"]), "tokens")
     return distinct.withColumn("item", F.unhex(F.md5("tokens")))
@@ -168,17 +177,89 @@ def longest_stretch(agree: np.ndarray, share: float = MIN_SHARE) -> tuple[int, i
     return int(first[at]), at
 
 
-def stretches(docs: DataFrame, benchmark: DataFrame, min_tokens: int = MIN_TOKENS, min_share: float = MIN_SHARE) -> DataFrame:
+def around(tokens: Column, place: Column, hit: str) -> Column:
+    """The tokens up to CONTEXT before and past a place, with how many lie before it."""
+    before = F.least(place, F.lit(CONTEXT))
+    window = F.substring(tokens, (place - before) * 4 + 1, (before + CONTEXT) * 4)
+    return F.struct(hit, place.cast("int").alias("place"), before.cast("int").alias("before"), window.alias("window"))
+
+
+def laid_out(found: pa.StructArray) -> np.ndarray:
+    """Windows of hits as rows of equal length, their places below each other; 2**32 where no token is."""
+    rows = np.full((len(found), 2 * CONTEXT), 1 << 32, np.int64)
+    for i, (before, window) in enumerate(zip(found.field("before").to_pylist(), found.field("window").to_pylist())):
+        tokens = np.frombuffer(window, np.uint32)
+        rows[i, CONTEXT - before : CONTEXT - before + len(tokens)] = tokens
+    return rows
+
+
+def long_enough(agree: np.ndarray, least: np.ndarray, share: float) -> np.ndarray:
+    """Whether each row holds a stretch of at least that many places of which the share agrees."""
+    gain = np.zeros((len(agree), agree.shape[1] + 1))
+    np.cumsum(np.where(agree, 1 - share, -share) + 1e-12, axis=1, out=gain[:, 1:])
+    lowest = np.minimum.accumulate(gain, axis=1)
+    result = np.zeros(len(agree), bool)
+    for n in np.unique(least):
+        own = least == n
+        result[own] = (gain[own, n:] >= lowest[own, : gain.shape[1] - n]).any(1)
+    return result
+
+
+def alignments_of_many(hits: DataFrame, known: DataFrame, n_items: int, min_tokens: int, min_share: float) -> DataFrame:
+    """(region, item, shift) of the hits and the items of one hash that hold a stretch; both sides meet in blocks.
+
+    A place without a token on either side counts as one that differs, so this refuses no stretch that is one.
+    """
+    blocks = max(1, -(-n_items // ITEM_BLOCK))
+    asked = hits.groupBy("hash", F.shiftright("region", REGION_BLOCK_BITS).alias("regions")).agg(
+        F.collect_list(around(F.col("tokens"), F.col("at"), "region")).alias("hits")
+    )
+    asking = known.groupBy("hash", F.pmod(F.xxhash64("item"), F.lit(blocks)).alias("items")).agg(
+        F.collect_list(around(F.col("tokens"), F.col("place"), "item")).alias("known"),
+        F.collect_list((F.length("tokens") / 4).cast("int")).alias("sizes"),
+    )
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                hits, known = batch.column("hits")[i].values, batch.column("known")[i].values
+                least = np.minimum(min_tokens, np.asarray(batch.column("sizes")[i].values))
+                texts, tests = laid_out(hits), laid_out(known)
+                tests[tests == 1 << 32] = -1
+                at, place = np.asarray(hits.field("place")), np.asarray(known.field("place"))
+                for first in range(0, len(texts), max(1, PAIRS // len(tests))):
+                    some = texts[first : first + max(1, PAIRS // len(tests))]
+                    agree = (some[:, None, :] == tests[None, :, :]).reshape(-1, tests.shape[1])
+                    a, b = np.divmod(np.flatnonzero(long_enough(agree, np.tile(least, len(some)), min_share)), len(tests))
+                    a += first
+                    yield pa.RecordBatch.from_arrays(
+                        [hits.field("region").take(pa.array(a)), known.field("item").take(pa.array(b)), pa.array((at[a] - place[b]).astype(np.int32))],
+                        ["region", "item", "shift"],
+                    )
+
+    met = asked.join(asking, "hash").select("hits", "known", "sizes")
+    return met.mapInArrow(meet, "region long, item binary, shift int")
+
+
+def stretches(docs: DataFrame, benchmark: DataFrame, min_tokens: int = MIN_TOKENS, min_share: float = MIN_SHARE, min_item: int = MIN_ITEM) -> DataFrame:
     """The stretches of texts (doc_id, version: digest of the text) that overlap with an item, one or more a pair."""
-    items = written(test_items(benchmark, min_share), "items")
+    items = written(test_items(benchmark, min_share, min_item), "items")
     # Lengths under MIN_TOKENS only, so a few numbers; a benchmark without short items costs no more masks.
     short = items.select((F.length("tokens") / 4).cast("int").alias("n")).where(F.col("n") < MIN_TOKENS).distinct().collect()
     masks = masks_for(sorted(r["n"] for r in short), min_share)
     found = written(regions(docs, bitmap(items.select(F.explode("seeds.hash"))), masks), "regions").withColumn("region", F.monotonically_increasing_id())
     found = written(found, "numbered-regions")
-    hits = found.select("region", F.explode("hits").alias("hit")).select("region", "hit.hash", F.col("hit.place").alias("at"))
-    known = items.select("item", F.explode("seeds").alias("seed")).select("item", "seed.hash", "seed.place")
-    aligned = hits.join(known, "hash").select("region", "item", (F.col("at") - F.col("place")).alias("shift")).distinct()
+    hits = found.select("region", "tokens", F.explode("hits").alias("hit")).select("region", "tokens", "hit.hash", F.col("hit.place").alias("at"))
+    known = items.select("item", "tokens", F.explode("seeds").alias("seed")).select("item", "tokens", "seed.hash", "seed.place")
+    shared = written(known.groupBy("hash").agg((F.countDistinct("item") > FEW).alias("many")), "seeds")
+    few, many = shared.where(~F.col("many")).select("hash"), shared.where("many").select("hash")
+    aligned = hits.drop("tokens").join(known.drop("tokens").join(few, "hash"), "hash").select("region", "item", (F.col("at") - F.col("place")).alias("shift"))
+    n_many = known.join(many, "hash", "left_semi").select("item").distinct().count()
+    if n_many:
+        aligned = aligned.union(
+            alignments_of_many(hits.join(many, "hash", "left_semi"), known.join(many, "hash", "left_semi"), n_many, min_tokens, min_share)
+        )
+    aligned = aligned.distinct()
     laid = (
         aligned.join(items.select("item", "item_id", F.col("tokens").alias("item_tokens")), "item")
         .join(found.select("region", "doc_id", "version", "start", "tokens"), "region")
@@ -215,9 +296,9 @@ def stretches(docs: DataFrame, benchmark: DataFrame, min_tokens: int = MIN_TOKEN
     return laid.mapInArrow(verify, "doc_id long, version binary, item binary, item_id long, start long, n_tokens long, n_same long")
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, min_tokens: int = MIN_TOKENS, min_share: float = MIN_SHARE) -> DataFrame:
+def overlaps(docs: DataFrame, benchmark: DataFrame, min_tokens: int = MIN_TOKENS, min_share: float = MIN_SHARE, min_item: int = MIN_ITEM) -> DataFrame:
     """Pairs (doc_id, item_id) with the place and length in tokens of their longest overlap."""
-    checked = stretches(docs, benchmark, min_tokens, min_share)
+    checked = stretches(docs, benchmark, min_tokens, min_share, min_item)
     best = F.max(F.struct("n_same", "n_tokens", (-F.col("start")).alias("before"))).alias("best")
     return checked.groupBy("doc_id", "item", "item_id").agg(best).select(
         "doc_id", "item_id", (-F.col("best.before")).alias("start_token"), F.col("best.n_tokens").alias("n_tokens"),
@@ -225,8 +306,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_tokens: int = MIN_TOKENS
     )
 
 
-def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def without_benchmark(docs: DataFrame, benchmark: DataFrame, min_item: int = MIN_ITEM) -> DataFrame:
     """The documents that no test item contaminates."""
-    bad = stretches(docs, benchmark).select(F.col("doc_id").alias("__contaminated"), F.col("version").alias("__version")).distinct()
+    bad = stretches(docs, benchmark, min_item=min_item).select(F.col("doc_id").alias("__contaminated"), F.col("version").alias("__version")).distinct()
     same = docs["doc_id"].cast("long").eqNullSafe(bad["__contaminated"]) & (version_of(docs["text"]) == bad["__version"])
     return docs.join(bad, same, "left_anti")
