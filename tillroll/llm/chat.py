@@ -15,7 +15,9 @@ The step from one turn to the next is a matrix of costs between states, and matr
 grouping (least sums), so a conversation of any length is repaired in parts: turns are range-sorted
 and stored with their place; every part reduces its stretch of a conversation to one matrix; a
 pass over two matrices per part fixes the states at the parts' edges; then each part traces its own
-way back. Only those matrices, two for a part, reach the driver.
+way back. Only those matrices, two for a part, reach the driver. A part is laid out in its task, so
+parts are made by the bytes and rows at hand (PART_BYTES, PART_ROWS), and equal rows, which no order
+tells apart, are spread over parts too; one text longer than PART_BYTES makes a longer part.
 
 Defined cases: turns are ordered by turn, role and text, nulls last; a null conversation id is one
 conversation; null, unknown and differently spelled roles are read by ROLES, others are unknown;
@@ -44,6 +46,8 @@ STATES = 4  # the role of the last turn; 3: no turn yet
 NONE = 3
 RELABEL, UNKNOWN, MERGE, INSERT = 2.0, 1.0, 1.0, 3.0
 FAR = 1e18
+PART_BYTES = 64 << 20
+PART_ROWS = 1 << 19
 HEAD, TAIL, JOINT = "<|im_start|>{}\n", "<|im_end|>\n", "\n\n"
 # What may follow what, and the empty turns that lead from one role to another in between.
 FOLLOWS = {NONE: (0, 1), 0: (1,), 1: (2,), 2: (1,)}
@@ -158,9 +162,14 @@ def repaired(turns: DataFrame) -> DataFrame:
     spark = turns.sparkSession
     order = [F.col(c).asc_nulls_last() for c in ("conv_id", "turn", "role", "text")]
     chosen = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    size = chosen.agg(F.count("*").alias("n"), F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("bytes")).first()
+    parts = max(-(-size["n"] // PART_ROWS), -(-(size["bytes"] or 0) // PART_BYTES), spark.sparkContext.defaultParallelism)
     # The place numbers rows by part and order within it; stored, so that every pass sees the same cut.
+    spread = chosen.withColumn("spread", F.rand(1))
+    order.append(F.col("spread").asc())
     placed = written(
-        chosen.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("place", F.monotonically_increasing_id()), "turns"
+        spread.repartitionByRange(parts, *order).sortWithinPartitions(*order).drop("spread").withColumn("place", F.monotonically_increasing_id()),
+        "turns",
     )
     placed = placed.withColumn("part", F.shiftright("place", 33).cast("int"))
     # Whether a conversation goes on in other parts: at most two of a part do, found from the parts' edges.
