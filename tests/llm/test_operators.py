@@ -315,6 +315,57 @@ def test_items_without_an_id_are_found(spark):
     assert {r["doc_id"] for r in decontamination.without_benchmark(documents(spark, texts), benchmark).collect()} == {2, 3}
 
 
+def test_common_openings_of_many_items(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "ITEM_BLOCK", 16)
+    monkeypatch.setattr(decontamination, "REGION_BLOCK_BITS", 3)
+    rng = random.Random(8)
+    opening = "which of these answers is the right one".split()
+
+    def fresh(n):
+        return [f"w{rng.randrange(10**9)}" for _ in range(n)]
+
+    items = [opening + fresh(rng.randint(6, 30)) for _ in range(60)]
+    texts = [" ".join(fresh(5) + opening + fresh(40)) for _ in range(80)]
+    for k in range(0, 60, 4):
+        words = list(items[k])
+        words[10] = "other"
+        texts.append(" ".join(fresh(rng.randint(0, 200)) + words + fresh(20)))
+    rows = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    kept = []
+    real = decontamination.alignments_of_many
+
+    def counted(*args):
+        found = real(*args)
+        kept.append(found.distinct().count())
+        return found
+
+    monkeypatch.setattr(decontamination, "alignments_of_many", counted)
+    found = {(r["doc_id"], r["item_id"]) for r in decontamination.overlaps(documents(spark, list(enumerate(texts))), rows).collect()}
+    assert found == {(80 + k // 4, k) for k in range(0, 60, 4)}
+    assert kept == [len(found)]  # rows of findings, not of 95 texts times 60 items
+    monkeypatch.setattr(decontamination, "FEW", 10**6)
+    assert {(r["doc_id"], r["item_id"]) for r in decontamination.overlaps(documents(spark, list(enumerate(texts))), rows).collect()} == found
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_long_enough_like_every_stretch(seed):
+    rng = np.random.default_rng(seed)
+    agree = rng.random((60, 40)) < rng.uniform(0.5, 0.95, (60, 1))
+    least = rng.integers(3, 20, 60)
+    expected = [
+        any(agree[r, a:b].sum() >= 0.8 * (b - a) - 1e-9 for a in range(40) for b in range(a + least[r], 41)) for r in range(60)
+    ]
+    assert decontamination.long_enough(agree, least, 0.8).tolist() == expected
+
+
+def test_very_short_items_where_asked_for(spark):
+    texts = ["alpha beta gamma delta epsilon", "say alpha twice", "alpha beta other delta epsilon", "", None, "beta alpha"]
+    items = spark.createDataFrame([(1, "Beta alpha"), (2, "alpha beta gamma delta epsilon"), (3, "twice")], "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontamination.overlaps(documents(spark, list(enumerate(texts))), items, min_item=1).collect()}
+    assert found == {(5, 1), (0, 2), (2, 2), (1, 3)}
+    assert decontamination.overlaps(documents(spark, list(enumerate(texts))), items).count() == 0
+
+
 def test_short_items_with_all_allowed_substitutions(spark):
     """Items of 6 to 12 words with every pattern of one substitution, or two from 10 words on; one more is too many."""
     rng = random.Random(12)
@@ -431,6 +482,17 @@ def test_chat_repair_is_cheapest_and_legal(spark):
     assert chat.repaired(turns.limit(0)).count() == 0
 
 
+def test_chat_repair_of_one_row_many_times(spark, monkeypatch):
+    monkeypatch.setattr(chat, "PART_ROWS", 100)
+    rows = [(1, 1, "user", "same")] * 1500 + [(None, 2, "assistant", "end")] * 300 + [(2, 1, "user", "q"), (2, 2, "bot", "a")]
+    done = chat.repaired(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4))
+    parts = {r["part"]: r["count"] for r in done.selectExpr("shiftright(place, 33) part").groupBy("part").count().collect()}
+    assert sum(parts.values()) == 1802 and max(parts.values()) < 400
+    cost = {r["conv_id"]: r["cost"] for r in chat.rendered(done).select("conv_id", "cost").collect()}
+    # All but one are merged; one is relabelled, which is cheaper than a merge and an empty turn.
+    assert cost == {1: 1498 * chat.MERGE + chat.RELABEL, None: 298 * chat.MERGE + chat.RELABEL, 2: 0.0}
+
+
 # --- nearest neighbours -------------------------------------------------------
 
 
@@ -462,6 +524,36 @@ def test_nearest_recall_and_order(spark):
     assert [r["vec_id"] for r in few.orderBy("rank").collect()] == sorted([1, 2], key=lambda i: -(exact[i] @ exact[0]))
 
 
+def test_nearest_of_all_cells_is_exact(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    for name, value in (("BLOCK", 64), ("BUNDLE", 3), ("QUERY_BLOCK", 8), ("TURNS", 2)):
+        monkeypatch.setattr(nearest, name, value)
+    rng = np.random.default_rng(5)
+    points = rng.normal(size=(900, 8))
+    points[:300] = points[0]  # a third in one cell
+    rows = [(i, p.tolist()) for i, p in enumerate(points)]
+    rows += [(700, (3 * points[0] + rng.normal(size=8) / 9).tolist()) for _ in range(90)]  # one id, many near rows
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    found = defaultdict(list)
+    for r in nearest.nearest(table, F.col("vec_id") % 10 == 0, 7, share=1.0).orderBy("query_id", "rank").collect():
+        found[r["query_id"]].append(r["vec_id"])
+    ids, exact = np.array([i for i, _ in rows]), np.array([p for _, p in rows])
+    for q in range(0, 900, 10):
+        score = (exact[:, None, :] * exact[ids == q][None, :, :]).sum(2).max(1)
+        best = {}
+        for i, x in zip(ids.tolist(), score.tolist()):
+            if i != q:
+                best[i] = max(x, best.get(i, -np.inf))
+        assert found[q] == sorted(best, key=lambda i: (-round(best[i], 9), i))[:7]
+
+
+def test_best_of_each_query():
+    queries, ids = np.array([2, 1, 2, 2, 1, 2]), np.array([5, 5, 5, 4, 3, 9])
+    scores = np.array([1.0, 2.0, 3.0, 3.0, 2.0, 0.5])
+    assert [x.tolist() for x in nearest.best_of_each(queries, ids, scores, 2)] == [[1, 1, 2, 2], [3, 5, 4, 5], [2.0, 2.0, 3.0, 3.0]]
+
+
 # --- curriculum ---------------------------------------------------------------
 
 
