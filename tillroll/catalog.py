@@ -63,8 +63,11 @@ class Store(Warehouse, Shop):
         return scratch_dir(self.spark, label)
 
     def stored(self, names) -> dict[str, DataFrame]:
-        """Staging and the marts, built and written once per session and folder: checks scan tables, not plans."""
-        stored = self.shared("warehouse", lambda: self.store(self.scratch("warehouse")))
+        """Staging and the named marts, built and written once per session and folder: checks scan tables, not plans."""
+        stored = self.shared("warehouse", dict)
+        missing = [n for n in MARTS if n in names and n not in stored]
+        if missing or not stored:
+            stored.update(self.store(self.scratch("warehouse"), missing, stored))
         return {n: df for n, df in stored.items() if n in names or n.startswith("stg_")}
 
 

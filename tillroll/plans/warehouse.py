@@ -137,15 +137,21 @@ class Warehouse:
     def _waves(names: list[str]) -> list[list[str]]:
         return [[n for n in names if n not in READ_OTHER_MARTS], [n for n in names if n in READ_OTHER_MARTS]]
 
-    def store(self, folder: str, names: list[str] | None = None) -> dict[str, DataFrame]:
-        """Write staging and marts anew; marts are built from the stored tables they read."""
+    def store(self, folder: str, names: list[str] | None = None, before: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+        """Write staging and marts; marts are built from the stored tables they read. What ``before`` holds is not made again."""
         names = MARTS if names is None else names
-        stored = write_marts({f"stg_{t}": getattr(self, t) for t in STAGING}, folder)
+        stored = dict(before or {})
+        if "order_lines" not in stored:
+            stored.update(write_marts({f"stg_{t}": getattr(self, t) for t in STAGING}, folder))
+            # Orders and lines meet once; the marts read the stored result, which is bucketed by order.
+            stored["order_lines"] = write_bucketed(self._over(stored).order_lines, f"{folder}/order_lines", "order_id")
         built = self._over(stored)
-        # Orders and lines meet once; the marts read the stored result, which is bucketed by order.
-        built.__dict__["order_lines"] = write_bucketed(built.order_lines, f"{folder}/order_lines", "order_id")
-        if {"department_performance", "department_dow_cohorts"} & set(names):
-            built.__dict__.update(write_marts({n: getattr(built, n) for n in SHARED}, folder))
+        built.__dict__.update({n: df for n, df in stored.items() if not n.startswith("stg_")})
+        shared = [n for n in SHARED if n not in stored]
+        if shared and {"department_performance", "department_dow_cohorts"} & set(names):
+            written = write_marts({n: getattr(built, n) for n in shared}, folder)
+            built.__dict__.update(written)
+            stored.update(written)
         for wave in self._waves(names):
             written = write_marts({n: getattr(built, n) for n in wave}, folder, AUDIT_COLUMNS, SORTED_BY, ["fct_orders"])
             # Later marts read the stored table instead of the plan.
