@@ -22,7 +22,7 @@ from tillroll.operators.upsert import upsert_fact
 from tillroll.plans import dashboards, headlines, marts, runs
 from tillroll.plans.batch import run_batch
 from tillroll.plans.warehouse import MARTS, Warehouse
-from tillroll.session import scratch_dir, tune
+from tillroll.session import bound_tasks, scratch_dir, stored_bytes, tune
 from tillroll.sinks import tables
 from tillroll.sources.inference import infer_types
 from tillroll.sources.raw import COLUMN_TYPES, CSV_OPTIONS, STAGING_TABLES, accepted, load_staging, rejected, sorted_out, source_inventory
@@ -76,7 +76,8 @@ def query(function, name: str | None = None):
     name = name or function.__name__
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return steady(function(Store(tune(spark), folder)))
+        bound_tasks(tune(spark), stored_bytes(spark, *[f"{folder}/{t}.parquet" for t in ("orders", "lineitem")]))
+        return steady(function(Store(spark, folder)))
 
     run.__name__ = name
     run.__doc__ = function.__doc__

@@ -17,6 +17,7 @@ from tillroll.operators.scorecard import dq_row_count_change, dq_scorecard
 from tillroll.operators.validation import SPECS, TableSpec, require_valid, validate_tables
 from tillroll.plans.runs import log_runs, sla_breaches
 from tillroll.plans.warehouse import Warehouse
+from tillroll.session import bound_tasks, stored_bytes
 from tillroll.sinks.files import listing
 from tillroll.sinks.tables import append_ops_table, append_run_log, write_mart
 from tillroll.sinks.tablesets import Draft, TableSet
@@ -143,6 +144,7 @@ def run_batch(
     started = _now()
     ops_dir = f"{out_dir}/ops"
     failed = 0
+    bound_tasks(spark, stored_bytes(spark, raw_dir))
     try:
         inventory = source_inventory(spark, raw_dir)
         require_sources(inventory)
