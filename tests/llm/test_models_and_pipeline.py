@@ -77,6 +77,23 @@ def test_held_out_accuracy(spark):
     assert (truth == guess).mean() > 0.97 and truth[guess].mean() > 0.9
 
 
+def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
+    """Words that only some of the rows beyond the first 2,500 of a label have; in one part and in several."""
+    n = 12_000
+    text = F.concat(F.lit("plain words here "), F.when(F.col("doc_id") % 2 == 1, F.lit("zorgle")).otherwise(F.lit("meadow")))
+    docs = spark.range(n).select(F.col("id").alias("doc_id")).select("doc_id", text.alias("text"), F.lit("en").alias("lang"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    rank = {r.doc_id: i for y in (0, 1) for i, r in enumerate(labels.where((F.col("toxic") == y) & ~toxicity.held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id")).collect())}
+    late = spark.createDataFrame([(k,) for k, i in rank.items() if i >= 2500], "doc_id long").withColumn("late", F.lit(" blibber"))
+    rare = F.when(F.col("late").isNotNull() & (F.col("doc_id") % 2 == 1), F.col("late")).otherwise(F.lit(""))
+    docs = docs.join(late, "doc_id", "left").select("doc_id", F.when(rare != "", F.lit("plain words here blibber")).otherwise(F.col("text")).alias("text"), "lang")
+    for rows in (1 << 20, 2000):
+        monkeypatch.setattr(toxicity, "PART_ROWS", rows)
+        model = toxicity.fit(docs, labels)
+        found = toxicity.scores(model, pa.array(["plain words here blibber", "plain words here meadow"]))
+        assert found[0] > 0.5 > found[1]
+
+
 def test_toxicity_of_odd_rows(spark, odd, labelled):
     docs, labels = labelled
     model = toxicity.fit(docs, labels)
