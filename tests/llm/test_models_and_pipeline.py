@@ -94,6 +94,22 @@ def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
         assert found[0] > 0.5 > found[1]
 
 
+def test_passes_over_parts_shuffle_no_text(spark):
+    """Texts move once, into parts; what a pass shuffles are the parts' parameters."""
+    text = F.concat_ws(" ", F.lit("some words"), "id")
+    rows = spark.range(300).select(F.xxhash64("id").alias("at"), text.alias("text"), F.lit("en").alias("lang"), (F.col("id") % 2).cast("double").alias("label"))
+    dealt = toxicity.dealt_out(rows, 5)
+    assert sorted(dealt.select("at", "text", "label").collect()) == sorted(rows.select("at", "text", "label").collect())
+
+    def texts(part: pa.Table) -> pa.Table:
+        return pa.table({"part": part.column("part")[:1], "n": [part.num_rows], "parts": [len(part.column("part").unique())]})
+
+    learned = dealt.groupBy("part").applyInArrow(texts, "part long, n long, parts long")
+    found = learned.collect()
+    assert sorted(r["part"] for r in found) == list(range(5)) and {r["parts"] for r in found} == {1} and sum(r["n"] for r in found) == 300
+    assert "Exchange" not in learned._jdf.queryExecution().executedPlan().toString()
+
+
 def test_toxicity_of_odd_rows(spark, odd, labelled):
     docs, labels = labelled
     model = toxicity.fit(docs, labels)
