@@ -1,5 +1,6 @@
 """Trained operators, the registered queries and the pipeline."""
 
+import time
 import tracemalloc
 import zlib
 from pathlib import Path
@@ -14,6 +15,7 @@ import __spark_entry__ as entry_points
 import compare
 import corpus_pipeline
 from tillroll.llm import chat, curriculum, decontamination, licenses, main_text, near_duplicates, queries, suffix_dedup, token_counts, toxicity
+from tillroll.llm.scratch import ready, written
 
 SMALL, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.1"
 needs_tables = pytest.mark.skipif(not Path(SMALL).exists(), reason="no test tables")
@@ -362,3 +364,19 @@ def test_pipeline_runs_all_stages(spark):
     found = corpus_pipeline.run(spark, SMALL).collect()
     assert 0 < len(found) < queries.table(spark, SMALL, "documents").count()
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near-duplicates", "suffix-array", "decontamination", "mix"]
+
+
+def test_shuffle_files_go_with_their_step(spark):
+    folders = list(spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString())
+
+    def shuffled():
+        return {f.name for folder in folders for f in Path(folder).rglob("shuffle_*.data")}
+
+    before = shuffled()
+    once = written(ready(spark).range(100_000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    until = time.monotonic() + 20
+    while shuffled() - before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    frame = once.groupBy("count").agg(F.sum("k").alias("k"))
+    assert sorted(map(tuple, frame.collect())) == sorted(map(tuple, frame.collect())) == [(14285, 11), (14286, 10)]
