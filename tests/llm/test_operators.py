@@ -226,6 +226,47 @@ def test_suffix_removal_like_all_strings(spark, monkeypatch, limit):
     assert sorted((tuple(r)[:5] for r in found), key=str) == brute_removal(rows)
 
 
+def test_only_pieces_that_another_id_may_share_are_sorted(spark, monkeypatch):
+    """Equal pieces go into a suffix array once and share what is found, and pieces of a key that no other id has then do not at all."""
+    real = suffix_dedup.sorted_spans
+
+    def watched(ids, sizes, data, begins):
+        assert sorted(ids.tolist()) == [1, 6] and len(data) == 2 * 59, "sorted more than it needs"
+        return real(ids, sizes, data, begins)
+
+    monkeypatch.setattr(suffix_dedup, "sorted_spans", watched)
+    text = bytes(range(33, 93))
+    rows = [(0, key, i, bytes([i]), 100 * i, 10, piece) for key, i, piece in [
+        # Key 5: one piece under three ids and another that overlaps with it; 6: equal pieces; 7, 8: one id each.
+        (5, 4, text[:59]), (5, 1, text[:59]), (5, 4, text[:59]), (5, 6, text[1:]), (5, 6, text[1:]), (5, 7, text[1:]),
+        (6, 3, b"y" * 59), (6, 2, b"y" * 59), (7, 5, b"z" * 59), (7, 5, b"u" + b"z" * 58), (8, 9, b"w" * 59),
+    ]]
+    pieces = spark.createDataFrame(rows, suffix_dedup.PIECE).coalesce(1)
+    found = suffix_dedup.spans(pieces).collect()
+    assert sorted((r["id"], r["start"], r["size"]) for r in found) == [(3, 300, 10), (4, 400, 10), (4, 400, 10), (6, 600, 9), (6, 600, 9), (7, 700, 10)]
+
+
+def test_segments_of_many_texts_at_once(spark):
+    """Texts of one batch keep their own keys, also where rows of one id have short and long texts."""
+    rng = random.Random(3)
+    passages = [prose(rng, 40) for _ in range(4)]
+    rows = [(i, passages[i % 4] + (passages[(i + 1) % 4] if i % 3 else "")) for i in range(60)]
+    rows += [(61, "short"), (61, passages[0]), (62, prose(rng, 40)), (None, "short"), (None, passages[1] * 2)]
+    found = suffix_dedup.deduplicated(documents(spark, rows).coalesce(1)).collect()
+    assert sorted((tuple(r)[:5] for r in found), key=str) == brute_removal(rows)
+
+
+def test_passages_that_a_document_repeats_in_itself(spark):
+    """All copies within one document lose what an earlier document shares with a part of the passage."""
+    rng = random.Random(11)
+    for at in (0, 40, 80):
+        passage = prose(rng, 40)
+        rows = [(1, prose(rng, 10) + passage[at : at + 120] + prose(rng, 10)), (2, prose(rng, 10).join([passage] * 4)), (3, passage * 3)]
+        rows += [(2, passage + prose(rng, 5)), (None, passage * 2), (None, prose(rng, 9) + passage[20:])]
+        found = suffix_dedup.deduplicated(documents(spark, rows)).collect()
+        assert sorted((tuple(r)[:5] for r in found), key=str) == brute_removal(rows)
+
+
 def test_rows_without_an_id_get_the_keys_of_their_own_text(spark, monkeypatch):
     """A third of all rows has no id; what shares a passage with an earlier document is found, and lists of keys stay short."""
     rng = random.Random(9)

@@ -10,7 +10,8 @@ Strings are judged on the input.
 2. Equal segments are sorted once, under the smallest id that has them. In any other document they
    are repeated as a whole.
 3. Segments are cut into runs of one key and dealt out by key, so equal strings meet whatever
-   document they are from. For its share of the text each bucket builds the suffix array by the
+   document they are from. Equal runs of a bucket are sorted once, under the smallest id, and those
+   whose key no other id has then need no sorting. Of the rest each bucket builds the suffix array by the
    difference-cover algorithm: sort the triples at two of three places, name them, recurse on the
    names until they span LENGTH, merge in the remaining suffixes; then the LENGTH-byte prefixes of
    adjacent suffixes are compared, and the smallest id of each group of equal ones is known.
@@ -34,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -310,32 +312,42 @@ def segments(texts: DataFrame, shared: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = {"id": [], "version": [], "start": [], "bytes": [], "digest": []}
-            for i in range(len(batch)):
-                data, _ = text_bytes(batch.column("text").slice(i, 1))
-                wanted = np.sort(np.asarray(batch.column("keys")[i].values, np.int64).view(np.uint64))
+            for part in slices(batch, "text"):
+                data, offsets = text_bytes(part.column("text"))
                 found = string_keys(data)
-                first, sizes = runs(found)
-                at = np.minimum(np.searchsorted(wanted, found[first]), len(wanted) - 1)
-                keep = wanted[at] == found[first]
-                begin = keep & (np.append(True, ~keep[:-1]) | (found[first] >> np.uint64(20) & CUT == 0))
+                whole = np.arange(len(found)) + LENGTH <= np.repeat(offsets[1:], np.diff(offsets))[: len(found)]
+                first, sizes = runs(found, whole)
+                row = np.searchsorted(offsets, first, "right") - 1
+                lists_ = part.column("keys")
+                owners = np.repeat(np.arange(len(part)), np.asarray(pc.list_value_length(lists_)))
+                # Keys told apart by row; two alike by chance would only send a segment on in vain.
+                wanted = np.sort(of_row(np.asarray(lists_.flatten(), np.int64).view(np.uint64), owners))
+                sought = of_row(found[first], row)
+                at = np.minimum(np.searchsorted(wanted, sought), len(wanted) - 1)
+                keep = wanted[at] == sought
+                begin = keep & (np.append(True, ~keep[:-1] | (row[1:] != row[:-1])) | (found[first] >> np.uint64(20) & CUT == 0))
                 end = keep & np.append(begin[1:] | ~keep[1:], True)
+                starts, ends = first[begin], first[end] + sizes[end] + LENGTH - 1
                 raw = data.tobytes()
-                for a, b in zip(first[begin].tolist(), (first[end] + sizes[end]).tolist()):
-                    text = raw[a : b + LENGTH - 1]
-                    rows["id"].append(batch.column("id")[i].as_py())
-                    rows["version"].append(batch.column("version")[i].as_py())
-                    rows["start"].append(a)
-                    rows["bytes"].append(text)
-                    rows["digest"].append(hashlib.blake2b(text, digest_size=16).digest())
-            kinds = [pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows.values(), kinds)], list(rows))
+                texts_ = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+                digests = [hashlib.blake2b(t, digest_size=16).digest() for t in texts_]
+                taken = pa.array(row[begin])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("id").take(taken), part.column("version").take(taken), pa.array(starts - offsets[row[begin]]),
+                        pa.array(texts_, pa.binary()), pa.array(digests, pa.binary()),
+                    ],
+                    ["id", "version", "start", "bytes", "digest"],
+                )
+
+    def of_row(keys: np.ndarray, row: np.ndarray) -> np.ndarray:
+        return keys + mixed(row.astype(np.uint64) + _SEED)
 
     return texts.join(lists, "own").mapInArrow(run, "id long, version binary, start long, bytes binary, digest binary")
 
 
-PIECE = "bucket long, id long, version binary, start long, size int, bytes binary"
-PIECE_NAMES = ["bucket", "id", "version", "start", "size", "bytes"]
+PIECE = "bucket long, key long, id long, version binary, start long, size int, bytes binary"
+PIECE_NAMES = ["bucket", "key", "id", "version", "start", "size", "bytes"]
 
 
 def byte_slices(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> pa.Array:
@@ -366,7 +378,7 @@ def cut(batch: pa.RecordBatch, level: int, buckets: int) -> Iterator[pa.RecordBa
         taken = pa.array(own[a:b])
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(at[a:b]), batch.column("id").take(taken), batch.column("version").take(taken),
+                pa.array(at[a:b]), pa.array(keys[first[a:b]].view(np.int64)), batch.column("id").take(taken), batch.column("version").take(taken),
                 pa.array(start[a:b]), pa.array(sizes[a:b].astype(np.int32)), byte_slices(data, first[a:b], sizes[a:b] + LENGTH - 1),
             ],
             PIECE_NAMES,
@@ -396,18 +408,46 @@ def sorted_spans(ids: np.ndarray, sizes: np.ndarray, data: np.ndarray, begins: n
     return piece[begin], within[begin], within[end] + 1
 
 
+def to_sort(codes: np.ndarray, keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pieces that are repeated as a whole, the other ones by code, and one of each code whose strings are to be sorted.
+
+    codes: one number for equal pieces. They are sorted once, under their smallest id, and only
+    if another id has a piece of the same key: equal strings have equal keys.
+    """
+    order = np.lexsort((ids, codes))
+    first = np.flatnonzero(np.append(True, codes[order][1:] != codes[order][:-1]))
+    late = ids[order] > np.repeat(ids[order[first]], np.diff(np.append(first, len(order))))
+    one = order[first]
+    one = one[np.argsort(keys[one], kind="stable")]
+    first = np.flatnonzero(np.append(True, keys[one][1:] != keys[one][:-1]))
+    several = np.minimum.reduceat(ids[one], first) != np.maximum.reduceat(ids[one], first)
+    return order[late], order[~late], np.sort(one[np.repeat(several, np.diff(np.append(first, len(one))))])
+
+
 def spans(pieces: DataFrame) -> DataFrame:
     """Removed spans from pieces dealt out by bucket; buckets over the limit come back as pieces."""
 
     def done(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         whole = pa.concat_batches(held) if len(held) > 1 else held[0]
-        data, offsets = text_bytes(whole.column("bytes"))
-        piece, low, high = sorted_spans(np.asarray(whole.column("id")), np.asarray(whole.column("size")), data, offsets[:-1])
+        codes = np.asarray(whole.column("bytes").dictionary_encode().indices)
+        ids, sizes = np.asarray(whole.column("id")), np.asarray(whole.column("size"))
+        again, kept, left = to_sort(codes, np.asarray(whole.column("key")), ids)
+        piece, low, high = again, np.zeros(len(again), np.int64), sizes[again]
+        if len(left):
+            data, offsets = text_bytes(whole.column("bytes").take(pa.array(left)))
+            at, begin, end = sorted_spans(ids[left], sizes[left], data, offsets[:-1])
+            # One id may have a piece several times; what is found of the one that was sorted holds for all of them.
+            code = codes[left[at]]
+            nth = np.searchsorted(codes[kept], code)
+            times = np.searchsorted(codes[kept], code, "right") - nth
+            alike = kept[np.repeat(nth - np.cumsum(times) + times, times) + np.arange(times.sum())]
+            piece = np.concatenate([piece, alike])
+            low, high = (np.concatenate([x, np.repeat(y, times)]) for x, y in ((low, begin), (high, end)))
         at = pa.array(piece)
         start = np.asarray(whole.column("start"))[piece] + low
         return pa.RecordBatch.from_arrays(
             [
-                whole.column("bucket").take(at), whole.column("id").take(at), whole.column("version").take(at),
+                *(whole.column(c).take(at) for c in ("bucket", "key", "id", "version")),
                 pa.array(start), pa.array((high - low).astype(np.int32)), pa.nulls(len(piece), pa.binary()),
             ],
             PIECE_NAMES,
