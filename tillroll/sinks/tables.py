@@ -208,8 +208,9 @@ def publish_changes(name: str, df: DataFrame, target: TableSet, by: str) -> Data
 # --- the stored fact --------------------------------------------------------
 
 FACT = "fact"
-# Orders per shuffle slice of a stored fact: a slice is sorted, so files hold few ranges of orders.
+# Slices of a stored block, which are sorted, so files hold few ranges of orders; a block with few orders has fewer.
 SLICES_PER_BLOCK = 64
+ORDERS_PER_SLICE = 10_000
 
 
 def _with_block(fct: DataFrame, orders_per_block: int) -> DataFrame:
@@ -219,10 +220,13 @@ def _with_block(fct: DataFrame, orders_per_block: int) -> DataFrame:
 def _sorted_blocks(blocked: DataFrame, orders_per_block: int) -> DataFrame:
     """Rows dealt out by slices of consecutive orders and sorted: no range bounds, so the rows are made once.
 
-    Slices of any size become tasks of a like size.
+    Slices of any size become tasks of a like size. A slice lies within a block, so a write has about as many files as
+    slices: were the orders of a small block dealt to all tasks, there would be blocks times tasks of them.
     """
-    part = F.floor(F.col("order_id") / F.lit(max(1, orders_per_block // SLICES_PER_BLOCK)))
-    return blocked.withColumn("_slice", part).hint("rebalance", "_slice").drop("_slice").sortWithinPartitions("order_block", "order_id")
+    slices = max(1, min(SLICES_PER_BLOCK, orders_per_block // ORDERS_PER_SLICE))
+    part = F.floor(F.pmod("order_id", F.lit(orders_per_block)) * slices / orders_per_block)
+    dealt = blocked.withColumn("_slice", part).hint("rebalance", "order_block", "_slice").drop("_slice")
+    return dealt.sortWithinPartitions("order_block", "order_id")
 
 
 def read_fact(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
@@ -284,16 +288,18 @@ def draft_merge(draft: Draft, name: str, new: DataFrame, after_order=None, order
     aside = scratch_dir(spark, "fact-incoming")
     arriving = _with_block(new.where(F.col("order_id") > after_order), orders_per_block).select(*stored.columns)
 
+    blocks: list[str] = []
+
     def touched() -> list[str]:
         """The batch's blocks: no more than the fact has or the batch adds."""
         arriving.write.parquet(aside)
-        return [str(r.order_block) for r in incoming().select("order_block").distinct().collect()]
+        blocks.extend(str(r.order_block) for r in incoming().select("order_block").distinct().collect())
+        return blocks
 
     def incoming() -> DataFrame:
         return spark.read.schema(arriving.schema).parquet(aside)
 
     def merged(read) -> DataFrame:
-        blocks = [str(r.order_block) for r in incoming().select("order_block").distinct().collect()]
         rest = read(blocks).join(incoming().select(*FACT_KEY), FACT_KEY, "left_anti")
         return _sorted_blocks(rest.unionByName(incoming()), orders_per_block)
 

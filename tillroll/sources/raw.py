@@ -148,12 +148,14 @@ def sorted_out(text: DataFrame, table: str, keep: tuple[str, ...] | list[str] =
     Columns to keep are no part of the text.
     """
     raw = F.to_json(F.struct(*[F.col(f"`{c}`") for c in text.columns if c not in keep]), {"ignoreNullFields": "false"})
-    marked = text.withColumns({"problems": problems(text, table), "raw_text": raw})
+    marked = text.withColumn("problems", problems(text, table))
     bad = F.size("problems") > 0
     return marked.select(
         *[F.col(c).try_cast(t).alias(c) for c, t in COLUMN_TYPES[table].items()],
         *keep,
-        *[F.when(bad, F.col(c)).alias(c) for c in ("problems", "raw_text")],
+        F.when(bad, F.col("problems")).alias("problems"),
+        # Made for the rows that do not fit alone.
+        F.when(bad, raw).alias("raw_text"),
         bad.alias("rejected"),
     )
 

@@ -39,7 +39,8 @@ def merge_batch(spark: SparkSession, rows: DataFrame, number: int, target: str,
     typed = sorted_out(rows, "order_products", keep=["changed", "file"])
     draft.write("arrived", lambda: typed, by="rejected")
     arrived = draft.read("arrived")
-    lines = latest(arrived.where("NOT rejected AND order_id IS NOT NULL AND product_id IS NOT NULL"))
+    keyed = arrived.where("NOT rejected AND order_id IS NOT NULL AND product_id IS NOT NULL")
+    lines = latest(keyed)
     refused = arrived.where("rejected").select("file", "raw_text", F.lit(number).alias("batch"))
     if draft.has(REJECTED):
         draft.add(REJECTED, lambda: refused, by="batch")
@@ -48,7 +49,7 @@ def merge_batch(spark: SparkSession, rows: DataFrame, number: int, target: str,
     if not draft.has(FACT):
         draft_fact(draft, FACT, lines, orders_per_block)
     else:
-        first = lines.agg(F.min("order_id").alias("first")).first()["first"]
+        first = keyed.agg(F.min("order_id").alias("first")).first()["first"]
         if first is not None:
             draft_merge(draft, FACT, lines, after_order=first - 1, orders_per_block=orders_per_block)
     draft.publish(batch=number)
