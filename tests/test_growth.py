@@ -1,10 +1,11 @@
-"""What grows with the tables: files of a stored fact and what is made of its rows."""
+"""What grows with the tables: files of a stored fact, tasks that read small files, shuffle files that are kept."""
 
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from tillroll import session
 from tillroll.sinks import tables
 from tillroll.sources.raw import sorted_out
 
@@ -53,3 +54,18 @@ def test_raw_text_of_rows_that_do_not_fit(spark):
     good, bad = sorted_out(text, "order_products", keep=["file"]).orderBy("rejected").collect()
     assert (good.raw_text, good.problems, good.file) == (None, None, "f")
     assert bad.raw_text == '{"order_id":"1","product_id":"x","add_to_cart_order":null,"reordered":"0"}'
+
+
+def test_small_files_share_a_task(spark, tmp_path):
+    names = [*session.TASK_LIMITS, session.FIRST_PARTITIONS]
+    held = {n: spark.conf.get(n, None) for n in names}
+    try:
+        for n in session.TASK_LIMITS:
+            spark.conf.unset(n)
+        session.bound_tasks(spark)
+        path = str(tmp_path / "small")
+        spark.range(800).repartition(80).write.parquet(path)
+        assert spark.read.parquet(path).rdd.getNumPartitions() <= 16  # two to a task before
+    finally:
+        for n, value in held.items():
+            spark.conf.unset(n) if value is None else spark.conf.set(n, value)
