@@ -1,5 +1,6 @@
 """What grows with the tables: files of a stored fact, tasks that read small files, shuffle files that are kept."""
 
+import time
 from pathlib import Path
 
 import pytest
@@ -69,3 +70,27 @@ def test_small_files_share_a_task(spark, tmp_path):
     finally:
         for n, value in held.items():
             spark.conf.unset(n) if value is None else spark.conf.set(n, value)
+
+
+def test_shuffle_files_go_with_their_step(spark, tmp_path):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    held = spark.conf.get(name, None)
+
+    def kept():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+        found = set()
+        while files.hasNext():
+            found.add(files.next().getName())
+        return {n for n in found if n.startswith("shuffle_")}
+
+    try:
+        spark.conf.unset(name)
+        session.tune(spark)
+        before = kept()
+        tables.write_mart(lines(spark, 1000), str(tmp_path / "mart"), sort_by=["product_id"])
+        until = time.time() + 20
+        while kept() - before and time.time() < until:  # they are removed beside
+            time.sleep(0.2)
+        assert not kept() - before
+    finally:
+        spark.conf.unset(name) if held is None else spark.conf.set(name, held)
